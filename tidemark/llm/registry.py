@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.simhash import op10_simhash
+from tidemark.llm.substring import OP1_SQL, op1_substring_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op10_simhash,)}
+    return {f.__name__: f for f in (op1_substring_dedup, op10_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_substring_dedup": OP1_SQL}

@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.mixing import OP3_SQL, op3_mixing
+from tidemark.llm.quality_rules import OP9_SQL, op9_quality_rules
 from tidemark.llm.simhash import op10_simhash
 from tidemark.llm.substring import OP1_SQL, op1_substring_dedup
+from tidemark.llm.url_filter import OP7_SQL, op7_url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op10_simhash)}
+    return {f.__name__: f for f in (op1_substring_dedup, op3_mixing, op7_url_filter, op9_quality_rules, op10_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": OP1_SQL}
+    return {"op1_substring_dedup": OP1_SQL, "op3_mixing": OP3_SQL, "op7_url_filter": OP7_SQL, "op9_quality_rules": OP9_SQL}

@@ -1,8 +1,63 @@
-"""Corpus pipeline (stages are added as the operators are)."""
+"""Corpus pipeline: language ID, SimHash near-dedup, substring dedup, mixing, byte-level BPE.
 
+Each stage takes (spark, docs, sf_dir) and works on all that the stage before it kept; ``run`` writes
+each result to the shared folder and reads it again for the next.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.llm import bpe, language, mixing, simhash, substring
+from tidemark.llm.common import cut, table
+
+#: The order of hashes, seeds and training steps cannot be stated in SQL; tests hold every stage against brute force.
 ORACLE_SQL = None
-STAGES = []
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised; ``lang`` becomes the prediction."""
+    return language.keep_recognised(docs, language.fit(docs))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return simhash.keep_one(docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document without the passages that an earlier document has; a document may be left empty."""
+    return substring.remove_repeats(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each copy of a document that the mix takes, in training order."""
+    return mixing.mix(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every row, with the digest of the bytes that they decode to."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    found = bpe.decode(bpe.encode(docs, path, public_tokenizers.PATTERN), path)
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("near_dedup", near_dedup),
+    ("substring_dedup", substring_dedup),
+    ("mix_sources", mix_sources),
+    ("encode", encode),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The result of the last stage over ``documents``."""
+    docs = table(spark, sf_dir, "documents")
+    for n, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if n < len(STAGES) - 1:
+            docs = cut(docs, name)
+    return docs

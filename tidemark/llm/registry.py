@@ -6,16 +6,41 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.bpe import op4_byte_bpe
+from tidemark.llm.chat import OP2_SQL, op2_chat_format
+from tidemark.llm.embeddings import OP5_SQL, op5_embedding_dedup
+from tidemark.llm.language import op8_language_id
 from tidemark.llm.mixing import OP3_SQL, op3_mixing
+from tidemark.llm.quality_model import op6_quality_classifier
 from tidemark.llm.quality_rules import OP9_SQL, op9_quality_rules
 from tidemark.llm.simhash import op10_simhash
 from tidemark.llm.substring import OP1_SQL, op1_substring_dedup
 from tidemark.llm.url_filter import OP7_SQL, op7_url_filter
 
+_QUERIES = (
+    op1_substring_dedup,
+    op2_chat_format,
+    op3_mixing,
+    op4_byte_bpe,
+    op5_embedding_dedup,
+    op6_quality_classifier,
+    op7_url_filter,
+    op8_language_id,
+    op9_quality_rules,
+    op10_simhash,
+)
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op3_mixing, op7_url_filter, op9_quality_rules, op10_simhash)}
+    return {f.__name__: f for f in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": OP1_SQL, "op3_mixing": OP3_SQL, "op7_url_filter": OP7_SQL, "op9_quality_rules": OP9_SQL}
+    return {
+        "op1_substring_dedup": OP1_SQL,
+        "op2_chat_format": OP2_SQL,
+        "op3_mixing": OP3_SQL,
+        "op5_embedding_dedup": OP5_SQL,
+        "op7_url_filter": OP7_SQL,
+        "op9_quality_rules": OP9_SQL,
+    }

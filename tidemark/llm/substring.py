@@ -203,7 +203,7 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _positions(marks: DataFrame, name: str) -> DataFrame:
     """One row for each document: the array of its positions. A document's own length bounds it."""
     place = F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
-    return marks.groupBy("key", F.shiftright("at", 32).alias("mark")).agg(F.collect_list(place).alias(name))
+    return marks.groupBy(F.col("key").alias("_key"), F.shiftright("at", 32).alias("_mark")).agg(F.collect_list(place).alias(name))
 
 
 def covered(n: int, anchors: list[int] | None, windows: list[int] | None) -> np.ndarray:
@@ -233,46 +233,53 @@ def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def dedup_substrings(docs: DataFrame) -> DataFrame:
-    """``doc_id`` of each document with _n_words, _n_removed, _kept_sha256 and _kept.
+    """The columns of ``docs`` with _n_words, _n_removed, _kept_sha256 and _kept.
 
     Each word that is covered by a window which also starts in a document with a smaller doc_id is
     removed; windows are judged on the input. ``_kept`` is the kept words joined by one space, or
     the text as it was if nothing is removed (null stays null). Null and empty texts have no
     words. A null doc_id counts as larger than all others. Rows that repeat a doc_id, with this
-    text or another, never remove each other's words. No rows give no rows; other columns of
-    ``docs`` are ignored.
+    text or another, never remove each other's words. No rows give no rows. ``docs`` needs doc_id
+    and text; other columns pass through, whatever their names, but for those with a leading "_".
     """
     text = F.col("text").cast("string")
-    keyed = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"),
-        F.xxhash64(text).bitwiseAND(F.lit(0x7FFFFFFF)).alias("mark"),
-        text.alias("_text"),
-    )
+    keys = [
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_key"),
+        F.xxhash64(text).bitwiseAND(F.lit(0x7FFFFFFF)).alias("_mark"),
+    ]
+    keyed = docs.select(*keys, text.alias("_text"))
     anchors = keyed.mapInArrow(_anchors, "anchor long, near long, key long, at long")
     marks = cut(
         anchors.repartition("anchor").sortWithinPartitions("anchor", "near", "key")
         .mapInArrow(_classes, "key long, at long, sure boolean"),
         "anchors",
     )
+    whole = docs.select(*keys, "*")
     open_ = _positions(marks.where("NOT sure"), "_open")
-    windows = keyed.join(open_, ["key", "mark"]).select("key", "mark", "_text", "_open")
+    windows = whole.join(open_, ["_key", "_mark"]).select("_key", "_mark", text.alias("_text"), "_open")
     repeats = (
         windows.mapInArrow(_windows, "w1 long, w2 long, key long, at long")
         .repartition("w1").sortWithinPartitions("w1", "w2", "key")
         .mapInArrow(_repeats, "key long, at long, sure boolean")
     )
-    gone = _positions(marks.where("sure"), "_sure").join(_positions(repeats, "_repeat"), ["key", "mark"], "full")
-    stripped = keyed.join(gone, ["key", "mark"], "left").select(
-        F.when(F.col("key") != NO_ID, F.col("key")).alias("doc_id"), "mark", "_text", "_sure", "_repeat"
-    )
-    return stripped.mapInArrow(
-        _strip, "doc_id long, mark long, _n_words long, _n_removed long, _kept_sha256 string, _kept string"
-    )
+    gone = _positions(marks.where("sure"), "_sure").join(_positions(repeats, "_repeat"), ["_key", "_mark"], "full")
+    own = [c for c in docs.columns if not c.startswith("_")]
+    stripped = whole.join(gone, ["_key", "_mark"], "left").select(*own, text.alias("_text"), "_sure", "_repeat")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stripped.schema if not f.name.startswith("_"))
+    return stripped.mapInArrow(_strip, kinds + ", _n_words long, _n_removed long, _kept_sha256 string, _kept string")
+
+
+def remove_repeats(docs: DataFrame) -> DataFrame:
+    """The columns of ``docs``, the text being what substring dedup leaves; n_chars, if there, is its length."""
+    found = dedup_substrings(docs).withColumn("text", F.col("_kept"))
+    if "n_chars" in docs.columns:
+        found = found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return found.select(docs.columns)
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What substring dedup leaves of every document."""
-    found = dedup_substrings(table(spark, sf_dir, "documents"))
+    found = dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", *(F.col("_" + c).alias(c) for c in ("n_words", "n_removed", "kept_sha256")))
 
 

@@ -16,7 +16,7 @@ import base64
 import hashlib
 import heapq
 import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +27,9 @@ from tidemark.llm.common import table
 
 LONG_PIECE = 512
 #: Rows that one recursive query may add up, and tokens that one decoding query takes.
-QUERY_ROWS = 2_000_000
-DECODE_TOKENS = 1_000_000
-#: Pieces that a task remembers before it starts afresh.
+QUERY_ROWS = 500_000
+DECODE_TOKENS = 200_000
+#: Pieces that a Python worker remembers before it starts afresh.
 REMEMBERED = 1 << 19
 
 #: ``place`` numbers the positions of all pieces: piece * _SPOTS + position. A pair is head * _TOKENS + tail.
@@ -67,11 +67,11 @@ def read_ranks(path: str) -> dict[bytes, int]:
 def _connect():
     import duckdb
 
-    return duckdb.connect(":memory:", config={"threads": "1", "memory_limit": "700MB", "temp_directory": ""})
+    return duckdb.connect(":memory:", config={"threads": "1", "memory_limit": "400MB", "temp_directory": ""})
 
 
 class Encoder:
-    """Encodes pieces of text by a vocabulary; one for each task."""
+    """Encodes pieces of text by a vocabulary; ``known`` has the ids of a piece as unsigned 32-bit integers."""
 
     def __init__(self, ranks: dict[bytes, int]) -> None:
         self.ranks, self.known, self.db = ranks, {}, _connect()
@@ -96,9 +96,9 @@ class Encoder:
         for piece in pieces.difference(self.known):
             data = piece.encode("utf-8")
             if data in self.ranks:
-                self.known[piece] = (self.ranks[data],)
+                self.known[piece] = self.ranks[data].to_bytes(4, "little")
             elif len(data) > LONG_PIECE:
-                self.known[piece] = self.contract(data)
+                self.known[piece] = np.array(self.contract(data), "<u4").tobytes()
             else:
                 waiting.append((len(data), piece, data))
         waiting.sort()
@@ -120,9 +120,9 @@ class Encoder:
         tok = self.single[np.frombuffer(b"".join(data for _, data in portion), np.uint8)]
         self._load("start", [pa.array(place), pa.array(tok)], ["place", "tok"])
         found = self.db.execute(_ENCODE).fetchnumpy()
-        ids, ends = found["tok"].tolist(), np.searchsorted(found["place"], (np.arange(len(portion)) + 1) * _SPOTS).tolist()
+        ids, ends = found["tok"].astype("<u4").tobytes(), (4 * np.searchsorted(found["place"], (np.arange(len(portion)) + 1) * _SPOTS)).tolist()
         for (name, _), start, end in zip(portion, [0, *ends], ends, strict=False):
-            self.known[name] = tuple(ids[start:end])
+            self.known[name] = ids[start:end]
 
     def contract(self, data: bytes) -> tuple[int, ...]:
         """The ids of one long piece: always the leftmost pair of least rank, found with a heap."""
@@ -152,6 +152,17 @@ class Encoder:
         return tuple(self.ranks[p] for p in parts if p is not None)
 
 
+#: The encoder of this Python worker by the digest of its vocabulary; it outlives a task and can be rebuilt at any time.
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def worker_encoder(digest: str, ranks: Callable[[], dict[bytes, int]]) -> Encoder:
+    if digest not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[digest] = Encoder(ranks())
+    return _ENCODERS[digest]
+
+
 def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """(doc_id, ids, ids_sha256) of every row of ``docs`` (doc_id, text).
 
@@ -161,23 +172,25 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
     The vocabulary, of a fixed size, is read once by the driver and sent along with the task.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+    ranks = read_ranks(ranks_path)
+    digest = hashlib.sha256(repr(sorted(ranks.items())).encode()).hexdigest()
+    sent = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
-        split, encoder = regex.compile(pattern).findall, Encoder(sent.value)
+        split, encoder = regex.compile(pattern).findall, worker_encoder(digest, lambda: sent.value)
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 batch = whole.slice(at, 1000)
                 texts = [split(t) if t else [] for t in batch.column(1).to_pylist()]
                 encoder.learn(set(itertools.chain.from_iterable(texts)))
                 known = encoder.known.__getitem__
-                ids = [np.fromiter(itertools.chain.from_iterable(map(known, t)), "<u4") for t in texts]
-                offsets = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-                flat = pa.array(np.concatenate([*ids, np.array([], "<u4")]).astype(np.int32))
+                ids = [b"".join(map(known, t)) for t in texts]
+                offsets = np.cumsum([0, *[len(x) // 4 for x in ids]], dtype=np.int32)
+                flat = pa.array(np.frombuffer(b"".join(ids), "<i4"))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), flat), pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in ids], pa.string())],
+                    [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), flat), pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string())],
                     ["doc_id", "ids", "ids_sha256"],
                 )
 

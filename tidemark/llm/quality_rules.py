@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import WORD, cut, table
 
 MIN_WORDS = 50
-#: Rows on which costs are estimated. They fix the order of the rules, never their outcome.
+#: About how many rows costs are estimated on. They fix the order of the rules, never their outcome.
 SAMPLE_ROWS = 1000
+SAMPLE_SEED = 3
 
 
 @dataclass(frozen=True)
@@ -115,7 +116,8 @@ def judge(docs: DataFrame, found: list[Rule] | None = None) -> DataFrame:
     like others. Other columns of ``docs`` are ignored. No rows give no rows.
     """
     found = rules() if found is None else found
-    sample = cut(base_columns(docs.select("doc_id", "text").limit(SAMPLE_ROWS)), "sample")
+    share = min(1.0, SAMPLE_ROWS / max(1, docs.count()))
+    sample = cut(base_columns(docs.select("doc_id", "text").sample(share, SAMPLE_SEED)), "sample")
     judged = base_columns(docs).select("*", cascade(ordered(sample, found)).alias("failed_rule"))
     return judged.select("*", base_failed().alias("base_failed"), F.col("failed_rule").isNull().alias("kept")).drop("_text")
 

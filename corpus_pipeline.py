@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, language, mixing, simhash, substring
 from tidemark.llm.common import cut, table
@@ -39,9 +38,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row, with the digest of the bytes that they decode to."""
-    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    found = bpe.decode(bpe.encode(docs, path, public_tokenizers.PATTERN), path)
-    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 STAGES = [

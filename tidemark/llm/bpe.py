@@ -20,17 +20,18 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import table
+from tidemark.llm.common import bound_batches, table
 
 LONG_PIECE = 512
 #: Rows that one recursive query may add up, and tokens that one decoding query takes.
 QUERY_ROWS = 500_000
 DECODE_TOKENS = 200_000
 #: Pieces that a Python worker remembers before it starts afresh.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 18
 
 #: ``place`` numbers the positions of all pieces: piece * _SPOTS + position. A pair is head * _TOKENS + tail.
 _SPOTS, _TOKENS = 2 * LONG_PIECE, 1 << 24
@@ -163,19 +164,17 @@ def worker_encoder(digest: str, ranks: Callable[[], dict[bytes, int]]) -> Encode
     return _ENCODERS[digest]
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """(doc_id, ids, ids_sha256) of every row of ``docs`` (doc_id, text).
+Run = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+_ENCODED, _DECODED = "doc_id long, ids array<int>, ids_sha256 string", "doc_id long, ids array<int>, ids_sha256 string, decoded binary"
 
-    ``ids`` are as by the tiktoken library without special tokens, ``ids_sha256`` is the digest of
-    the ids as little-endian unsigned 32-bit integers. A null text is empty and has no ids. Repeated
-    rows and null ids are encoded like others, other columns ignored; no rows give no rows.
 
-    The vocabulary, of a fixed size, is read once by the driver and sent along with the task.
-    """
+def _sent_ranks(spark: SparkSession, ranks_path: str) -> tuple[str, Broadcast]:
+    """The vocabulary, of a fixed size: read once by the driver and sent along with the tasks."""
     ranks = read_ranks(ranks_path)
-    digest = hashlib.sha256(repr(sorted(ranks.items())).encode()).hexdigest()
-    sent = docs.sparkSession.sparkContext.broadcast(ranks)
+    return hashlib.sha256(repr(sorted(ranks.items())).encode()).hexdigest(), spark.sparkContext.broadcast(ranks)
+
 
+def _encode_run(digest: str, sent: Broadcast, pattern: str) -> Run:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
@@ -194,29 +193,22 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
                     ["doc_id", "ids", "ids_sha256"],
                 )
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, ids array<int>, ids_sha256 string")
-
-
-def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
-    """``encoded`` (doc_id, ids, ids_sha256) with ``decoded``, the bytes that the ids stand for.
+    return run
 
-    Null or empty ids give no bytes; an id outside the vocabulary raises ValueError.
-    """
-    sent = encoded.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
 
+def _decode_run(sent: Broadcast) -> Run:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         db = _connect()
         words = sorted((rank, token.hex()) for token, rank in sent.value.items())
         db.register("incoming", pa.table([pa.array([r for r, _ in words], pa.int32()), pa.array([t for _, t in words])], ["id", "bytes"]))
         db.execute("CREATE TEMP TABLE vocabulary AS SELECT * FROM incoming")
-        size = np.zeros(max(sent.value.values(), default=0) + 1, bool)
-        size[list(sent.value.values())] = True
+        listed = np.zeros(max(sent.value.values(), default=0) + 1, bool)
+        listed[list(sent.value.values())] = True
         for batch in batches:
             lists = batch.column(batch.schema.get_field_index("ids"))
             counts = np.array([len(x) if x is not None else 0 for x in lists.to_pylist()] if lists.null_count else np.diff(lists.offsets.to_numpy()), np.int64)
             flat = lists.flatten().to_numpy(zero_copy_only=False)
-            if len(flat) and not ((flat >= 0) & (flat < len(size))).all() or not size[flat].all():
+            if not ((flat >= 0) & (flat < len(listed))).all() or not listed[flat].all():
                 raise ValueError("an id is not in the vocabulary")
             ends = np.cumsum(counts)
             out, first = [b""] * batch.num_rows, 0
@@ -232,21 +224,53 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
                 first = last
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], [*batch.schema.names, "decoded"])
 
-    return encoded.mapInArrow(run, "doc_id long, ids array<int>, ids_sha256 string, decoded binary")
+    return run
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    bound_batches(docs.sparkSession)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
+
+
+def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """(doc_id, ids, ids_sha256) of every row of ``docs`` (doc_id, text).
+
+    ``ids`` are as by the tiktoken library without special tokens, ``ids_sha256`` is the digest of
+    the ids as little-endian unsigned 32-bit integers. A null text is empty and has no ids. Repeated
+    rows and null ids are encoded like others, other columns ignored; no rows give no rows.
+    """
+    digest, sent = _sent_ranks(docs.sparkSession, ranks_path)
+    return _texts(docs).mapInArrow(_encode_run(digest, sent, pattern), _ENCODED)
+
+
+def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
+    """``encoded`` (doc_id, ids, ids_sha256) with ``decoded``, the bytes that the ids stand for.
+
+    Null or empty ids give no bytes; an id outside the vocabulary raises ValueError.
+    """
+    return encoded.mapInArrow(_decode_run(_sent_ranks(encoded.sparkSession, ranks_path)[1]), _DECODED)
 
 
 def round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """Digests of every document's ids and of the bytes that they decode to."""
-    found = decode(encode(docs, ranks_path, pattern), ranks_path)
-    return found.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
-    )
+    """(doc_id, n_tokens, ids, ids_sha256, decoded_sha256): every document encoded, and the ids decoded again.
+
+    Both steps run in one Python worker, so the ids pass through it once and the decoded bytes stay there.
+    """
+    digest, sent = _sent_ranks(docs.sparkSession, ranks_path)
+    encode_, decode_ = _encode_run(digest, sent, pattern), _decode_run(sent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in decode_(encode_(batches)):
+            digests = [hashlib.sha256(x.as_py()).hexdigest() for x in batch.column(3)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(digests, pa.string())], ["doc_id", "ids", "ids_sha256", "decoded_sha256"])
+
+    found = _texts(docs).mapInArrow(run, _ENCODED + ", decoded_sha256 string")
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "ids_sha256", "decoded_sha256")
 
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encoding and decoding of every document by the public 50k vocabulary."""
     import public_tokenizers
 
-    return round_trip(
-        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    )
+    found = round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return found.drop("ids")

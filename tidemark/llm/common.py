@@ -13,6 +13,17 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Bytes of an Arrow batch that goes to Python; Spark's own bound is 64 MB, for each task and on both sides.
+BATCH_BYTES = "4m"
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Set ``BATCH_BYTES`` for the session unless it has a bound of its own, so long texts come in small batches."""
+    if spark.conf.get(_BATCH_CONF, "") in ("", "67108864", "67108864b"):
+        spark.conf.set(_BATCH_CONF, BATCH_BYTES)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 

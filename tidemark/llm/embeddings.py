@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import connected_components, cut, table
+from tidemark.llm.common import bound_batches, connected_components, cut, table
 from tidemark.llm.simhash import _forest
 
 COSINE = 0.9
@@ -148,6 +148,7 @@ def groups(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     returned as often as they came and link with each other. No rows give no rows.
     """
     spark = vectors.sparkSession
+    bound_batches(spark)
     name = F.when(valid(F.col("embedding")), F.md5(F.concat_ws(",", F.col("embedding").cast("array<string>"))))
     named = vectors.select(F.col("vec_id").cast("long"), "embedding", name.alias("name"))
     ids = cut(named.select("vec_id", "name"), "ids")

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import connected_components, cut, table
+from tidemark.llm.common import bound_batches, connected_components, cut, table
 
 MAX_BITS = 2
 SPLIT_ABOVE = 4096
@@ -65,6 +65,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             found = np.fromiter((fingerprint(x.as_py()) for x in batch.column(1)), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
 
+    bound_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
 
 

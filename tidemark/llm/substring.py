@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, table
+from tidemark.llm.common import bound_batches, cut, table
 
 WINDOW = 50
 #: The perfect difference set modulo 31 of six residues.
@@ -242,6 +242,7 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     text or another, never remove each other's words. No rows give no rows. ``docs`` needs doc_id
     and text; other columns pass through, whatever their names, but for those with a leading "_".
     """
+    bound_batches(docs.sparkSession)
     text = F.col("text").cast("string")
     keys = [
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_key"),

@@ -16,9 +16,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import bound_batches
+
 GRAMS = (3, 4, 5)
 #: Words that a task remembers before it starts afresh.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 17
 _PRIME = np.uint64(0x100000001B3)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -156,6 +158,7 @@ def sample_features(docs: DataFrame, labelled: DataFrame, settings: Settings) ->
     task passes on its own least rows only. Its ids, bounded by the parameter, are sent to the tasks
     that read the texts.
     """
+    bound_batches(docs.sparkSession)
     nth = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id"))
     chosen = labelled.select("doc_id", "label").withColumn("nth", nth).where(F.col("nth") <= settings.per_class).select("doc_id", "label")
 
@@ -212,6 +215,7 @@ def score(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataF
     ``_p`` is in the order of ``model.labels``. A null or empty text, or one without words, gets what
     the classes' shares alone give.
     """
+    bound_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     keep = ["doc_id"] if keep is None else keep
 

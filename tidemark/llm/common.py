@@ -20,7 +20,7 @@ _BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 def bound_batches(spark: SparkSession) -> None:
     """Set ``BATCH_BYTES`` for the session unless it has a bound of its own, so long texts come in small batches."""
-    if spark.conf.get(_BATCH_CONF, "") in ("", "67108864", "67108864b"):
+    if spark.conf.get(_BATCH_CONF) == "67108864b":
         spark.conf.set(_BATCH_CONF, BATCH_BYTES)
 
 

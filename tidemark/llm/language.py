@@ -21,8 +21,9 @@ def held_out(doc_id: Column) -> Column:
 
 def fit(docs: DataFrame, settings: Settings = SETTINGS) -> Model:
     """A model from the text and lang of documents that are not held out; rows without lang are not learned."""
-    learned = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull()).select("doc_id", F.col("lang").cast("string").alias("label"))
-    labels, rows = sample_features(docs, learned, settings)
+    own = docs.select("doc_id", "text", F.col("lang").cast("string").alias("label"))
+    learned = own.where(~held_out(F.col("doc_id")) & F.col("label").isNotNull())
+    labels, rows = sample_features(own, learned, settings)
     model = train([r for n, r in enumerate(rows) if n % CALIBRATE_EVERY], labels, settings)
     return calibrate(model, rows[::CALIBRATE_EVERY])
 

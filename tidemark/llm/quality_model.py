@@ -26,7 +26,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = SETTINGS) -> Mo
     """
     learned = labels.where(~held_out(F.col("doc_id")) & F.col("quality").isin(0, 1)).select("doc_id", F.col("quality").cast("int").alias("label"))
     shares = {r["label"]: r["count"] for r in learned.groupBy("label").count().collect()}
-    known, rows = sample_features(docs, learned, settings)
+    known, rows = sample_features(docs.select("doc_id", "text"), learned, settings)
     rows = [(known[n], ids, share) for n, ids, share in rows]
     both = len(known) == 2
     model = train(rows if both else [], [0, 1], settings)

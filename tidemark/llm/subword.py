@@ -156,11 +156,13 @@ def sample_features(docs: DataFrame, labelled: DataFrame, settings: Settings) ->
 
     ``labelled`` has doc_id and label, without nulls. The sample takes the least hashes of doc_id; each
     task passes on its own least rows only. Its ids, bounded by the parameter, are sent to the tasks
-    that read the texts.
+    that read the texts. If ``docs`` has the column label too, a text is learned with its own label
+    only, else with each that its doc_id has.
     """
     bound_batches(docs.sparkSession)
     nth = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = labelled.select("doc_id", "label").withColumn("nth", nth).where(F.col("nth") <= settings.per_class).select("doc_id", "label")
+    chosen = labelled.select("doc_id", "label").withColumn("nth", nth).where(F.col("nth") <= settings.per_class).select("doc_id", "label").distinct()
+    keys = ["doc_id", *[c for c in docs.columns if c == "label"]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -168,7 +170,7 @@ def sample_features(docs: DataFrame, labelled: DataFrame, settings: Settings) ->
             columns = [pa.array([x[k].tolist() for x in found], t) for k, t in ((0, pa.list_(pa.int32())), (1, pa.list_(pa.float32())))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["doc_id", "label", "ids", "share"])
 
-    texts = docs.select("doc_id", F.col("text").cast("string")).join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
+    texts = docs.select(*keys, F.col("text").cast("string")).join(F.broadcast(chosen), keys).select("doc_id", "label", "text")
     label = labelled.schema["label"].dataType.simpleString()
     found = texts.mapInArrow(run, f"doc_id long, label {label}, ids array<int>, share array<float>").toArrow()
     ids, share = ([x.values.to_numpy() for x in found.column(c).combine_chunks()] if len(found) else [] for c in ("ids", "share"))

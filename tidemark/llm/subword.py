@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bound_batches
+from tidemark.llm.common import bound_batches, cut
 
 GRAMS = (3, 4, 5)
 #: Words that a task remembers before it starts afresh.
@@ -167,16 +167,17 @@ def sample_features(docs: DataFrame, labelled: DataFrame, settings: Settings) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [document_features(t, settings.buckets) for t in batch.column(2).to_pylist()]
-            columns = [pa.array([x[k].tolist() for x in found], t) for k, t in ((0, pa.list_(pa.int32())), (1, pa.list_(pa.float32())))]
+            columns = [pa.array([x[k].astype(t).tobytes() for x in found], pa.binary()) for k, t in ((0, "<i4"), (1, "<f4"))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["doc_id", "label", "ids", "share"])
 
     texts = docs.select(*keys, F.col("text").cast("string")).join(F.broadcast(chosen), keys).select("doc_id", "label", "text")
     label = labelled.schema["label"].dataType.simpleString()
-    found = texts.mapInArrow(run, f"doc_id long, label {label}, ids array<int>, share array<float>").toArrow()
-    ids, share = ([x.values.to_numpy() for x in found.column(c).combine_chunks()] if len(found) else [] for c in ("ids", "share"))
-    rows = sorted(zip(found.column("doc_id").to_pylist(), found.column("label").to_pylist(), ids, share, strict=True), key=lambda r: (r[0], r[1], len(r[2]), float(r[3].sum())))
+    found = cut(texts.mapInArrow(run, f"doc_id long, label {label}, ids binary, share binary"), "features")
+    # Read a part at a time: the driver's JVM never holds the whole sample.
+    rows = [(r["doc_id"], r["label"], np.frombuffer(r["ids"], "<i4"), np.frombuffer(r["share"], "<f4")) for r in found.toLocalIterator()]
+    rows.sort(key=lambda r: (r[0], r[1], len(r[2]), float(r[3].sum())))
     labels = sorted({r[1] for r in rows})
-    return labels, [(labels.index(r[1]), r[2].astype(np.int64), r[3]) for r in rows]
+    return labels, [(labels.index(r[1]), r[2], r[3]) for r in rows]
 
 
 class Scorer:

@@ -141,6 +141,12 @@ def test_quality_base_columns_equal_brute_force(spark):
     assert all(r["base_failed"] == (r["n_words"] < 50 or 100 * r["n_repeat_words"] > 50 * r["n_words"]) and not (r["base_failed"] and r["kept"]) for r in found)
 
 
+def test_filters_on_figures_compute_them_once(spark):
+    docs = spark.createDataFrame([(1, "a b c " * 20), (2, None)], "doc_id long, text string")
+    plan = quality_rules.judge(docs).where("kept AND n_repeat_words < 9 AND n_words > 3")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_distinct(") == 2  # of windows and of lines
+
+
 def test_order_of_rules_changes_no_verdict(spark):
     rules = quality_rules.rules()
     docs = spark.createDataFrame([(i, " ".join(f"word{j}" for j in range(60)) + x) for i, x in enumerate(["", " #" * 300, "!!" * 200, " 1 2 3" * 60])], "doc_id long, text string")

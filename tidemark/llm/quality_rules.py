@@ -79,12 +79,14 @@ def base_columns(docs: DataFrame) -> DataFrame:
     )
     lines = F.filter(F.split("_text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     read = read.select("*", lines.alias("_lines"))
-    return read.select(
-        "doc_id", "_text", "n_words", "word_chars",
+    figures = F.struct(
+        "n_words", "word_chars",
         F.regexp_count("_text", F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
     )
+    # A generator: a filter on the figures stays above it, instead of computing them again for each place that names them.
+    return read.select("doc_id", "_text", F.inline(F.array(figures)))
 
 
 def base_failed() -> Column:

@@ -14,6 +14,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, chat, language, mixing, quality_model, quality_rules, url_filter
+from tidemark.llm.subword import Settings, document_features, sample_features
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -216,6 +217,17 @@ def test_mix_writes_documents_in_order(spark):
 # classifiers
 
 
+def test_sample_is_the_least_hashes_of_each_class_and_bounded(spark):
+    docs = spark.range(20_000).selectExpr("id AS doc_id", "concat('w', id) AS text").union(spark.range(500).selectExpr("-1L", "concat('x', id % 3)"))
+    labelled = docs.selectExpr("doc_id", "CASE WHEN doc_id = -1 THEN 'hot' WHEN doc_id < 7 THEN 'tiny' ELSE 'big' END AS label")
+    labels, rows = sample_features(docs, labelled, Settings(per_class=20))
+    found = {name: sorted(r[1].tolist() for r in rows if labels[r[0]] == name) for name in labels}
+    assert {k: len(v) for k, v in found.items()} == {"big": 20, "hot": 1, "tiny": 7}
+    least = labelled.where("label = 'big'").distinct().orderBy(F.xxhash64("doc_id")).limit(20).collect()
+    assert found["big"] == sorted(document_features(f"w{r['doc_id']}", Settings.buckets)[0].tolist() for r in least)
+    assert sample_features(docs.limit(0), labelled.limit(0), Settings()) == ([], [])
+
+
 def test_language_is_learned_from_text_alone(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     found = {r["doc_id"]: r for r in language.op8_language_id(spark, sf).collect()}

@@ -154,14 +154,20 @@ def calibrate(model: Model, rows: list[tuple[int, np.ndarray, np.ndarray]], lost
 def sample_features(docs: DataFrame, labelled: DataFrame, settings: Settings) -> tuple[list, list[tuple[int, np.ndarray, np.ndarray]]]:
     """Labels in order and the features of at most ``per_class`` documents of each label.
 
-    ``labelled`` has doc_id and label, without nulls. The sample takes the least hashes of doc_id; each
-    task passes on its own least rows only. Its ids, bounded by the parameter, are sent to the tasks
-    that read the texts. If ``docs`` has the column label too, a text is learned with its own label
-    only, else with each that its doc_id has.
+    ``labelled`` has doc_id and label, without nulls. The sample takes the least hashes of doc_id. Only
+    hashes below a threshold compete for it, set by the number of a class's ids so that about twice
+    the bound pass; so few rows meet in one task at every size of the corpus. Repeated rows count
+    once; if an id has several texts, that of the least hash is learned. The sample's ids, bounded by the parameter, are sent to the tasks that read the texts. If
+    ``docs`` has the column label too, a text is learned with its own label only, else with each
+    that its doc_id has.
     """
     bound_batches(docs.sparkSession)
-    nth = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = labelled.select("doc_id", "label").withColumn("nth", nth).where(F.col("nth") <= settings.per_class).select("doc_id", "label").distinct()
+    place = F.xxhash64("doc_id")
+    ids = labelled.groupBy("label").agg(F.approx_count_distinct("doc_id").alias("_ids"))  # one row a class, as the model has
+    portion = F.lit(2.0 * settings.per_class + 100) / F.col("_ids")
+    few = labelled.select("doc_id", "label").join(F.broadcast(ids), "label").where(place / F.lit(2.0**63) < 2 * portion - 1)
+    nth = F.row_number().over(Window.partitionBy("label").orderBy(place, "doc_id"))
+    chosen = few.select("doc_id", "label").distinct().withColumn("nth", nth).where(F.col("nth") <= settings.per_class).drop("nth")
     keys = ["doc_id", *[c for c in docs.columns if c == "label"]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,7 +176,9 @@ def sample_features(docs: DataFrame, labelled: DataFrame, settings: Settings) ->
             columns = [pa.array([x[k].astype(t).tobytes() for x in found], pa.binary()) for k, t in ((0, "<i4"), (1, "<f4"))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["doc_id", "label", "ids", "share"])
 
-    texts = docs.select(*keys, F.col("text").cast("string")).join(F.broadcast(chosen), keys).select("doc_id", "label", "text")
+    texts = docs.select(*keys, F.col("text").cast("string")).join(F.broadcast(chosen), keys)
+    # One text of an id and label, so repeated ids do not break the bound; a hot one is combined before the shuffle.
+    texts = texts.groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text"))["text"].alias("text"))
     label = labelled.schema["label"].dataType.simpleString()
     found = cut(texts.mapInArrow(run, f"doc_id long, label {label}, ids binary, share binary"), "features")
     # Read a part at a time: the driver's JVM never holds the whole sample.

@@ -162,6 +162,19 @@ def test_components_of_chains_and_stars(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_of_long_chains(spark):
+    rng, n = random.Random(7), 3000
+    shuffled = rng.sample(range(n), n)
+    falling = [n, *range(2 * n - 1, n, -1)]  # labels that spread one edge a round need n - 1 rounds
+    names = [f"u{x}" for x in rng.sample(range(n), n)]
+    edges = [*itertools.pairwise(shuffled), *itertools.pairwise(falling)]
+    parts = connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert {r["node"]: r["component"] for r in parts} == {x: 0 if x < n else n for x in range(2 * n)}
+    assert len(parts) == 2 * n
+    parts = connected_components(spark.createDataFrame([*itertools.pairwise(names)], "a string, b string")).collect()
+    assert sorted((r["node"], r["component"]) for r in parts) == sorted((x, "u0") for x in names)
+
+
 def brute_cosine(rows):
     good = {i: np.array(v, float) for i, v in rows if v is not None and all(x is not None and math.isfinite(x) for x in v) and any(v)}
     links = [(a, b) for a, b in itertools.combinations(good, 2) if len(good[a]) == len(good[b]) and good[a] @ good[b] / np.linalg.norm(good[a]) / np.linalg.norm(good[b]) >= 0.9]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
 import tempfile
 import uuid
 
@@ -53,38 +52,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """Components of the undirected ``edges`` (a, b) as rows (node, component).
 
     ``component`` is the smallest node that can be reached, in the order of the column's type.
     Only nodes with an edge are returned. Null ends and loops are ignored, repeated edges count
     once, no edges give no rows.
 
-    Labels spread along the edges and each round also takes the label of the label, so the
-    number of rounds grows with the logarithm of the longest path. Each round is one job of
-    equi-joins between written tables, which adaptive execution can split where one node has a
-    large share of the edges, and the least label of a node is combined before the shuffle.
+    Each round hashes the nodes anew and merges each into the one of least hash among itself and
+    its neighbours; edges within a merged node go. The node of the largest hash of a component is
+    always merged away, so the rounds end without a cap, and as the order is random the nodes
+    left fall by a constant factor in expectation, whatever the shape: the number of rounds grows
+    with the logarithm of the largest component. The merges are then followed from the last round
+    to the first. All steps are equi-joins between written tables, which adaptive execution can
+    split where one node has a large share of the edges, and least values are combined before the
+    shuffle.
     """
-    clean = edges.select("a", "b").where("a IS NOT NULL AND b IS NOT NULL AND a <> b").distinct()
-    both = cut(clean.select("a", "b").union(clean.select("b", "a")).distinct(), "edges")
-    labels = cut(
-        both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
-        .select("node", F.least("node", "least").alias("label")),
-        "labels",
-    )
-    for _ in itertools.islice(itertools.count(), max_rounds):
-        heard = (
-            both.join(labels.withColumnRenamed("node", "a"), "a")
-            .groupBy(F.col("b").alias("node")).agg(F.min("label").alias("heard"))
-        )
-        spread = labels.join(heard, "node", "left").select(
-            "node", F.col("label").alias("old"), F.least("label", "heard").alias("mid")
-        )
-        jump = labels.select(F.col("node").alias("mid"), F.col("label").alias("far"))
-        moved = cut(
-            spread.join(jump, "mid", "left").select("node", F.least("mid", "far").alias("label"), "old"), "labels"
-        )
-        labels = moved.select("node", "label")
-        if moved.where("label <> old").isEmpty():
-            return labels.withColumnRenamed("label", "component")
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+    clean = edges.select("a", "b").where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
+    left = cut(clean.union(clean.select("b", "a")).distinct(), "edges")
+    merges: list[DataFrame] = []
+    while not merges or not left.isEmpty():
+        rank = lambda c, n=len(merges): F.struct(F.xxhash64(F.lit(n), c).alias("h"), F.col(c).alias("node"))
+        heard = left.groupBy("a").agg(F.min(rank("b")).alias("least"))
+        merges.append(cut(heard.select(F.col("a").alias("node"), F.least("least", rank("a"))["node"].alias("into")), "merges"))
+        ends = [merges[-1].select(F.col("node").alias(c), F.col("into").alias(f"new_{c}")) for c in ("a", "b")]
+        moved = left.join(ends[0], "a").join(ends[1], "b").where("new_a <> new_b")
+        left = cut(moved.select(F.col("new_a").alias("a"), F.col("new_b").alias("b")).distinct(), "edges")
+    parts = merges.pop()
+    while merges:
+        later = parts.select(F.col("node").alias("into"), F.col("into").alias("last"))
+        parts = cut(merges.pop().join(later, "into", "left").select("node", F.coalesce("last", "into").alias("into")), "merges")
+    least = parts.groupBy("into").agg(F.min("node").alias("component"))
+    return parts.join(least, "into").select("node", "component")

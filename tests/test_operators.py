@@ -1,8 +1,12 @@
 from __future__ import annotations
 
+import datetime
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import connected_components
 from tidemark.operators import impute as I
 from tidemark.operators import joins as J
 from tidemark.operators import windows as W
@@ -59,6 +63,59 @@ def test_intervals_have_open_ends_and_gaps(spark):
     assert [r["team"] for r in found.orderBy("id", "week").collect()] == ["x", "x", None, "y", None]
 
 
+@pytest.mark.parametrize("slices", [1, 5, 32])
+def test_intervals_equal_brute_force(spark, slices):
+    rng = random.Random(3)
+    end = lambda s: None if rng.random() < 0.1 else (s or 0) + rng.randrange(-2, 15)
+    starts = [None if rng.random() < 0.1 else rng.randrange(60) for _ in range(90)]
+    spans = [(rng.choice([1, 1, 1, 2, None]), s, end(s), f"v{i}") for i, s in enumerate(starts)]
+    spans = [x for x in spans if x[0] != 1 or x[2] is not None] + [(3, None, None, "all"), (3, 2, 5, "in")]
+    left = [(n, rng.choice([1, 1, 2, 3, 4, None]), None if rng.random() < 0.05 else rng.randrange(-3, 80)) for n in range(400)]
+    low = lambda x: (x is not None, x or 0)
+
+    def first(k, t):
+        fits = lambda s, e: (s is None or (t is not None and s <= t)) and (e is None or (t is not None and e >= t))
+        return min(((low(s), low(e), v) for i, s, e, v in spans if i == k and k is not None and fits(s, e)), default=(None,))[-1]
+
+    found = J.in_interval(
+        spark.createDataFrame(left, "n int, id int, week int"), spark.createDataFrame(spans, "id int, s int, e int, team string"), ["id"], "week", "s", "e", "team", slices
+    )
+    assert found.columns == ["n", "id", "week", "team"]
+    assert {r["n"]: r["team"] for r in found.collect()} == {n: first(k, t) for n, k, t in left}
+
+
+def test_intervals_of_one_frequent_key(spark):
+    """20,000 spans and 20,000 rows of one key, 4e8 pairs."""
+    left = spark.range(20000).selectExpr("1 AS id", "CAST(id AS INT) AS week")
+    spans = spark.range(20000).selectExpr("1 AS id", "CAST(id AS INT) AS s", "CAST(id + 1 AS INT) AS e", "id AS v")
+    found = J.in_interval(left, spans, ["id"], "week", "s", "e", "v")
+    assert found.where("v = greatest(week - 1, 0)").count() == 20000
+    assert "collect_list" not in found._jdf.queryExecution().toString()
+
+
+def test_linked_and_clustered_records_equal_brute_force(spark):
+    rng = random.Random(5)
+    day = lambda: None if rng.random() < 0.1 else datetime.date(2000, 1, rng.randrange(1, 9))
+    data = [(i, rng.choice(["x", "y", None]), rng.choice([0, 1, 2, None]), rng.choice([0, 1]), rng.choice("ab"), day()) for i in range(60)]
+    df = spark.createDataFrame(data, "id int, name string, a int, b int, c string, born date")
+
+    def agree(x, y):
+        same = sum(p is not None and p == q for p, q in zip(x[2:5], y[2:5], strict=True))
+        return x[1] is not None and x[1] == y[1] and same + (None not in (x[5], y[5]) and abs((x[5] - y[5]).days) <= 1) >= 3
+
+    links = [(x[0], y[0]) for x in data for y in data if x[0] != y[0] and agree(x, y)]
+    direct = {x[0]: min([x[0], *[b for a, b in links if a == x[0]]]) for x in data}
+    cluster = {x[0]: x[0] for x in data}
+    for _ in data:
+        for a, b in links:
+            cluster[a] = min(cluster[a], cluster[b])
+    assert direct != cluster
+    args = ("id", "name", ["a", "b", "c"], ["born"], 3)
+    assert {r["id"]: r["same_as"] for r in J.linked_records(df, *args).collect()} == direct
+    assert {r["id"]: r["same_as"] for r in J.clustered_records(df, connected_components, *args).collect()} == cluster
+    assert "NestedLoop" not in J.linked_records(df, *args)._jdf.queryExecution().toString()
+
+
 def test_nearest_takes_the_earlier_of_a_tie(spark):
     left = spark.sql("SELECT 1 AS g, TIMESTAMP '2024-01-01 12:30:00' AS t UNION ALL SELECT 2, TIMESTAMP '2024-01-01 12:00:00'")
     right = spark.sql("SELECT 1 AS g, TIMESTAMP '2024-01-01 12:00:00' AS h, 5.0D AS v UNION ALL SELECT 1, TIMESTAMP '2024-01-01 13:00:00', 6.0D")

@@ -6,7 +6,10 @@ fan out.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import functools
+import itertools
+import operator
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -88,16 +91,41 @@ def pair_key(a: Column, b: Column) -> Column:
     return F.struct(F.least(a, b).alias("low"), F.greatest(a, b).alias("high"))
 
 
-def in_interval(left: DataFrame, spans: DataFrame, keys: Sequence[str], at: str, start: str, end: str, value: str) -> DataFrame:
+def in_interval(left: DataFrame, spans: DataFrame, keys: Sequence[str], at: str, start: str, end: str, value: str, slices: int = 32) -> DataFrame:
     """``left`` with the ``value`` of the first span that contains ``at``; ends are included, null ends open.
 
-    Spans that start first win, then those that end first; rows in a gap get null. As spans of one
-    entity are few, they are gathered to an array and searched where the row is: one equi-join,
-    no fan-out.
+    Spans that start first win, then those that end first; rows in a gap get null. In that order a
+    span holds only what lies beyond the greatest end before it, so the spans become disjoint and a
+    time needs just the last one begun. The time line of a key is cut at common quantiles and what
+    is open is carried from slice to slice, so neither spans nor rows of a frequent key meet in one
+    task; repeated times of a key are looked up once.
     """
-    slots = spans.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(start).alias("s"), F.col(end).alias("e"), F.col(value).alias("v")))).alias("_spans"))
-    held = F.filter("_spans", lambda x: (x["s"].isNull() | (x["s"] <= F.col(at))) & (x["e"].isNull() | (x["e"] >= F.col(at))))
-    return left.join(slots, list(keys), "left").withColumn(value, F.get(held, F.lit(0))["v"]).drop("_spans")
+    asked = left.select(*keys, F.col(at).alias("_at")).dropna(subset=list(keys)).distinct()
+    held = spans.select(*keys, F.col(start).alias("_s"), F.col(end).alias("_e"), F.col(value).alias("_v")).dropna(subset=list(keys))
+    times = asked.select("_at").union(held.select("_s"))
+    cuts = F.broadcast(times.agg(F.percentile_approx("_at", [i / slices for i in range(1, slices)], 1000).alias("_cuts")))  # one row
+    sliced = lambda df, c: df.crossJoin(cuts).withColumn("_slice", F.greatest(F.size(F.filter("_cuts", lambda b: b < F.col(c))), F.lit(0))).drop("_cuts")
+    part, slice_ = [*keys, "_slice"], Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+
+    until = F.struct(F.col("_e").isNull().alias("open"), F.col("_e").alias("e"))
+    held = sliced(held.where("_s IS NULL OR _e IS NULL OR _s <= _e"), "_s")
+    prior = held.groupBy(*part).agg(F.max(until).alias("_top")).withColumn("_prior", F.max("_top").over(slice_)).drop("_top")
+    within = Window.partitionBy(*part).orderBy("_s", "_e", "_v").rowsBetween(Window.unboundedPreceding, -1)
+    held = held.join(prior, part).withColumn("_m", F.greatest(F.max(until).over(within), F.col("_prior")))
+    covered = F.col("_m").isNotNull() & (F.col("_s").isNull() | (F.col("_m.e") >= F.col("_s")))
+    begun = held.where(F.col("_m").isNull() | (until > F.col("_m"))).select(
+        *keys, F.when(covered, F.col("_m.e")).otherwise(F.col("_s")).alias("_at"), F.when(covered, 2).otherwise(0).alias("_kind"), F.struct("_e", "_v").alias("_span")
+    )  # kind 2 begins after its time, 0 at it
+
+    line = sliced(asked.withColumn("_kind", F.lit(1)).unionByName(begun, allowMissingColumns=True), "_at")
+    latest_ = F.max(F.when(F.col("_kind") != 1, F.struct("_at", "_kind", "_span")))
+    carried = line.groupBy(*part).agg(latest_.alias("_top")).withColumn("_carried", F.max("_top").over(slice_)["_span"]).drop("_top")
+    upto = Window.partitionBy(*part).orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    line = line.join(carried, part).withColumn("_span", F.coalesce(F.last("_span", ignorenulls=True).over(upto), F.col("_carried")))
+    fits = F.col("_span._e").isNull() | (F.col("_span._e") >= F.col("_at"))
+    found = line.where("_kind = 1").select(*[F.col(k).alias("_k_" + k) for k in keys], F.col("_at"), F.when(fits, F.col("_span._v")).alias("_found"))
+    on = [left[k] == found["_k_" + k] for k in keys] + [left[at].eqNullSafe(found["_at"])]
+    return left.join(found, on, "left").withColumn(value, F.col("_found")).drop("_found", "_at", *["_k_" + k for k in keys])
 
 
 def as_of(left: DataFrame, right: DataFrame, keys: Sequence[str], at: str, time: str, values: Sequence[str]) -> DataFrame:
@@ -176,20 +204,47 @@ def date_tolerant(left: DataFrame, right: DataFrame, keys: Sequence[str], left_d
     return left.withColumn("_near", near).join(right.withColumn("_near", F.col(right_date)), [*keys, "_near"]).drop("_near")
 
 
-def agreeing(a: str, b: str, names: Sequence[str], dates: Sequence[str] = ()) -> Column:
-    """How many of the columns agree between two aliases; dates may be one day apart."""
-    same = [F.when(F.col(f"{a}.{c}") == F.col(f"{b}.{c}"), 1).otherwise(0) for c in names]
-    same += [F.when(F.abs(F.datediff(F.col(f"{a}.{c}"), F.col(f"{b}.{c}"))) <= 1, 1).otherwise(0) for c in dates]
-    return sum(same[1:], same[0])
+def _agreements(df: DataFrame, id_: str, name: str, names: Sequence[str], dates: Sequence[str], least: int, days: Sequence[int]) -> DataFrame:
+    """(id, name, _key): a row for each choice of ``least`` columns without nulls, with its values; dates moved by each of ``days``."""
+    options = []
+    for n, chosen in enumerate(itertools.combinations([*names, *dates], least)):
+        for moves in itertools.product(*[days if c in dates else (0,) for c in chosen]):
+            by = dict(zip(chosen, moves, strict=True))
+            values = [F.date_add(c, by.get(c, 0)) if c in dates else F.col(c) for c in [*names, *dates]]
+            held = [F.when(F.lit(c in by), v).alias(c) for c, v in zip([*names, *dates], values, strict=True)]
+            filled = [F.col(c).isNotNull() for c in chosen]
+            options.append(F.when(functools.reduce(operator.and_, filled, F.lit(True)), F.struct(F.lit(n).alias("_n"), *held)))
+    return df.where(F.col(name).isNotNull()).select(id_, name, F.explode(F.array_compact(F.array(*options))).alias("_key"))
+
+
+def _links(df: DataFrame, id_: str, name: str, names: Sequence[str], dates: Sequence[str], least: int) -> DataFrame:
+    """(a, b): each record with the least id of every agreement that it shares, its own included."""
+    firsts = _agreements(df, id_, name, names, dates, least, (0,)).groupBy(name, "_key").agg(F.min(id_).alias("b"))
+    return _agreements(df, id_, name, names, dates, least, (-1, 0, 1)).join(firsts, [name, "_key"]).select(F.col(id_).alias("a"), "b")
 
 
 def linked_records(df: DataFrame, id_: str, name: str, names: Sequence[str], dates: Sequence[str] = (), least: int = 4) -> DataFrame:
-    """(id, same_as): the smallest id among the records of the same name that agree in ``least`` columns, its own included."""
-    pairs = df.alias("a").join(df.alias("b"), (F.col(f"a.{name}") == F.col(f"b.{name}")) & (F.col(f"a.{id_}") > F.col(f"b.{id_}")) & (agreeing("a", "b", names, dates) >= least))
-    least_ = pairs.groupBy(F.col(f"a.{id_}").alias(id_)).agg(F.min(F.col(f"b.{id_}")).alias("same_as"))
+    """(id, same_as): the smallest id among the records of the same name that agree in ``least`` columns, its own included.
+
+    Dates may be one day apart. Records meet by equi-joins with the least id of each choice of
+    ``least`` columns, never in pairs, so a frequent name costs no more than its rows. Only direct
+    links count; ``clustered_records`` follows them.
+    """
+    least_ = _links(df, id_, name, names, dates, least).groupBy(F.col("a").alias(id_)).agg(F.min("b").alias("same_as"))
     return df.select(id_).join(least_, id_, "left").select(id_, F.coalesce("same_as", id_).alias("same_as"))
 
 
+def clustered_records(
+    df: DataFrame, components: Callable[[DataFrame], DataFrame], id_: str, name: str, names: Sequence[str], dates: Sequence[str] = (), least: int = 4
+) -> DataFrame:
+    """(id, same_as): the smallest id that can be reached over links of ``linked_records``, however many.
+
+    ``components`` makes (node, component) of edges (a, b), with the smallest node as component.
+    """
+    parts = components(_links(df, id_, name, names, dates, least)).select(F.col("node").alias(id_), F.col("component").alias("same_as"))
+    return df.select(id_).join(parts, id_, "left").select(id_, F.coalesce("same_as", id_).alias("same_as"))
+
+
 def disjoint_pairs(df: DataFrame, id_: str, name: str, group: str, sets: str) -> DataFrame:
     """(id, other_id): records of one name in different groups whose sets have nothing in common."""
     a, b = df.alias("a"), df.alias("b")

@@ -69,7 +69,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     shuffle.
     """
     clean = edges.select("a", "b").where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
-    left = cut(clean.union(clean.select("b", "a")).distinct(), "edges")
+    ways = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    left = cut(clean.select(F.inline(ways)).distinct(), "edges")  # both ways in one pass
     merges: list[DataFrame] = []
     while not merges or not left.isEmpty():
         rank = lambda c, n=len(merges): F.struct(F.xxhash64(F.lit(n), c).alias("h"), F.col(c).alias("node"))

@@ -116,6 +116,21 @@ def test_redirects_and_canonical_links_carry_decisions(spark):
         url_filter.decide(F.lit("a"), F.lit("b"), (("block", "a", "/"),) * 1001)
 
 
+def test_every_link_of_a_page_is_an_alias(spark):
+    link, refresh = '<link rel={} href="{}">'.format, '<meta http-equiv="refresh" content="0; url={}">'.format
+    rows = [
+        (1, "http://a.io/", link("canonical", "http://a.io/1") + "<p>" + link('"canonical"', "https://x.net/")),
+        (2, "http://b.io/", refresh("/1") + refresh("https://y.net/")),
+        (3, "http://c.io/", link('"shortlink canonical"', "https://z.net/")),
+        (4, "http://d.io/", link("'shortlink\ncanonical'", "https://z.net/")),
+        (5, "http://e.io/", link('"alternate" title="canonical"', "https://z.net/") + link('"noncanonical"', "https://z.net/")),
+        (6, "http://a.io/1", None),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r["page_id"]: r["verdict"] for r in url_filter.judge(pages).collect()}
+    assert found == {1: "block", 2: "block", 3: "block", 4: "block", 5: "allow", 6: "block"}
+
+
 # quality rules
 
 

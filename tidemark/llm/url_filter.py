@@ -1,7 +1,7 @@
 """URL filter with redirect equivalence.
 
 Rules name a host and the start of a path. A page that no rule fits takes the decision of its
-aliases: pages are connected by redirects (HTTP records, or a page's meta refresh) and by canonical
+aliases: pages are connected by redirects (HTTP records, or a page's meta refreshes) and by canonical
 links, and a component with an explicitly allowed URL is allowed, else one with a blocked URL is
 blocked. URLs that are only the end of an edge count too, whether or not they were crawled.
 
@@ -26,7 +26,7 @@ RULES = (
 MAX_RULES = 1000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
-_LINK = r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)"
+_LINK = r"(?is)<link\b(?=[^>]*\brel\s*=\s*(?:\"(?:[^\">]*\s)?|'(?:[^'>]*\s)?)?canonical\b)[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)"
 _REFRESH = r"(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b)[^>]*\burl\s*=\s*[\"']?([^\"'\s>;]+)"
 
 
@@ -75,10 +75,10 @@ def resolve(target: Column, base: Column) -> Column:
 
 
 def alias_edges(pages: DataFrame, redirects: DataFrame | None = None) -> DataFrame:
-    """Edges (a, b) between nodes: each page's canonical link and meta refresh, and rows (from_url, to_url)."""
+    """Edges (a, b) between nodes: each page's canonical links and meta refreshes, and rows (from_url, to_url)."""
     url, html = F.col("url").cast("string"), F.col("html").cast("string")
     linked = pages.where(url.contains("://") & html.rlike("(?i)canonical|refresh"))
-    targets = F.array(F.regexp_extract(html, _LINK, 1), F.regexp_extract(html, _REFRESH, 1))
+    targets = F.concat(F.regexp_extract_all(html, F.lit(_LINK), 1), F.regexp_extract_all(html, F.lit(_REFRESH), 1))
     edges = linked.select(url.alias("url"), F.explode(targets).alias("target")).select(
         node(F.col("url")).alias("a"), node(resolve(F.col("target"), F.col("url"))).alias("b")
     )

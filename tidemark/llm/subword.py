@@ -8,6 +8,7 @@ Spark tasks that hold the model, whose size is fixed by its parameters.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,10 +20,13 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import bound_batches, cut
 
 GRAMS = (3, 4, 5)
-#: Words that a task remembers before it starts afresh.
-REMEMBERED = 1 << 17
+#: Words that a task remembers before it starts afresh; the table of their vectors has this many rows from the start.
+REMEMBERED = 1 << 16
+#: Characters of words that are turned into features at a time, and characters of texts that are split at a time.
+WORD_CHARS, TEXT_CHARS = 1 << 15, 1 << 18
 _PRIME = np.uint64(0x100000001B3)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_SPACE = re.compile(r"\s").search
 
 
 @dataclass(frozen=True)
@@ -43,26 +47,64 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def word_features(words: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash of each word, feature ids, index of the word that each belongs to); every word has a feature."""
-    joined = "".join(f"<{w}>" for w in words)
-    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(1)
-    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
-    ends = np.cumsum(sizes)
-    starts = ends - sizes
-    owner = np.repeat(np.arange(len(words)), sizes)
-    powers = np.cumprod(np.full(int(sizes.max(initial=1)), _PRIME), dtype=np.uint64)
-    at = np.arange(len(codes))
-    whole = _mixed(np.add.reduceat(codes * powers[at - starts[owner]], starts)) if len(words) else np.array([], np.uint64)
-    ids, owners = [(whole % np.uint64(buckets)).astype(np.int64)], [np.arange(len(words))]
+def _gram_ids(codes: np.ndarray, owner: np.ndarray, ends: np.ndarray, buckets: int, before: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, owners) of the character n-grams that start at ``before`` or earlier and end within their word."""
+    at, ids, owners = np.arange(min(before, len(codes))), [], []
     for n in GRAMS:
-        i = np.flatnonzero(at + n <= ends[owner])
+        i = at[at + n <= ends[owner[: len(at)]]]
         h = np.full(len(i), np.uint64(n))
         for k in range(n):
             h = h * _PRIME + codes[i + k]
         ids.append((_mixed(h) % np.uint64(buckets)).astype(np.int64))
         owners.append(owner[i])
-    return whole, np.concatenate(ids), np.concatenate(owners)
+    return np.concatenate(ids), np.concatenate(owners)
+
+
+def _codes(joined: str) -> np.ndarray:
+    return np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(1)
+
+
+def _long_word(word: str, buckets: int) -> Iterator[tuple[np.uint64 | None, np.ndarray]]:
+    """(None, ids of n-grams) for a portion of a long word after the other, at last (hash of the word, its id)."""
+    marked, whole, power, most = f"<{word}>", 0, 1, max(GRAMS)
+    for first in range(0, len(marked), WORD_CHARS):
+        codes = _codes(marked[first : first + WORD_CHARS + most])
+        own = codes[:WORD_CHARS]
+        powers = np.cumprod(np.full(len(own), _PRIME), dtype=np.uint64) * np.uint64(power)
+        whole += int((own * powers).sum(dtype=np.uint64))
+        power = power * pow(int(_PRIME), len(own), 1 << 64) % (1 << 64)
+        yield None, _gram_ids(codes, np.zeros(len(codes), np.int64), np.array([len(codes)]), buckets, WORD_CHARS)[0]
+    hashed = _mixed(np.array([whole % (1 << 64)], np.uint64))
+    yield hashed[0], (hashed % np.uint64(buckets)).astype(np.int64)
+
+
+def word_features(words: list[str], buckets: int, hashes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Portions (feature ids, index of the word that each belongs to), of bounded size whatever the words.
+
+    Every word has a feature for itself and one for each of its character n-grams; ``hashes`` gets the words' hashes.
+    """
+    first = 0
+    while first < len(words):
+        last, chars = first, 0
+        while last < len(words) and (chars := chars + len(words[last]) + 2) <= WORD_CHARS:
+            last += 1
+        if last == first:
+            for whole, ids in _long_word(words[first], buckets):
+                hashes[first] = 0 if whole is None else whole
+                yield ids, np.full(len(ids), first)
+            first += 1
+            continue
+        part = words[first:last]
+        codes = _codes("".join(f"<{w}>" for w in part))
+        sizes = np.fromiter(map(len, part), np.int64, len(part)) + 2
+        ends = np.cumsum(sizes)
+        starts, owner = ends - sizes, np.repeat(np.arange(len(part)), sizes)
+        powers = np.cumprod(np.full(int(sizes.max()), _PRIME), dtype=np.uint64)
+        whole = _mixed(np.add.reduceat(codes * powers[np.arange(len(codes)) - starts[owner]], starts))
+        hashes[first:last] = whole
+        ids, owners = _gram_ids(codes, owner, ends, buckets, len(codes))
+        yield np.concatenate([(whole % np.uint64(buckets)).astype(np.int64), ids]), np.concatenate([np.arange(first, last), owners + first])
+        first = last
 
 
 def pair_features(hashes: np.ndarray, buckets: int) -> np.ndarray:
@@ -71,19 +113,37 @@ def pair_features(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return (pairs % np.uint64(buckets)).astype(np.int64)
 
 
+def word_slices(text: str | None) -> Iterator[list[str]]:
+    """The words of a text, between white space, in slices of about ``TEXT_CHARS`` characters."""
+    at, size = 0, len(text) if text else 0
+    while at < size:
+        found = _SPACE(text, at + TEXT_CHARS) if at + TEXT_CHARS < size else None
+        end = found.start() if found else size
+        if words := text[at:end].split():
+            yield words
+        at = end
+
+
 def document_features(text: str | None, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sparse features of one document: ids and weights that sum to 1; none for a text without words."""
-    words = text.split() if text else []
-    if not words:
-        return np.array([], np.int64), np.array([], np.float32)
-    distinct, place = np.unique(np.array(words, object), return_inverse=True)
-    counts = np.bincount(place)
-    whole, ids, owner = word_features(list(distinct), buckets)
-    weight = (counts / np.bincount(owner))[owner]
-    pairs = pair_features(whole[place], buckets)
-    ids, weight = np.concatenate([ids, pairs]), np.concatenate([weight, np.ones(len(pairs))])
-    unique, where = np.unique(ids, return_inverse=True)
-    return unique, (np.bincount(where, weight) / (len(words) + len(pairs))).astype(np.float32)
+    """Sparse features of one document: ids and weights that sum to 1; none for a text without words.
+
+    The features of a word share the weight of one, as often as the word occurs, and each pair of
+    neighbouring words has the weight of one. Memory is that of a slice of the text and of its distinct words.
+    """
+    total, words, last = np.zeros(buckets), 0, np.zeros(0, np.uint64)
+    for part in word_slices(text):
+        distinct, place = np.unique(np.array(part, object), return_inverse=True)
+        counts, hashes, grams = np.bincount(place), np.zeros(len(distinct), np.uint64), np.zeros(len(distinct))
+        portions = list(word_features(list(distinct), buckets, hashes))
+        for _, owner in portions:
+            grams += np.bincount(owner, minlength=len(grams))
+        for ids, owner in portions:
+            total += np.bincount(ids, (counts / grams)[owner], minlength=buckets)
+        run = np.concatenate([last, hashes[place]])
+        total += np.bincount(pair_features(run, buckets), minlength=buckets)
+        words, last = words + len(part), run[-1:]
+    unique = np.flatnonzero(total)
+    return unique, (total[unique] / max(1, 2 * words - 1)).astype(np.float32)
 
 
 @dataclass
@@ -189,35 +249,58 @@ def sample_features(docs: DataFrame, labelled: DataFrame, settings: Settings) ->
 
 
 class Scorer:
-    """Means of whole documents for one task; remembers the vectors of words."""
+    """Means of whole documents for one task; remembers the vectors of words in a table of fixed size."""
 
     def __init__(self, model: Model) -> None:
         self.model, self.known = model, {}
-        self.vectors, self.hashes = np.zeros((0, model.settings.dim), np.float32), np.zeros(0, np.uint64)
+        self.vectors = np.zeros((REMEMBERED, model.settings.dim), np.float32)
+        self.hashes = np.zeros(REMEMBERED, np.uint64)
+
+    def learn(self, words: set[str]) -> None:
+        """Vectors of the words that are not known yet; all of ``words`` are known afterwards."""
+        new = words.difference(self.known)
+        if len(self.known) + len(new) > len(self.vectors):
+            self.known, new = {}, words
+        if len(new) > len(self.vectors):  # a slice of text with more distinct words than the table has rows
+            self.vectors, self.hashes = np.zeros((len(new), self.vectors.shape[1]), np.float32), np.zeros(len(new), np.uint64)
+        new, buckets = sorted(new), self.model.settings.buckets
+        for at in range(0, len(new), 2000):
+            part, row = new[at : at + 2000], len(self.known)
+            sums, grams = self.vectors[row : row + len(part)], np.zeros(len(part), np.float32)
+            sums[:] = 0
+            for ids, owner in word_features(part, buckets, self.hashes[row : row + len(part)]):
+                order = np.argsort(owner, kind="stable")
+                own, starts = np.unique(owner[order], return_index=True)
+                sums[own] += np.add.reduceat(self.model.vectors[ids[order]], starts, axis=0)
+                grams += np.bincount(owner, minlength=len(part)).astype(np.float32)
+            sums /= grams[:, None]
+            self.known.update(zip(part, range(row, row + len(part)), strict=True))
 
     def means(self, texts: list[str | None]) -> np.ndarray:
-        buckets = self.model.settings.buckets
-        split = [t.split() if t else [] for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.__init__(self.model)
-        new = sorted(set().union(*split).difference(self.known))
-        for at in range(0, len(new), 50_000):
-            part = new[at : at + 50_000]
-            whole, ids, owner = word_features(part, buckets)
-            order = np.argsort(owner, kind="stable")
-            sums = np.add.reduceat(self.model.vectors[ids[order]], np.searchsorted(owner[order], np.arange(len(part))), axis=0)
-            self.known.update(zip(part, range(len(self.known), len(self.known) + len(part)), strict=True))
-            self.vectors = np.concatenate([self.vectors, sums / np.bincount(owner)[:, None]])
-            self.hashes = np.concatenate([self.hashes, whole])
-        out = np.zeros((len(texts), self.model.settings.dim), np.float32)
-        for n, words in enumerate(split):
-            if words:
-                at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-                total = self.vectors[at].sum(0, dtype=np.float64)
-                if len(words) > 1:
-                    total += self.model.vectors[pair_features(self.hashes[at], buckets)].sum(0, dtype=np.float64)
-                out[n] = total / (2 * len(words) - 1)
-        return out
+        """The mean vector of each text, read in slices; zero for one without words."""
+        totals, sizes = np.zeros((len(texts), self.model.settings.dim)), np.zeros(len(texts), np.int64)
+        last: list[np.ndarray] = [self.hashes[:0]] * len(texts)
+        waiting: list[tuple[int, list[str]]] = []
+        room = 0
+        for n, text in enumerate(texts):
+            for words in word_slices(text):
+                waiting.append((n, words))
+                room += len(words)
+                if room > TEXT_CHARS // 4:
+                    self._add(waiting, totals, sizes, last)
+                    waiting, room = [], 0
+        self._add(waiting, totals, sizes, last)
+        return (totals / np.maximum(1, 2 * sizes - 1)[:, None]).astype(np.float32)
+
+    def _add(self, waiting: list[tuple[int, list[str]]], totals: np.ndarray, sizes: np.ndarray, last: list[np.ndarray]) -> None:
+        self.learn(set().union(*(words for _, words in waiting)))
+        for n, words in waiting:
+            at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+            run = np.concatenate([last[n], self.hashes[at]])
+            totals[n] += self.vectors[at].sum(0, dtype=np.float64)
+            totals[n] += self.model.vectors[pair_features(run, self.model.settings.buckets)].sum(0, dtype=np.float64)
+            sizes[n] += len(words)
+            last[n] = run[-1:].copy()
 
 
 def score(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
@@ -235,8 +318,8 @@ def score(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataF
 
         letter, scorer = regex.compile(r"\p{L}").search, Scorer(sent.value)
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
+            for at in range(0, whole.num_rows, 200):
+                batch = whole.slice(at, 200)
                 texts = batch.column(batch.num_columns - 1).to_pylist()
                 p = scorer.model.probabilities(scorer.means(texts)).astype(np.float64)
                 flat = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * p.shape[1]), pa.array(p.ravel()))

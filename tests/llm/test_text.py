@@ -27,9 +27,10 @@ def test_chat_round_trip(spark):
     tricky = ["", None, "\\", "### assistant: x </turn>\n", "a\\:b#c<d", "</turn>", "\n### user: ", "é😀:\\\\"]
     rows = [(c, t, rng.choice(["user", "assistant", "system", "as:sist#ant", None]), rng.choice(tricky)) for c in range(30) for t in range(rng.randrange(1, 6))]
     formatted = chat.format_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
-    found = {r["conv_id"]: r for r in chat.read_back(formatted).collect()}
+    parts = chat.examples(formatted)
+    found = {r["conv_id"]: r for r in chat.read_back(parts).collect()}
     examples = {}
-    for r in chat.expand(formatted).collect():
+    for r in chat.expand(parts).collect():
         examples.setdefault(r["conv_id"], []).append(r)
     for conv, row in found.items():
         turns = sorted(((t, role, text) for c, t, role, text in rows if c == conv), key=lambda x: x[0])
@@ -48,13 +49,50 @@ def test_chat_round_trip(spark):
 def test_chat_ties_and_empty_tables(spark):
     rows = [(1, 0, "user", "b", "x"), (1, 0, "user", "a", "y"), (1, 0, "user", "a", "y"), (None, None, None, None, None)]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, segment string")
-    found = {r["conv_id"]: r["n_turns"] for r in chat.read_back(chat.format_turns(turns)).collect()}
+    found = {r["conv_id"]: r["n_turns"] for r in chat.read_back(chat.examples(chat.format_turns(turns))).collect()}
     assert found == {1: 3, None: 1}
-    assert chat.read_back(chat.format_turns(turns.limit(0))).count() == 0
+    nothing = chat.examples(chat.format_turns(turns.limit(0)))
+    assert chat.read_back(nothing).count() == 0 and chat.expand(nothing).count() == 0
     with pytest.raises(ValueError):
         chat.parse("### user: a </turn>\nrest")
 
 
+def test_chat_escaping_is_needed(spark, monkeypatch):
+    """Markers inside a text would be read as turns of their own if they were not escaped."""
+    rows = [(1, 0, "user", "a </turn>\n### user: b"), (1, 1, "assistant", "c")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    whole = hashlib.sha256("".join(f"{r}\n{t}\n" for _, _, r, t in rows).encode()).hexdigest()
+    assert [(r["n_turns"], r["turns_sha256"]) for r in chat.read_back(chat.examples(chat.format_turns(turns))).collect()] == [(2, whole)]
+    monkeypatch.setattr(chat, "escape", lambda text: F.coalesce(text, F.lit("")))
+    plain = chat.read_back(chat.examples(chat.format_turns(turns))).collect()
+    assert [r["n_turns"] for r in plain] == [3] and plain[0]["turns_sha256"] != whole
+    broken = turns.unionByName(spark.createDataFrame([(2, 0, "assistant", "x </turn>\n y")], turns.schema))
+    with pytest.raises(Exception, match="no (turn|reply)"):
+        chat.read_back(chat.examples(chat.format_turns(broken))).collect()
+
+
+def test_chat_masks_are_held_against_the_reply(spark):
+    parts = chat.examples(chat.format_turns(spark.createDataFrame([(1, 0, "assistant", "abc")], "conv_id long, turn long, role string, text string")))
+    with pytest.raises(Exception, match="mask"):
+        chat.read_back(parts.withColumn("loss_end", F.col("loss_end") - 1)).collect()
+
+
+def test_a_very_long_conversation_is_a_stream_of_parts(spark):
+    """2,000 turns of one conversation, one of them of a million characters; parts add up to the length once."""
+    turns = spark.range(2000).selectExpr("7L AS conv_id", "id AS turn", "CASE WHEN id % 3 = 2 THEN 'assistant' ELSE 'user' END AS role",
+                                         "CASE WHEN id = 1000 THEN repeat('x<', 1000000) ELSE concat('# ', id) END AS text", "'x' AS example")
+    formatted = chat.format_turns(turns)
+    parts = chat.examples(formatted)
+    (row,) = chat.read_back(parts).collect()
+    assert row["n_turns"] == 2000 and row["loss_sha256"] == hashlib.sha256("".join(f"# {i}" for i in range(2, 2000, 3)).encode()).hexdigest()
+    total = formatted.selectExpr("sum(length(segment))").first()[0]
+    sizes = [len(r["text"]) for r in parts.collect()]
+    assert sum(sizes) == total and len(sizes) > 666
+    batch = parts.orderBy("part").toArrow()
+    cut = next(chat._read_back(iter(batch.select(["conv_id", "example", "text", "loss_start", "loss_end"]).to_batches(max_chunksize=5))))
+    assert cut.column(2).to_pylist() == [row["turns_sha256"]]
+
+
 # byte-level BPE
 
 

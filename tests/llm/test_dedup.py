@@ -118,33 +118,49 @@ def test_simhash_equals_brute_force(spark):
     assert len(links) > 100
 
 
-@pytest.mark.parametrize("above", [8, 4096])
-def test_crowded_nodes_lose_no_link(spark, monkeypatch, above):
-    """Fingerprints that share bands, so that nodes are split and searched through the hierarchy."""
-    monkeypatch.setattr(simhash, "SPLIT_ABOVE", above)
-    rng = random.Random(above)
+@pytest.mark.parametrize("blocks", [1, 7, 64])
+def test_crowded_fingerprints_lose_no_link(spark, monkeypatch, blocks):
+    """Fingerprints that share most bits, so that links cross groups and blocks at every level."""
+    monkeypatch.setattr(simhash, "MIN_BLOCKS", blocks)
+    monkeypatch.setattr(simhash, "BLOCK_ROWS", 1000)
+    rng = random.Random(blocks)
     base = rng.getrandbits(64)
-    prints = {base}
+    prints = {base, 0, 1, 2**64 - 1, 2**63, 2**63 + 1}
     while len(prints) < 700:
         p = rng.choice(list(prints)) if rng.random() < 0.6 else base
         for _ in range(rng.randrange(1, 5)):
             p ^= 1 << rng.randrange(24)
         prints.add(p)
     signed = [p - 2**64 if p >= 2**63 else p for p in prints]
-    found = simhash.near_links(spark.createDataFrame([(p,) for p in signed], "fp long"))
-    got = reach(signed, [(r["a"], r["b"]) for r in found.collect()])
-    want = reach(signed, [(a, b) for a, b in itertools.combinations(signed, 2) if ((a ^ b) & (2**64 - 1)).bit_count() <= 2])
+    found = simhash.near_links(spark.createDataFrame([(p,) for p in signed], "fp long")).collect()
+    links = [(a, b) for a, b in itertools.combinations(signed, 2) if ((a ^ b) & (2**64 - 1)).bit_count() <= 2]
+    got, want = reach(signed, [(r["a"], r["b"]) for r in found]), reach(signed, links)
     assert got == want and len(set(want.values())) < len(signed)
-
-
-def test_search_of_one_node_is_exact():
-    rng = np.random.default_rng(3)
-    bits = np.unique(rng.integers(0, 1 << 14, 900).astype(np.uint64))
-    rank = bits ^ (bits >> np.uint64(1))
+    assert len(found) < len(links)  # a forest of each block and one link for each fingerprint sent to it
+
+
+@pytest.mark.parametrize("spread", [14, 64])
+def test_search_is_exact_and_prunes_groups_at_upper_levels(spread):
+    rng = np.random.default_rng(spread)
+    bits = np.unique(rng.integers(0, 1 << spread, 3000, dtype=np.uint64) if spread < 64 else rng.integers(0, 2**64 - 1, 9000, dtype=np.uint64))
+    near = bits[:300] ^ (np.uint64(1) << rng.integers(0, spread, 300).astype(np.uint64))
+    bits = np.unique(np.concatenate([bits, near]))
+    rank = bits.copy()
+    for shift in (1, 2, 4, 8, 16, 32):
+        rank ^= rank >> np.uint64(shift)
     bits = bits[np.argsort(rank)]
-    root = simhash.search_node(bits)
-    want = reach(range(len(bits)), [(i, j) for i in range(len(bits)) for j in range(i) if int(bits[i] ^ bits[j]).bit_count() <= 2])
-    assert [int(r) for r in root] == [want[i] for i in range(len(bits))]
+    index = simhash.GrayIndex(bits, bits)
+    got = sorted((int(q), int(e), int(d)) for found in index.search(bits, np.zeros(len(bits), np.int64)) for q, e, d in zip(*found, strict=True))
+    apart = [np.bitwise_count(bits ^ b) for b in bits]
+    assert got == sorted((q, int(e), int(apart[q][e])) for q in range(len(bits)) for e in np.flatnonzero(apart[q] <= 2))
+    if spread == 64:
+        below = [simhash.FANOUT**level for level in range(len(index.levels))]
+        saved = [n * size for n, size in zip(index.pruned, below, strict=True)]
+        assert len(index.levels) >= 4 and min(index.pruned[1:-1]) > 0
+        assert sum(saved[1:]) > 0.9 * len(bits) ** 2  # nearly all comparisons are saved by groups, not by single entries
+    # Bits that were compared above are not compared again, and what they differ in counts.
+    again = [f for f in index.search(bits[:50], np.full(50, 2), (1 << 64) - 1)]
+    assert sum(len(f[0]) for f in again) == 50 * len(bits)
 
 
 def test_keep_one_keeps_the_columns_and_rows_without_id(spark):

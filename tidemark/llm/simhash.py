@@ -3,20 +3,24 @@
 Each document gets a 64-bit fingerprint of its three-word shingles; fingerprints that differ in at
 most ``MAX_BITS`` bits are linked, and the links' components are the groups of near copies.
 
-Only distinct fingerprints are searched, so a group of exact copies of any size is one entry. The
-index is a hierarchy of shared masked bit patterns:
-
-* The upper nodes are the patterns of two of four 16-bit bands. Two fingerprints within two bits
-  agree on at least two bands, so every link lies below one of the six such nodes of either end.
-  These nodes are the shuffle keys.
-* A node with more than ``SPLIT_ABOVE`` entries is split by its remaining 32 bits in the same way
-  (two of four bytes), which leaves 16 free bits: no node can hold more than 65,536 entries.
-* Within a node the entries are sorted by Gray rank, so neighbours share most bits. Runs of
-  ``FANOUT`` entries are factored into the bits on which they all agree, and runs of those again.
-  The search descends over pairs of groups and drops a pair as soon as the agreed bits alone
-  differ in more than ``MAX_BITS`` places.
-
-Each node passes on a spanning forest of its links, never all pairs.
+Only distinct fingerprints are indexed, so a group of exact copies of any size is one entry.
+
+* Fingerprints are sorted by Gray rank over ranges, so neighbours share most of their bits.
+* The bits on which a run of neighbours agrees are factored into a node above them, those on which
+  a run of nodes agrees into a node above these. A node keeps only the bits that its own upper node
+  does not have, as a masked pattern.
+* A search goes down from the top. The differences of a fingerprint from the patterns on its way
+  add up, and a node is left, with all that is below it, as soon as there are more than ``MAX_BITS``.
+
+The index is split between Spark's tasks: the ranges are the blocks at the foot of the upper part,
+whose size is bounded (``MAX_BLOCKS`` nodes) and which every task has; each fingerprint goes down it
+and is sent, with the differences so far, to the blocks that it reaches. There the lower part of the
+index is built over the block's own fingerprints, and the search goes on to its end. Of two
+blocks only the earlier is sent to the later. Each block passes on a spanning forest of the links
+it finds, never all pairs.
+
+In sparse data a fingerprint reaches the blocks whose common leading bits are within two of its own:
+half of 1 + k + k(k-1)/2 of 2^k blocks, 11 of 64.
 """
 
 from __future__ import annotations
@@ -33,9 +37,12 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import bound_batches, connected_components, cut, table
 
 MAX_BITS = 2
-SPLIT_ABOVE = 4096
-FANOUT = 32
+FANOUT = 16
 SEED = 42
+#: Fingerprints of a block, and how many blocks there are at least and at most; beyond the most, blocks grow instead.
+BLOCK_ROWS, MIN_BLOCKS, MAX_BLOCKS = 1 << 18, 64, 1 << 16
+#: Steps of a search that are taken at once.
+STEPS = 1 << 16
 
 
 def fingerprint(text: str | None) -> int:
@@ -69,19 +76,6 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
 
 
-def _nodes(bits: Column, width: int) -> Column:
-    """The six upper nodes of ``bits``: the number of a pair of its four bands, their bits and the others'."""
-    band = [F.shiftrightunsigned(bits, i * width).bitwiseAND(F.lit((1 << width) - 1)) for i in range(4)]
-
-    def packed(i: int, j: int) -> Column:
-        return F.shiftleft(band[i], width).bitwiseOR(band[j])
-
-    return F.array(*[
-        F.struct(F.lit(n).cast("long").alias("pair"), packed(i, j).alias("pattern"), packed(*({0, 1, 2, 3} - {i, j})).alias("rest"))
-        for n, (i, j) in enumerate(itertools.combinations(range(4), 2))
-    ])
-
-
 def gray_rank(bits: Column) -> Column:
     """Position of ``bits`` in the Gray sequence, as a long that sorts in unsigned order."""
     rank = bits
@@ -103,94 +97,151 @@ def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             return root
 
 
-def _differing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(x ^ y)
-
-
-def search_node(bits: np.ndarray) -> np.ndarray:
-    """The least index that each entry of one node reaches; ``bits`` are distinct and in Gray order."""
-    levels = [(bits, np.full(len(bits), ~np.uint64(0)))]
-    while len(levels[-1][0]) > FANOUT:
-        pattern, agreed = levels[-1]
-        at = np.arange(0, len(pattern), FANOUT)
-        ones = np.bitwise_and.reduceat(pattern | ~agreed, at)
-        zeros = np.bitwise_or.reduceat(pattern & agreed, at)
-        same = np.bitwise_and.reduceat(agreed, at) & ~(ones ^ zeros)
-        levels.append((ones & same, same))
-    root = np.arange(len(bits))
-    top = len(levels[-1][0])
-    x, y = np.triu_indices(top)
-    pending = [(len(levels) - 1, x, y)]
-    while pending:
-        level, x, y = pending.pop()
-        if len(x) > 8192:
-            pending += [(level, x[i : i + 8192], y[i : i + 8192]) for i in range(0, len(x), 8192)]
-            continue
-        pattern, agreed = levels[level]
-        near = np.bitwise_count((pattern[x] ^ pattern[y]) & agreed[x] & agreed[y]) <= MAX_BITS
-        x, y = x[near], y[near]
-        if not level:
-            linked = x != y
-            if linked.any():
-                root = _forest(len(bits), np.concatenate([x[linked], np.arange(len(bits))]), np.concatenate([y[linked], root]))
-        elif len(x):
-            below = len(levels[level - 1][0])
-            step = np.arange(FANOUT)
-            cx = (x[:, None] * FANOUT + step)[:, :, None] + np.zeros(FANOUT, int)
-            cy = (y[:, None] * FANOUT + step)[:, None, :] + np.zeros((FANOUT, 1), int)
-            keep = (cx < below) & (cy < below) & (cx <= cy)
-            pending.append((level - 1, cx[keep], cy[keep]))
-    return root
-
-
-def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spanning links of each node; rows come sorted by node and Gray rank. Nodes are at most 65,536 entries."""
-    held: list[tuple[np.ndarray, ...]] = []
-
-    def search(node: np.ndarray, bits: np.ndarray) -> pa.RecordBatch:
-        starts = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
-        sizes = np.diff(np.r_[starts, len(node)])
-        run = np.repeat(np.arange(len(starts)), sizes)
-        small = (sizes <= FANOUT)[run]
-        a, b = [], []
-        for step in range(1, min(FANOUT, int(sizes.max()))):
-            i = np.flatnonzero((run[:-step] == run[step:]) & small[step:])
-            i = i[_differing(bits[i], bits[i + step]) <= MAX_BITS]
-            a.append(i), b.append(i + step)
-        root = _forest(len(bits), np.concatenate([*a, [0]]).astype(int), np.concatenate([*b, [0]]).astype(int))
-        for k in np.flatnonzero(sizes > FANOUT):
-            part = slice(starts[k], starts[k] + sizes[k])
-            root[part] = search_node(bits[part]) + starts[k]
-        far = np.flatnonzero(root != np.arange(len(root)))
-        ends = [bits[far].view(np.int64), bits[root[far]].view(np.int64)]
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in ends], ["a", "b"])
+class GrayIndex:
+    """A hierarchy of masked bit patterns over entries in Gray order.
+
+    ``ones`` and ``any_`` are the bitwise AND and OR of what each entry stands for: twice the
+    fingerprints, or a block's figures.
+    """
+
+    def __init__(self, ones: np.ndarray, any_: np.ndarray) -> None:
+        #: (pattern, mask of the bits that are decided here) of each node, by level from the entries up.
+        self.levels: list[tuple[np.ndarray, np.ndarray]] = []
+        #: Nodes left by a search at each level, and entries below them are never looked at.
+        self.pruned: list[int] = []
+        agreed = ~(ones ^ any_)
+        while len(ones) > FANOUT:
+            at = np.arange(0, len(ones), FANOUT)
+            upper, upper_any = np.bitwise_and.reduceat(ones, at), np.bitwise_or.reduceat(any_, at)
+            above = ~(upper ^ upper_any)
+            self.levels.append((ones, agreed & ~above[np.arange(len(ones)) // FANOUT]))
+            ones, any_, agreed = upper, upper_any, above
+        self.levels.append((ones, agreed))
+        self.pruned = [0] * len(self.levels)
+
+    def search(self, bits: np.ndarray, apart: np.ndarray, known: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(query, entry, differences) of all entries that each of ``bits`` reaches, a portion after the other.
+
+        ``apart`` are the differences so far, in the bits of the mask ``known``, which are not compared again.
+        """
+        skip = ~np.uint64(known)
+        top = len(self.levels) - 1
+        roots = len(self.levels[top][0])
+        for first in range(0, len(bits), max(1, STEPS // FANOUT)):
+            some = np.arange(first, min(len(bits), first + max(1, STEPS // FANOUT)))
+            pending = [(top, np.repeat(some, roots), np.tile(np.arange(roots), len(some)), np.repeat(apart[some], roots))]
+            while pending:
+                level, query, node, so_far = pending.pop()
+                if len(query) > STEPS:
+                    pending += [(level, query[i : i + STEPS], node[i : i + STEPS], so_far[i : i + STEPS]) for i in range(0, len(query), STEPS)]
+                    continue
+                pattern, decided = self.levels[level]
+                so_far = so_far + np.bitwise_count((bits[query] ^ pattern[node]) & decided[node] & skip)
+                near = so_far <= MAX_BITS
+                self.pruned[level] += len(near) - int(near.sum())
+                query, node, so_far = query[near], node[near], so_far[near]
+                if not len(query):
+                    continue
+                if not level:
+                    yield query, node, so_far
+                    continue
+                child = (node[:, None] * FANOUT + np.arange(FANOUT)).ravel()
+                there = child < len(self.levels[level - 1][0])
+                pending.append((level - 1, np.repeat(query, FANOUT)[there], child[there], np.repeat(so_far, FANOUT)[there]))
+
+
+def _deal(batches: Iterator[pa.RecordBatch], upper: tuple[np.ndarray, np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Rows (block, fp) -> (target, probe, apart, fp): for each fingerprint its own block and the later ones that it reaches."""
+    blocks, ones, any_ = upper
+    index = GrayIndex(ones, any_)
+    for batch in batches:
+        own, fp = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (own, np.zeros(len(own), np.int32), np.zeros(len(own), np.int32), fp)], _DEALT)
+        for query, node, apart in index.search(fp.view(np.uint64), np.zeros(len(fp), np.int64)):
+            later = blocks[node] > own[query]
+            query, node, apart = query[later], node[later], apart[later]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (blocks[node], np.ones(len(query), np.int32), apart.astype(np.int32), fp[query])], _DEALT)
+
+
+_DEALT = ["target", "probe", "apart", "fp"]
 
+
+class _Block:
+    """The lower part of the index, over one block's own fingerprints, and what its links connect."""
+
+    def __init__(self, bits: np.ndarray) -> None:
+        self.bits, self.root = bits, np.arange(len(bits))
+        self.index = GrayIndex(bits, bits)
+        self.agreed = ~int(np.bitwise_and.reduce(bits) ^ np.bitwise_or.reduce(bits)) & (1 << 64) - 1
+        # No bit that the whole block shares tells its own fingerprints apart.
+        for x, y, _ in self.index.search(bits, np.zeros(len(bits), np.int64), self.agreed):
+            self._join(x, y)
+
+    def _join(self, x: np.ndarray, y: np.ndarray) -> None:
+        linked = x != y
+        if linked.any():
+            every = np.arange(len(self.root))
+            self.root = _forest(len(every), np.concatenate([x[linked], every]), np.concatenate([y[linked], self.root]))
+
+    def probe(self, bits: np.ndarray, apart: np.ndarray) -> pa.RecordBatch:
+        """A link of each fingerprint of an earlier block that has any here; those that it links are connected."""
+        found = [f[:2] for f in self.index.search(bits, apart, self.agreed)]
+        query, entry = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in range(2))
+        some, first = np.unique(query, return_index=True)
+        self._join(entry, entry[first[np.searchsorted(some, query)]])
+        return _pairs(bits[some], self.bits[entry[first]])
+
+    def links(self) -> pa.RecordBatch:
+        far = np.flatnonzero(self.root != np.arange(len(self.root)))
+        return _pairs(self.bits[far], self.bits[self.root[far]])
+
+
+def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (a, b)], ["a", "b"])
+
+
+def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (target, probe, apart, fp) sorted so, own fingerprints in Gray order -> links (a, b)."""
+    target, held, block = None, [], None
     for batch in batches:
-        if not batch.num_rows:
+        to, probe, apart, fp = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        if not len(to):
             continue
-        held.append(tuple(x.to_numpy(zero_copy_only=False) for x in batch.columns))
-        node, bits = (np.concatenate([h[i] for h in held]) for i in range(2))
-        last = np.searchsorted(-(node[::-1] == node[-1]).astype(int), 0) if len(node) else 0
-        whole = len(node) - last
-        if whole:
-            yield search(node[:whole], bits[:whole].view(np.uint64))
-        held = [(node[whole:], bits[whole:])]
-    if held and len(held[0][0]):
-        yield search(held[0][0], held[0][1].view(np.uint64))
+        starts = np.flatnonzero(np.r_[True, (to[1:] != to[:-1]) | (probe[1:] != probe[:-1])])
+        for first, end in zip(starts, [*starts[1:], len(to)], strict=True):
+            if to[first] != target:
+                if target is not None:
+                    yield (block or _Block(np.concatenate(held))).links()
+                target, held, block = to[first], [], None
+            bits = fp[first:end].view(np.uint64)
+            if not probe[first]:
+                held.append(bits)
+                continue
+            block = block or _Block(np.concatenate(held))
+            yield block.probe(bits, apart[first:end].astype(np.int64))
+    if target is not None:
+        yield (block or _Block(np.concatenate(held))).links()
 
 
 def near_links(distinct: DataFrame) -> DataFrame:
-    """Spanning links (a, b) between the distinct fingerprints ``fp``; together they connect what is linked."""
-    upper = distinct.select("fp", F.inline(_nodes(F.col("fp"), 16)))
-    upper = upper.select("fp", F.shiftleft("pair", 32).bitwiseOR(F.col("pattern")).alias("node"), "rest")
-    crowded = cut(upper.groupBy("node").count().where(F.col("count") > SPLIT_ABOVE), "crowded")
-    marked = upper.join(crowded, "node", "left")
-    split = marked.where("count IS NOT NULL").select("fp", F.col("node").alias("above"), F.inline(_nodes(F.col("rest"), 8)))
-    # A node is one long: a mark for the level, then the pair and bits of each level; 3 + 32 and 3 + 16 bits.
-    below = F.lit(1 << 62).bitwiseOR(F.shiftleft("above", 19)).bitwiseOR(F.shiftleft("pair", 16)).bitwiseOR(F.col("pattern"))
-    rows = marked.where("count IS NULL").select("node", "fp").union(split.select(below.alias("node"), "fp"))
-    dealt = rows.repartition("node").sortWithinPartitions("node", gray_rank(F.col("fp")))
-    return dealt.mapInArrow(_links, "a long, b long").distinct()
+    """Spanning links (a, b) between the distinct fingerprints ``fp``; together they connect what is linked.
+
+    Fingerprints are not null and none comes twice. No rows give no links.
+    """
+    spark = distinct.sparkSession
+    rows = distinct.count()
+    blocks = min(MAX_BLOCKS, max(MIN_BLOCKS, -(-rows // BLOCK_ROWS)))
+    rank = gray_rank(F.col("fp"))
+    ranged = distinct.select("fp").repartitionByRange(blocks, rank).sortWithinPartitions(rank)
+    # Written, so that a range keeps its number whoever reads it; numbers follow the order of the ranges.
+    indexed = cut(ranged.select(F.spark_partition_id().alias("block"), "fp"), "indexed")
+    nodes = indexed.groupBy("block").agg(F.bit_and("fp").alias("ones"), F.bit_or("fp").alias("any"))
+    found = sorted(nodes.collect())  # one row a block
+    upper = tuple(np.array([r[k] for r in found], t) for k, t in ((0, np.int32), (1, np.int64), (2, np.int64)))
+    sent = spark.sparkContext.broadcast((upper[0], upper[1].view(np.uint64), upper[2].view(np.uint64)))
+    dealt = indexed.mapInArrow(lambda b: _deal(b, sent.value), "target int, probe int, apart int, fp long")
+    dealt = dealt.repartition("target").sortWithinPartitions("target", "probe", rank)
+    return dealt.mapInArrow(_search, "a long, b long")
 
 
 def groups(docs: DataFrame) -> DataFrame:

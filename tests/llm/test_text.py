@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -113,13 +114,48 @@ def test_bpe_equals_tiktoken(spark):
         assert r["decoded_sha256"] == hashlib.sha256((texts[r["doc_id"]] or "").encode()).hexdigest()
 
 
-def test_bpe_long_pieces_by_query_and_by_heap():
-    ranks = bpe.read_ranks(RANKS)
-    encoder, rng = bpe.Encoder(ranks), random.Random(7)
-    pieces = {"".join(rng.choice("abé-=_") for _ in range(rng.randrange(1, 120))) for _ in range(60)}
+def whole_pieces():
+    """The library with every text as one piece."""
+    return tiktoken.Encoding("x", pat_str=r"(?s).+", mergeable_ranks=bpe.read_ranks(RANKS), special_tokens={})
+
+
+def test_bpe_pieces_by_both_queries():
+    """Both recursive queries give the library's ids, also where contractions give rise to pairs of lower rank."""
+    encoder, library, rng = bpe.Encoder(bpe.read_ranks(RANKS)), whole_pieces(), random.Random(7)
+    pieces = {"".join(rng.choice(a) for _ in range(rng.randrange(1, 120))) for a in ("abé-=_", "the in", "aab", "etaoin") for _ in range(25)}
     encoder.learn(pieces)
     for piece in pieces:
-        assert encoder.known[piece] == np.array(encoder.contract(piece.encode()), "<u4").tobytes()
+        want = np.array(library.encode_ordinary(piece), "<u4").tobytes()
+        assert encoder.known[piece] == want and encoder._long(piece.encode()) == want
+
+
+@pytest.mark.parametrize("rows", [500_000, 20_000])
+def test_bpe_long_pieces(monkeypatch, rows):
+    """Pieces of 5,000 bytes and more; with few rows allowed a query takes up where the one before stopped."""
+    monkeypatch.setattr(bpe, "QUERY_ROWS", rows)
+    encoder, library, rng = bpe.Encoder(bpe.read_ranks(RANKS)), whole_pieces(), random.Random(8)
+    pieces = ["a" * 5000, "ab" * 2501, "=" * 100_001, "\u6f22\u5b57" * 900, "".join(rng.choice("etaoinshrdlu") for _ in range(5000))]
+    encoder.learn({*pieces})
+    for piece in pieces:
+        assert encoder.known[piece] == np.array(library.encode_ordinary(piece), "<u4").tobytes()
+
+
+def test_bpe_text_of_50_mb():
+    """A text of 50 MB is read and decoded in slices; 12 million tokens."""
+    import regex
+
+    text = "The quick brown fox, jumps over 13 lazy dogs; caf\u00e9!\n" * 1_000_000
+    ranks = bpe.read_ranks(RANKS)
+    (ids,) = bpe._encode_texts([text], regex.compile(public_tokenizers.PATTERN), bpe.Encoder(ranks))
+    library = tiktoken.Encoding("x", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    assert len(text.encode()) > 50e6 and ids == np.array(library.encode_ordinary(text), "<u4").tobytes()
+    lists = pa.ListArray.from_arrays(pa.array([0, 0, len(ids) // 4], pa.int32()), pa.array(np.frombuffer(ids, "<i4")))
+    digest, parts = hashlib.sha256(), 0
+    for row, data in bpe.Decoder(ranks).parts(lists):
+        assert row == 1
+        digest.update(data)
+        parts += 1
+    assert parts > 50 and digest.digest() == hashlib.sha256(text.encode()).digest()
 
 
 def test_bpe_edges(spark):

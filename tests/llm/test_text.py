@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 import struct
 import zlib
 
@@ -14,6 +15,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
+from tests.llm.test_dedup import reach
 from tidemark.llm import bpe, chat, language, mixing, quality_model, quality_rules, url_filter
 from tidemark.llm.subword import Settings, document_features, sample_features
 
@@ -186,8 +188,65 @@ def test_redirects_and_canonical_links_carry_decisions(spark):
     assert found[4]["rule"] == "example.net/en/" and found[5]["verdict"] == "allow" and found[5]["rule"] is None
     assert (found[7]["host"], found[7]["path"], found[8]["host"]) == ("", "", "") and found[9]["path"] == "/de/x"
     assert url_filter.judge(pages.limit(0)).count() == 0
-    with pytest.raises(ValueError):
-        url_filter.decide(F.lit("a"), F.lit("b"), (("block", "a", "/"),) * 1001)
+    assert {r["verdict"] for r in url_filter.judge(pages, moved, ()).collect()} == {"allow"}
+
+
+def brute_verdicts(pages, moved, rules):
+    """Verdicts by plain loops: the longest rule of a page, else allow before block over all that is linked."""
+    def parts(url):
+        if url is None or "://" not in url:
+            return "", ""
+        rest = url.split("://", 1)[1]
+        return re.split(r"[/?#]", rest, maxsplit=1)[0].lower(), re.split(r"[?#]", rest[len(re.split(r"[/?#]", rest, maxsplit=1)[0]) :], maxsplit=1)[0]
+
+    def own(url):
+        host, path = parts(url)
+        fits = [(len(h) + len(p), len(h), v == "allow", h + p, v) for v, h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        return max(fits)[3:] if fits else None
+
+    def name(url):
+        return "".join((parts(url)[0], parts(url)[1] or "/"))
+
+    links = [(name(u), name(t)) for _, u, targets in pages for t in targets] + [(name(a), name(b)) for a, b in moved]
+    urls = {name(u) for u in [*[u for _, u, _ in pages], *[t for _, _, ts in pages for t in ts], *[u for m in moved for u in m]]}
+    least = reach(urls, links)
+    groups = {}
+    for n in {n for link in links if link[0] != link[1] for n in link}:  # a URL without links has no aliases, not even itself
+        if mine := own("http://" + n):
+            groups.setdefault(least[n], set()).add(mine[1])
+    found = {}
+    for page, url, _ in pages:
+        mine, group = own(url), groups.get(least[name(url)], set())
+        found[page] = mine or (None, "allow" if "allow" in group or not group else "block")
+    return found
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_link_graphs_equal_brute_force(spark, seed):
+    """Chains, cycles, stars and pages that come twice, with rules for hosts, subdomains and paths."""
+    rng = random.Random(seed)
+    urls = [f"http://{rng.choice(['', 'a.', 'b.a.'])}s{rng.randrange(60)}.{rng.choice(['com', 'net', 'org'])}{rng.choice(['', '/', '/x', '/x/y', '/de/1'])}" for _ in range(220)]
+    rules = [("block", "net", "/"), ("allow", "a.s7.net", "/x"), ("block", "s9.com", "/x/"), ("block", "s9.com", "/"), ("allow", "s9.com", "/"), ("allow", "b.a.s9.com", "/x")]
+    rules += [(rng.choice(["allow", "block"]), f"s{rng.randrange(60)}.{rng.choice(['com', 'org'])}", rng.choice(["/", "/x", "/de/"])) for _ in range(12)]
+    pages = [(i, rng.choice(urls), [rng.choice(urls)] if rng.random() < 0.4 else []) for i in range(300)]
+    moved = [(a, b) for a, b in zip(urls[:30], urls[1:31], strict=True)] + [(urls[30], urls[5])] + [(urls[40], u) for u in urls[41:60]]
+    rows = [(i, u, "".join(f'<link rel="canonical" href="{t}">' for t in ts), "x", "y") for i, u, ts in pages]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string, host string, verdict string")
+    frame = frame.union(frame.limit(20))
+    judged = url_filter.judge(frame, spark.createDataFrame(moved, "from_url string, to_url string"), tuple(rules)).collect()
+    assert len(judged) == 320 and {r["page_id"]: (r["rule"], r["verdict"]) for r in judged} == brute_verdicts(pages, moved, rules)
+    assert len({r["verdict"] for r in judged if r["rule"] is None}) == 2
+
+
+def test_a_hundred_thousand_rules_and_odd_urls(spark):
+    rules = spark.range(100_000).selectExpr("CASE WHEN id % 3 = 0 THEN 'allow' ELSE 'block' END AS verdict", "concat('h', id % 1000, '.com') AS host", "concat('/', id DIV 1000, '/') AS path")
+    rows = [(i, f"http://{'w.' * (i % 3)}h{i}.com/{i % 120}/p", "<p>" * 100_000 if i == 5 else "") for i in range(1000)]
+    rows += [(2000, "http://" + "." * 50_000 + "h1.com/1/", None), (2001, None, None), (2002, "http:///1/", None), (2003, "http://h1.com", None)]
+    found = {r["page_id"]: r for r in url_filter.judge(spark.createDataFrame(rows, "page_id long, url string, html string"), rules=rules).collect()}
+    for i in range(1000):
+        p = i % 120
+        assert found[i]["rule"] == (f"h{i}.com/{p}/" if p < 100 else None) and found[i]["verdict"] == ("block" if p < 100 and (p * 1000 + i) % 3 else "allow")
+    assert found[2000]["rule"] == "h1.com/1/" and [found[i]["rule"] for i in (2001, 2002, 2003)] == [None] * 3
 
 
 def test_every_link_of_a_page_is_an_alias(spark):
@@ -248,6 +307,36 @@ def test_order_of_rules_changes_no_verdict(spark):
     assert quality_rules.judge(clash).count() == 4 and quality_rules.judge(docs.limit(0)).count() == 0
 
 
+def test_rules_are_ordered_by_rejections_per_cost(spark):
+    """A rule that rejects most but is slow comes last, in each of three runs; what the base conditions reject does not count."""
+    texts = ["# " * 60 if i % 4 == 0 else " ".join(f"word{j}" for j in range(i, i + 60)) for i in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    slow = quality_rules.Rule("a_slow", F.regexp_count(F.repeat("_text", 20), F.lit(r"(\w+)\d ")) >= 0)
+    some = quality_rules.Rule("some", F.col("n_words") + F.col("doc_id") % 3 > 61)
+    none = quality_rules.Rule("none", F.col("n_symbols") > 50)  # only documents that the base conditions reject
+    for _ in range(3):
+        base = quality_rules.sampled(docs)
+        assert [r.name for r in quality_rules.ordered(base, [slow, none, some])] == ["some", "a_slow", "none"]
+        cost, rejected = quality_rules.costs(base, [slow, some, none])
+        assert cost["a_slow"] > 3 * cost["some"] and rejected == {"a_slow": 150, "some": 50, "none": 0}
+    assert [r.name for r in quality_rules.ordered(base.limit(0), [slow, none, some])] == ["a_slow", "none", "some"]
+
+
+def test_sample_of_quality_rules(spark):
+    docs = spark.range(50_000).selectExpr("id AS doc_id", "'a b' AS text")
+    assert 500 <= quality_rules.sampled(docs).count() <= 2 * quality_rules.SAMPLE_ROWS
+    for odd in (docs.withColumn("doc_id", F.lit(None).cast("long")), docs.withColumn("doc_id", F.when(F.col("doc_id") > 9, 10**12).otherwise(0))):
+        assert 500 <= quality_rules.sampled(odd).count() <= 2 * quality_rules.SAMPLE_ROWS
+    assert quality_rules.sampled(docs.limit(0)).count() == 0
+
+
+def test_quality_of_very_long_and_repeated_texts(spark):
+    texts = [" ".join(f"w{i}" for i in range(300_000)), "a b c " * 100_000, "x" * 2_000_000]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(2, texts[2])], "doc_id long, text string")
+    found = sorted((r["doc_id"], r["n_words"], r["n_repeat_words"], r["kept"]) for r in quality_rules.judge(docs).collect())
+    assert found == [(0, 300_000, 0, True), (1, 300_000, 300_000, False), (2, 1, 0, False), (2, 1, 0, False)]
+
+
 # mixing
 
 

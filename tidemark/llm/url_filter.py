@@ -1,6 +1,7 @@
 """URL filter with redirect equivalence.
 
-Rules name a host and the start of a path. A page that no rule fits takes the decision of its
+Rules name a host and the start of a path; they are a table, of any size, that is joined on the
+endings of a host and the beginnings of a path which some rule has. A page that no rule fits takes the decision of its
 aliases: pages are connected by redirects (HTTP records, or a page's meta refreshes) and by canonical
 links, and a component with an explicitly allowed URL is allowed, else one with a blocked URL is
 blocked. URLs that are only the end of an edge count too, whether or not they were crawled.
@@ -22,8 +23,6 @@ RULES = (
     ("block", "example.com", "/de/"),
     ("allow", "org", "/fr/"),
 )
-#: Rules are part of the plan; longer lists belong in a table that is joined.
-MAX_RULES = 1000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _LINK = r"(?is)<link\b(?=[^>]*\brel\s*=\s*(?:\"(?:[^\">]*\s)?|'(?:[^'>]*\s)?)?canonical\b)[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)"
@@ -40,16 +39,37 @@ def path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, _PARTS, 2), F.lit(""))
 
 
-def decide(host: Column, path: Column, rules: tuple[tuple[str, str, str], ...] = RULES) -> Column:
-    """Struct (rule, verdict) of the longest rule that fits, or null. Ties take the first rule."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules")
-    found: Column | None = None
-    for verdict, of, start in sorted(rules, key=lambda r: -len(r[1] + r[2])):
-        fits = ((host == of) | host.endswith("." + of)) & path.startswith(start)
-        value = F.struct(F.lit(of + start).alias("rule"), F.lit(verdict).alias("verdict"))
-        found = F.when(fits, value) if found is None else found.when(fits, value)
-    return F.lit(None).cast("struct<rule:string,verdict:string>") if found is None else found
+def rule_table(spark: SparkSession, rules: tuple[tuple[str, str, str], ...] | DataFrame = RULES) -> DataFrame:
+    """Rules as a table (verdict, of, start), one for each host and path; of several verdicts on one, allow holds."""
+    if not isinstance(rules, DataFrame):
+        listed = [F.struct(F.lit(v).alias("verdict"), F.lit(h).alias("host"), F.lit(p).alias("path")) for v, h, p in rules]
+        rules = spark.range(1).select(F.inline(F.array(*listed))) if listed else spark.sql("SELECT '' AS verdict, '' AS host, '' AS path LIMIT 0")
+    known = rules.where("verdict IS NOT NULL AND host IS NOT NULL AND path IS NOT NULL")
+    return known.groupBy(F.col("host").alias("of"), F.col("path").alias("start")).agg(F.min("verdict").alias("verdict"))  # allow sorts before block
+
+
+def decide(urls: DataFrame, rules: DataFrame) -> DataFrame:
+    """(host, path, own): the rule and verdict that fit each host and path of ``urls``, if any does.
+
+    The longest rule wins, by the characters of host and path together; of equally long ones that
+    with the longer host. A host is joined by those of its endings that are no longer than the
+    longest of a rule, and a path by as many of its beginnings as its rules have lengths: no
+    number of rules makes a URL meet them one by one. Repeated rows of ``urls`` are judged once; a
+    null host or path has no rule. No rows or no rules give no rows.
+    """
+    hosts = cut(rules.groupBy("of").agg(F.collect_set(F.length("start")).alias("lengths")), "hosts")
+    most = hosts.agg(F.max(F.length("of"))).first()[0] or 0
+    distinct = urls.select("host", "path").where("host IS NOT NULL AND path IS NOT NULL").distinct()
+    # A dot before the host, so that it is an ending of its own; only what follows a dot is one.
+    tail = F.right(F.concat(F.lit("."), "host"), F.lit(most + 1))
+    places = F.filter(F.sequence(F.lit(1), F.length("tail")), lambda i: F.substring(F.col("tail"), i, F.lit(1)) == ".")
+    ends = distinct.select("host").distinct().withColumn("tail", tail).select("host", F.explode(F.transform(places, lambda i: F.substring(F.col("tail"), i + 1, F.lit(most)))).alias("of"))
+    fitting = ends.join(hosts, "of")
+    begun = distinct.join(fitting, "host").select("host", "path", "of", F.explode(F.filter("lengths", lambda n: n <= F.length("path"))).alias("n"))
+    begun = begun.select("host", "path", "of", F.substring(F.col("path"), F.lit(1), F.col("n")).alias("start"))
+    size = F.struct(F.length("of") + F.length("start"), F.length("of"))
+    value = F.struct(F.concat("of", "start").alias("rule"), "verdict")
+    return begun.join(rules, ["of", "start"]).groupBy("host", "path").agg(F.max_by(value, size).alias("own"))
 
 
 def node(url: Column) -> Column:
@@ -87,21 +107,26 @@ def alias_edges(pages: DataFrame, redirects: DataFrame | None = None) -> DataFra
     return edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
 
 
-def judge(pages: DataFrame, redirects: DataFrame | None = None, rules: tuple[tuple[str, str, str], ...] = RULES) -> DataFrame:
+def judge(pages: DataFrame, redirects: DataFrame | None = None, rules: tuple[tuple[str, str, str], ...] | DataFrame = RULES) -> DataFrame:
     """(page_id, host, path, rule, verdict) for every row of ``pages`` (page_id, url, html).
 
-    A page's own rule decides; else its component's, with an allowed URL before a blocked one; else
-    it is allowed. A url that is null or has no ``://`` has an empty host and path and no aliases.
-    Null html has no links. Repeated rows are each judged. Other columns are ignored.
+    ``rules`` are rows (verdict, host, path), as a table if there are many. A page's own rule
+    decides, the longest that fits; else its component's, with an allowed URL before a blocked one;
+    else it is allowed. A url that is null or has no ``://`` has an empty host and path, which no
+    rule of a host fits, and no aliases. Null or empty html has no links; html of any length is
+    searched whole. Repeated rows are each judged; several pages of one URL are one node and share
+    their links. Other columns, also such as host, rule or verdict, are ignored. No pages give no rows.
     """
+    known = cut(rule_table(pages.sparkSession, rules), "rules")
     parts = connected_components(alias_edges(pages, redirects))
     h, p = F.regexp_extract("node", "(?s)^([^/]*)", 1), F.regexp_extract("node", r"(?s)^[^/]*([^?]*)", 1)
-    explicit = parts.withColumn("own", decide(h, p, rules)["verdict"])
+    nodes = parts.select("node", "component", h.alias("host"), p.alias("path"))
+    explicit = nodes.join(decide(nodes, known), ["host", "path"]).select("component", F.col("own.verdict").alias("own"))
     verdicts = explicit.groupBy("component").agg(F.min("own").alias("found"))  # allow sorts before block
-    aliases = cut(explicit.join(verdicts, "component").select("node", "found").where("found IS NOT NULL"), "aliases")
+    aliases = cut(parts.join(verdicts, "component").select("node", "found"), "aliases")
     url = F.col("url").cast("string")
     judged = pages.select("page_id", host(url).alias("host"), path(url).alias("path"), node(url).alias("node"))
-    judged = judged.withColumn("own", decide(F.col("host"), F.col("path"), rules)).join(aliases, "node", "left")
+    judged = judged.join(cut(decide(judged, known), "decided"), ["host", "path"], "left").join(aliases, "node", "left")
     return judged.select(
         "page_id", "host", "path", F.col("own.rule").alias("rule"), F.coalesce("own.verdict", "found", F.lit("allow")).alias("verdict")
     )
@@ -119,9 +144,11 @@ WITH RECURSIVE p AS (
          coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
   FROM pages
 ), t AS (
-  SELECT url, unnest([
-    regexp_extract(regexp_extract(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>'), '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1),
-    regexp_extract(regexp_extract(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'), '(?is)\burl\s*=\s*["'']?([^"''\s>;]+)', 1)]) AS target
+  SELECT url, unnest(list_concat(
+    list_transform(list_filter(regexp_extract_all(html, '(?is)<link\b[^>]*'), lambda x: regexp_matches(x, '(?is)\brel\s*=\s*(?:"(?:[^">]*\s)?|''(?:[^''>]*\s)?)?canonical\b')),
+                   lambda x: regexp_extract(x, '(?is)^<link\b[^>]*\bhref\s*=\s*["'']?([^"''\s>]+)', 1)),
+    list_transform(list_filter(regexp_extract_all(html, '(?is)<meta\b[^>]*'), lambda x: regexp_matches(x, '(?is)\bhttp-equiv\s*=\s*["'']?refresh\b')),
+                   lambda x: regexp_extract(x, '(?is)^<meta\b[^>]*\burl\s*=\s*["'']?([^"''\s>;]+)', 1)))) AS target
   FROM pages WHERE contains(url, '://')
 ), u AS (
   SELECT url, CASE WHEN contains(target, '://') THEN target

@@ -58,13 +58,14 @@ def symmetric_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH a AS (SELECT c_nationkey AS k, count(*) AS n_customers, max(c_acctbal) AS best FROM customer WHERE c_nationkey < 20 GROUP BY ALL),
-b AS (SELECT s_nationkey AS k, count(*) AS n_suppliers, max(s_acctbal) AS best FROM supplier WHERE s_nationkey > 3 GROUP BY ALL)
+WITH a AS (SELECT c_nationkey AS k, count(*) AS n_customers, max(c_acctbal) AS best FROM customer GROUP BY ALL),
+b AS (SELECT s_nationkey + 4 AS k, count(*) AS n_suppliers, max(s_acctbal) AS best FROM supplier GROUP BY ALL)
 SELECT coalesce(a.k, b.k) AS k, n_customers, coalesce(a.best, b.best) AS best, n_suppliers FROM a FULL JOIN b ON a.k = b.k
 """)
 def full_outer_coalesce(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = table(spark, sf_dir, "customer").where("c_nationkey < 20").groupBy(F.col("c_nationkey").alias("k")).agg(F.count("*").alias("n_customers"), F.max("c_acctbal").alias("best"))
-    b = table(spark, sf_dir, "supplier").where("s_nationkey > 3").groupBy(F.col("s_nationkey").alias("k")).agg(F.count("*").alias("n_suppliers"), F.max("s_acctbal").alias("best"))
+    """Customers by nation beside suppliers under keys moved by four, so that either side has keys of its own."""
+    a = table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("k")).agg(F.count("*").alias("n_customers"), F.max("c_acctbal").alias("best"))
+    b = table(spark, sf_dir, "supplier").groupBy((F.col("s_nationkey") + 4).alias("k")).agg(F.count("*").alias("n_suppliers"), F.max("s_acctbal").alias("best"))
     return J.full_outer(a, b, ["k"], ["best"])
 
 
@@ -88,12 +89,12 @@ def missing_extra_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment, NULL AS nation FROM customer WHERE c_custkey < 100
-UNION ALL SELECT s_suppkey, s_name, NULL, s_nationkey FROM supplier WHERE s_suppkey < 100
+SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment, NULL AS nation FROM customer
+UNION ALL SELECT s_suppkey, s_name, NULL, s_nationkey FROM supplier
 """)
 def union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = table(spark, sf_dir, "customer").where("c_custkey < 100").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
-    b = table(spark, sf_dir, "supplier").where("s_suppkey < 100").select(F.col("s_nationkey").alias("nation"), F.col("s_name").alias("name"), F.col("s_suppkey").alias("id"))
+    a = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
+    b = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("nation"), F.col("s_name").alias("name"), F.col("s_suppkey").alias("id"))
     return a.unionByName(b, allowMissingColumns=True)
 
 
@@ -156,12 +157,12 @@ def record_linkage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 WITH s AS (
-  SELECT o_custkey AS id, o_custkey % 50 AS name, o_custkey % 3 AS team, list(DISTINCT month(o_orderdate)) AS months FROM orders WHERE o_orderkey % 6 = 0 GROUP BY o_custkey
+  SELECT o_custkey AS id, o_custkey % 50 AS name, o_custkey % 3 AS team, list(DISTINCT month(o_orderdate)) AS months FROM orders GROUP BY o_custkey
 )
 SELECT a.id, b.id AS other_id FROM s AS a JOIN s AS b ON a.name = b.name AND a.id < b.id AND a.team <> b.team AND NOT list_has_any(a.months, b.months)
 """)
 def disjoint_sets_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "orders").where("o_orderkey % 6 = 0").groupBy(F.col("o_custkey").alias("id")).agg(F.collect_set(F.month("o_orderdate")).alias("months"))
+    rows = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("id")).agg(F.collect_set(F.month("o_orderdate")).alias("months"))
     rows = rows.withColumn("name", F.col("id") % 50).withColumn("team", F.col("id") % 3)
     return J.disjoint_pairs(rows, "id", "name", "team", "months")
 

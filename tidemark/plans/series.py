@@ -156,7 +156,7 @@ def slots_to_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 WITH s AS (
-  SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderkey % 5 = 0
+  SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders
 ), i AS (
   SELECT o_custkey, d AS s, lead(d) OVER (PARTITION BY o_custkey ORDER BY d, o_orderkey) AS e, o_orderkey AS v FROM s
 )
@@ -164,8 +164,8 @@ SELECT o.o_orderkey, (SELECT min_by(i.v, (i.s, coalesce(i.e, DATE '9999-01-01'),
 FROM orders AS o
 """)
 def interval_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stint that each order falls into; stints are made from every fifth order of a customer."""
+    """The stint that each order falls into; a stint lasts from one order of a customer to the next."""
     rows = table(spark, sf_dir, "orders").withColumn("d", F.col("o_orderdate").cast("date"))
-    spans = W.lead_columns(rows.where("o_orderkey % 5 = 0"), ["o_custkey"], ["d", "o_orderkey"], {"e": "d"})
+    spans = W.lead_columns(rows, ["o_custkey"], ["d", "o_orderkey"], {"e": "d"})
     spans = spans.select("o_custkey", F.col("d").alias("s"), F.coalesce("e", F.to_date(F.lit("9999-01-01"))).alias("e"), F.col("o_orderkey").alias("span"))
     return in_interval(rows, spans, ["o_custkey"], "d", "s", "e", "span").select("o_orderkey", "span")

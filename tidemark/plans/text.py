@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import scalar as S
 from tidemark.plans.registry import query
 from tidemark.plans.totals import table
-from tidemark.sources.scan import html_links, html_rows
+from tidemark.sources.scan import html_cells, html_links, html_rows
 
 
 @query("SELECT c_custkey, md5(coalesce(c_name, '') || '_' || coalesce(CASE WHEN c_custkey % 3 > 0 THEN c_mktsegment END, '') || '_' || CAST(c_nationkey AS VARCHAR)) AS guid FROM customer")
@@ -72,10 +72,16 @@ def number_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT s_suppkey, array_to_string(list_sort(list_distinct(['dj supplier jr.', 'dj supplier', 'd.j. supplier'])), '|') AS variants FROM supplier
+WITH n AS (SELECT s_suppkey, 's' || CAST(s_suppkey AS VARCHAR) || CASE WHEN s_suppkey % 3 = 0 THEN '-x' ELSE '' END AS last, ['jr.', 'iii', ''][s_suppkey % 3 + 1] AS suffix FROM supplier)
+SELECT s_suppkey, array_to_string(list_sort(list_distinct([
+  trim('dj ' || last || ' ' || suffix), 'dj ' || last, 'd.j. ' || last, 'dj ' || replace(last, '-', ' '), 'dj ' || regexp_replace(last, '-.*', '')])), '|') AS variants FROM n
 """)
 def name_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = F.concat(F.lit("DJ "), F.regexp_replace("s_name", "#.*", ""), F.lit("  Jr.*"), F.when(F.col("s_suppkey") % 2 == 0, " (IR)").otherwise(""))
+    """Spellings of names that differ in surname, hyphen and suffix; marks and a reserve tag are no part of them."""
+    key = F.col("s_suppkey")
+    last = F.concat(F.lit("S"), key.cast("string"), F.when(key % 3 == 0, "-X").otherwise(""))
+    suffix = F.when(key % 3 == 0, "  Jr.*").when(key % 3 == 1, " III").otherwise("")
+    name = F.concat(F.lit("DJ "), last, suffix, F.when(key % 2 == 0, " (IR)").otherwise(""))
     return table(spark, sf_dir, "supplier").select("s_suppkey", F.array_join(S.name_variants(name), "|").alias("variants"))
 
 
@@ -125,7 +131,13 @@ def html_link_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT page_id, len(list_filter(regexp_extract_all(html, '(?is)<tr\\b[^>]*>.*?</tr>'), lambda r: regexp_matches(r, '(?i)<td\\b') AND NOT regexp_matches(r, '(?is)^<tr\\b[^>]*\\bthead\\b'))) AS n_rows FROM pages
+SELECT page_id, CAST(page_id % 5 AS BIGINT) AS n_rows, CASE WHEN page_id % 5 > 0 THEN 'p' || CAST(page_id AS VARCHAR) || '|' || CAST(page_id % 5 - 1 AS VARCHAR) END AS last_cells FROM pages
 """)
 def html_drop_header_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", F.size(html_rows(F.col("html"))).cast("long").alias("n_rows"))
+    """Rows of a table appended to each page: header rows, by class or by their cells, are dropped, and markup is stripped."""
+    n = F.col("page_id") % 5
+    body = F.transform(F.sequence(F.lit(0), F.lit(4)), lambda i: F.when(i < n, F.concat(
+        F.lit("<tr data-i='1'><td><b>p"), F.col("page_id").cast("string"), F.lit("</b></td>\n<td class=x> "), i.cast("string"), F.lit(" </td></tr><TR class='thead'><td>p</td></TR>"))).otherwise(""))
+    html = F.concat(F.coalesce("html", F.lit("")), F.lit("<table><tr><th>name</th></tr>"), F.array_join(body, ""), F.lit("</table>"))
+    rows = html_rows(html)
+    return table(spark, sf_dir, "pages").select("page_id", F.size(rows).cast("long").alias("n_rows"), F.array_join(html_cells(F.element_at(F.when(F.size(rows) > 0, rows), -1)), "|").alias("last_cells"))

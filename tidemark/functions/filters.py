@@ -110,3 +110,59 @@ def split_by_years(df: DataFrame, column: str, train: Sequence[int], test: Seque
     if both := {*train} & {*test}:
         raise ValueError(f"in both parts: {sorted(both)}")
     return df.where(F.col(column).isin(*train)), df.where(F.col(column).isin(*test))
+
+
+def without(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """All columns but those named; absent ones are skipped."""
+    return df.drop(*present(df, names))
+
+
+def with_cells(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Rows in which none of the columns is null or blank."""
+    filled = [scalar.text(F.col(c).cast("string")).isNotNull() for c in names]
+    return df.where(F.forall(F.array(*filled), lambda x: x)) if filled else df
+
+
+def informed(df: DataFrame, required: Sequence[str], one_of: Sequence[str]) -> DataFrame:
+    """Rows with all of the ``required`` cells and at least one of the others."""
+    some = F.exists(F.array(*[scalar.text(F.col(c).cast("string")).isNotNull() for c in one_of]), lambda x: x)
+    return with_cells(df, required).where(some)
+
+
+def page(df: DataFrame, order: Sequence[Column | str], size: int, offset: int = 0) -> DataFrame:
+    """``size`` rows after the first ``offset`` in a total order; every partition passes on no more than both together."""
+    return df.orderBy(*order).offset(offset).limit(size)
+
+
+def hash_sample(df: DataFrame, key: str, size: int, seed: int) -> DataFrame:
+    """``size`` rows by the least digests of seed and key: the same rows on every run, however the table is laid out."""
+    return df.orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))), key).limit(size)
+
+
+#: For each game day the weekdays whose columns give the practice reports, by the report's own column.
+PRACTICE = {
+    "Thursday": {"wed": "Mon", "thurs": "Tue", "fri": "Wed"},
+    "Sunday": {"wed": "Wed", "thurs": "Thu", "fri": "Fri"},
+    "Monday": {"thurs": "Thu", "fri": "Fri", "sat": "Sat"},
+}
+
+
+def game_day(columns: Sequence[str]) -> str:
+    """The game day of a report by the weekdays that it lists."""
+    if {"Mon", "Tue"} <= {*columns}:
+        return "Thursday"
+    return "Monday" if "Sat" in columns else "Sunday"
+
+
+def practice_columns(df: DataFrame) -> DataFrame:
+    """``df`` with game_day and {wed,thurs,fri,sat}_practice_status instead of its weekday columns.
+
+    A dash in brackets means that a player has no designation; blanks and absent days are null.
+    """
+    day = game_day(df.columns)
+    found = {}
+    for slot in ("wed", "thurs", "fri", "sat"):
+        source = PRACTICE[day].get(slot)
+        value = scalar.text(F.col(source)) if source in df.columns else F.lit(None).cast("string")
+        found[f"{slot}_practice_status"] = F.when(value == "(-)", "No_Designation").otherwise(value)
+    return without(df.withColumns({**found, "game_day": F.lit(day)}), ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat"])

@@ -260,3 +260,49 @@ def same_college(a: Column, b: Column, aliases: Mapping[str, str] | None = None)
     """Equal by normal name or alias, or one within the other."""
     a, b = (mapped(normal_college(c), aliases or {}) for c in (a, b))
     return F.coalesce((a == b) | a.contains(b) | b.contains(a), F.lit(False))
+
+
+def week_algebra(a: Column, b: Column) -> Column:
+    """Struct (both, common, only_first) of two texts of weeks, as sorted texts: union, intersection and difference."""
+    a, b = week_set(a), week_set(b)
+    return F.struct(
+        week_text(F.array_union(a, b)).alias("both"), week_text(F.array_intersect(a, b)).alias("common"), week_text(F.array_except(a, b)).alias("only_first")
+    )
+
+
+def kind_of_text(x: Column) -> Column:
+    """``integer``, ``decimal``, ``date``, ``text`` or null: what a text looks like."""
+    x = text(x)
+    return (
+        F.when(x.rlike(r"^[+-]?\d+$"), "integer").when(x.rlike(r"^[+-]?\d*\.\d+$"), "decimal").when(x.rlike(r"^\d{4}-\d{2}-\d{2}$"), "date").when(x.isNotNull(), "text")
+    )
+
+
+#: A capitalised name with hyphens or apostrophes, and what may follow a surname.
+_NAME, _AFTER = r"[A-Z][a-z]+(?:[-'][A-Z][a-z]+)*", r"(?:\s+[IVX]+|Jr\.?|Sr\.?)?"
+_FULL = rf"{_NAME}(?:\.[A-Z]\.?)?\s+{_NAME}{_AFTER}"
+
+
+def players_in_play(x: Column) -> Column:
+    """Array of the players that a play's text names: who begins it, by full name or initial, and who a pass goes to.
+
+    What stands in brackets does not count; each name comes once, in this order.
+    """
+    clean = F.trim(F.regexp_replace(F.coalesce(x, F.lit("")), r"\([^)]*\)", ""))
+    patterns = (rf"^({_FULL})", rf"^([A-Z]\.{_NAME}{_AFTER})", rf"pass (?:complete|incomplete).*?(?:to|intended for)\s+({_FULL})")
+    return F.array_distinct(F.array_compact(F.array(*[text(F.regexp_extract(clean, p, 1)) for p in patterns])))
+
+
+def team_of_week(week: Column, current: Column, former: Column, first: Column, spans: Mapping[str, Column]) -> Column:
+    """The team of a player in a week, from the teams of a season and the weeks between which they held.
+
+    ``spans`` has former_first, former_last, first_last and played_first (the first week played); a
+    missing bound is week 1, 18, or with a first team 12, and 6. A player who began with the former
+    team was there from the start.
+    """
+    former, first = text(former), text(first)
+    start, end = F.coalesce(spans["former_first"], F.lit(1)), F.coalesce(spans["former_last"], F.lit(18))
+    two = F.when((start == spans["played_first"]) & (week <= end), former).when(week.between(start, end), former).otherwise(current)
+    early, middle = F.coalesce(spans["first_last"], F.lit(6)), F.coalesce(spans["former_last"], F.lit(12))
+    three = F.when(week <= early, first).when(week <= middle, former).otherwise(current)
+    return F.when(former.isNull(), current).when(first.isNull(), two).otherwise(three)

@@ -262,3 +262,17 @@ def best_candidates(scored: DataFrame, key: str, candidate: str, score: str) ->
 def rekeyed(df: DataFrame, mapping: DataFrame, key: str) -> DataFrame:
     """``df`` with its key replaced where ``mapping`` (old, new) has it."""
     return df.join(mapping.select(F.col("old").alias(key), F.col("new").alias("_new")), key, "left").withColumn(key, F.coalesce("_new", key)).drop("_new").select(df.columns)
+
+
+def with_following(left: DataFrame, right: DataFrame, keys: Sequence[str], at: str, time: str, values: Sequence[str], after: int = 3) -> DataFrame:
+    """``nearest`` with the values of the next ``after`` right rows too, as ``{value}_1`` and so on; null past the end."""
+    order = Window.partitionBy(*keys).orderBy(time, *values)
+    more = {f"{v}_{n}": F.lead(v, n).over(order) for v in values for n in range(1, after + 1)}
+    return nearest(left, right.withColumns(more), keys, at, time, [*values, *more])
+
+
+def protected(target: DataFrame, source: DataFrame, keys: Sequence[str], column: str, placeholder: str) -> DataFrame:
+    """``source`` with the value that ``target`` has for a key wherever its own is only the placeholder."""
+    stored = target.select(*keys, F.col(column).alias("_stored")).where("_stored IS NOT NULL")
+    held = F.when(F.col(column) == placeholder, F.coalesce("_stored", column)).otherwise(F.col(column))
+    return source.join(stored, list(keys), "left").withColumn(column, held).drop("_stored").select(source.columns)

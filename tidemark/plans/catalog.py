@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from tidemark.plans import cleaning, dataset, matching, series, text, totals  # noqa: F401
+from tidemark.plans import cleaning, dataset, imputation, matching, rates, records, series, text, totals  # noqa: F401

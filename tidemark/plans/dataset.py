@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +14,7 @@ from tidemark.operators.joins import FeatureSource, join_source
 from tidemark.operators.model import evaluate, fit_forest
 from tidemark.plans.registry import query
 from tidemark.plans.totals import exact, table
-from tidemark.streaming.incremental import stream_totals
+from tidemark.streaming.incremental import shared_dir, stream_totals
 
 
 def _months(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,7 +86,11 @@ def forest_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS n_events, CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS value FROM events GROUP BY ALL
 """)
 def streamed_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily totals of users, read as a stream in several batches; equal to those of one batch."""
+    """Daily totals of users, read as a stream in several batches; more files arrive before a second call on the same folder."""
     rows = lambda df: df.select("user_id", F.col("ts").cast("date").alias("day"), exact("value").alias("value"))
-    found = stream_totals(spark, f"{sf_dir}/events.parquet", rows, ["user_id", "day"], ["value"], "n_events")
+    folder = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    events = table(spark, sf_dir, "events")
+    for half in (0, 1):
+        events.where(F.col("event_id") % 2 == half).repartition(3, "event_id").write.mode("append").parquet(f"{folder}/in")
+        found = stream_totals(spark, f"{folder}/in", rows, ["user_id", "day"], ["value"], "n_events", f"{folder}/state", 2)
     return found.withColumn("value", F.col("value").cast("double"))

@@ -23,16 +23,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def stream_totals(
-    spark: SparkSession, path: str, rows: Callable[[DataFrame], DataFrame], keys: Sequence[str], sums: Sequence[str], count: str, folder: str | None = None
+    spark: SparkSession, path: str, rows: Callable[[DataFrame], DataFrame], keys: Sequence[str], sums: Sequence[str], count: str, folder: str | None = None, files: int = 8
 ) -> DataFrame:
     """Totals by key over all files that have arrived at ``path``; a later call with the same ``folder`` reads the new ones only.
 
+    A batch takes at most ``files`` files.
+
     Each batch adds its own partial totals as a folder named by the batch, so a batch that is
     repeated after a failure replaces itself. The result sums the parts.
     """
     folder = folder or f"{shared_dir(spark)}/totals-{uuid.uuid4().hex}"
     source = path if "." not in path.rsplit("/", 1)[-1] else path.rsplit("/", 1)[0]
-    reader = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", "8")
+    reader = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", str(files))
     if source != path:
         reader = reader.option("pathGlobFilter", path.rsplit("/", 1)[-1])
 

@@ -215,6 +215,30 @@ def test_embeddings_equal_brute_force(spark, monkeypatch, block):
     assert {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in found.collect()} == brute_cosine(rows)
 
 
+def test_embeddings_recall_of_a_limited_search(spark, monkeypatch):
+    """Vectors without clusters, some of them with a partner just above the threshold: with four deviations hardly a link is lost."""
+    monkeypatch.setattr(embeddings, "SMALL_CELL", 16)
+    rng = np.random.default_rng(9)
+    vectors = rng.normal(size=(1500, 64))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    apart = rng.normal(size=(300, 64))
+    apart -= (apart * vectors[:300]).sum(1, keepdims=True) * vectors[:300]
+    near = 0.91 * vectors[:300] + math.sqrt(1 - 0.91**2) * apart / np.linalg.norm(apart, axis=1, keepdims=True)
+    rows = [(i, v.tolist(), "x") for i, v in enumerate(np.concatenate([vectors, near]))]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, name string").cache()
+    want = brute_cosine([r[:2] for r in rows])
+    exact = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in embeddings.groups(frame).collect()}
+    assert exact == want
+    found = sum(r["n_links"] for r in embeddings.groups(frame, sigmas=4).collect())
+    assert 0.99 * sum(n for n, _, _ in want.values()) <= found <= sum(n for n, _, _ in want.values())
+
+
+def test_embeddings_of_repeated_rows(spark):
+    rows = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [0.99, 0.01]), (None, [0.0, 2.0])]
+    found = sorted(((r["vec_id"] or -1, r["n_links"], r["component_id"], r["kept"]) for r in embeddings.groups(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()))
+    assert found == [(-1, 1, 1, False), (1, 1, 1, True), (1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False)]
+
+
 def test_embeddings_of_nothing(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>, name string")
     assert embeddings.groups(empty).count() == 0

@@ -9,8 +9,13 @@ has no link there. Both bounds are exact, so no link is lost; each pair of cells
 one side only. Cells are dealt in blocks of about ``BLOCK`` vectors, so a cell with a third of all
 vectors is many tasks, and what is sent to a block is read as a stream.
 
-How much the bounds leave out depends on the vectors: little if they have no clusters at all (the
-work is then that of all block products), nearly everything between cells if they have.
+How much the bounds leave out depends on the vectors: nearly everything between cells if they have
+clusters, little if they have none: the work is then that of all block products and grows with the
+square of the vectors. For such data ``sigmas`` limits the search. A vector at the threshold differs
+from its partner in a direction that is as good as random, so its product with the difference of
+two centres strays from what is expected by a known standard deviation; cells that it would reach
+only beyond so many deviations are left out, and cells are made smaller. Links are then found with
+a recall below 1, which is to be measured; none is made up.
 """
 
 from __future__ import annotations
@@ -28,8 +33,12 @@ from tidemark.llm.simhash import _forest
 
 COSINE = 0.9
 BLOCK = 2048
-#: Bounds of the k-means model: rows it is fitted to and cells.
-SAMPLE_ROWS, MAX_CELLS = 16_384, 1024
+#: Bounds of the k-means model: rows and bytes of the sample that it is fitted to, and cells.
+SAMPLE_ROWS, SAMPLE_BYTES, MAX_CELLS = 16_384, 1 << 25, 1024
+#: Vectors of a cell, on average, where ``sigmas`` limits the search.
+SMALL_CELL = 128
+#: Copies of vectors that a task deals out at a time.
+DEAL_ROWS = 1 << 17
 
 
 def valid(vector: Column) -> Column:
@@ -138,14 +147,15 @@ def _products(batches: Iterator[pa.RecordBatch], width: int, cosine: float) -> I
         yield close()
 
 
-def groups(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
+def groups(vectors: DataFrame, cosine: float = COSINE, sigmas: float | None = None) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``vectors`` (vec_id, embedding).
 
     Links join vectors whose cosine in double precision is at least ``cosine``; vectors of different
     lengths do not link, nor do those that are null or zero or hold null or non-finite components:
     they are groups of their own. ``n_links`` counts rows, equal ones too. A null vec_id takes part
     but is never the smallest of its group; it is kept if its group has no other. Repeated rows are
-    returned as often as they came and link with each other. No rows give no rows.
+    returned as often as they came and link with each other. Other columns are ignored. No rows give
+    no rows. All links are found unless ``sigmas`` limits the search (4 finds nearly all).
     """
     spark = vectors.sparkSession
     bound_batches(spark)
@@ -159,9 +169,10 @@ def groups(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     total, width = distinct.agg(F.count("*"), F.coalesce(F.max(F.size("embedding")), F.lit(0))).first()
     if not total:
         return ids.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    sample = [r[0] for r in distinct.orderBy("name").limit(SAMPLE_ROWS).select("embedding").collect()]
-    cells = min(MAX_CELLS, max(1, total // BLOCK))
-    centres = fit_cells(unit(sample, width), cells)
+    most = max(1, min(SAMPLE_ROWS, SAMPLE_BYTES // (8 * width)))
+    sample = distinct.orderBy("name").limit(most).select("embedding").toArrow().column(0).combine_chunks()  # a bounded sample, as bytes
+    cells = min(MAX_CELLS, max(1, total // (BLOCK if sigmas is None else SMALL_CELL)))
+    centres = fit_cells(unit(_lists(sample), width), cells)
     cells = len(centres)
     model = spark.sparkContext.broadcast(centres)
 
@@ -182,11 +193,13 @@ def groups(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     gap = math.sqrt(max(0.0, 2 - 2 * cosine)) + 1e-6
     plan = spark.sparkContext.broadcast((sizes, radius, blocks))
 
+    # Of a pair at the threshold, the standard deviation of what random parts add for centres one apart, by what the rest keeps.
+    slack = None if sigmas is None else sigmas * math.sqrt(max(0.0, 1 - cosine * cosine)) / max(cosine, 1e-6) / math.sqrt(width)
+
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centres, (sizes, radius, blocks) = model.value, plan.value
         apart = np.sqrt(np.maximum(0, 2 - 2 * centres @ centres.T))
-        cell_of, block_of = np.repeat(np.arange(cells), blocks), np.concatenate([np.arange(b) for b in blocks])
-        first = np.cumsum(blocks) - blocks
+        first, every = np.cumsum(blocks) - blocks, int(blocks.sum())
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 batch = whole.slice(at, 1024)
@@ -194,22 +207,26 @@ def groups(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
                 cell = batch.column(3).to_numpy()
                 block = np.array([int(x[:8], 16) for x in batch.column(0).to_pylist()]) % blocks[cell]
                 own = near[np.arange(len(cell)), cell]
-                beyond = (own[:, None] - near) <= gap * apart[cell] + 1e-9
-                inside = np.arccos(np.clip(near, -1, 1)) <= radius + math.acos(cosine) + 1e-6
-                reach = ((beyond & inside) | (np.arange(cells) == cell[:, None])) & (sizes > 0)
-                target = reach[:, cell_of]
-                # Of two blocks one is sent to the other: the one from which it is less than half way round.
-                here = (first[cell] + block)[:, None]
-                ahead = (np.arange(len(cell_of)) - here) % len(cell_of)
-                half = len(cell_of) / 2
-                target &= (ahead < half) | ((ahead == half) & (np.arange(len(cell_of)) > here))
-                row, to = np.nonzero(target)
-                probe = to != (first[cell] + block)[row]
-                taken = batch.take(pa.array(row))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(cell_of[to].astype(np.int32)), pa.array(block_of[to].astype(np.int32)), pa.array(probe.astype(np.int32)), taken.column(0), taken.column(1), taken.column(2)],
-                    ["cell", "block", "probe", "name", "n", "embedding"],
-                )
+                reach = (own[:, None] - near) <= (gap if slack is None else min(gap, slack)) * apart[cell] + 1e-9
+                reach &= np.arccos(np.clip(near, -1, 1)) <= radius + math.acos(cosine) + 1e-6
+                reach = (reach | (np.arange(cells) == cell[:, None])) & (sizes > 0)
+                rows, to_cell = np.nonzero(reach)
+                ends = np.cumsum(blocks[to_cell])
+                start = 0
+                while start < len(rows):  # portions of bounded size, however many blocks a vector is sent to
+                    end = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + DEAL_ROWS, "right")))
+                    n = blocks[to_cell[start:end]]
+                    row, target = np.repeat(rows[start:end], n), np.repeat(to_cell[start:end], n)
+                    number = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                    # Of two blocks one is sent to the other: the one from which it is less than half way round.
+                    here, to = (first[cell] + block)[row], first[target] + number
+                    ahead = (to - here) % every
+                    keep = (2 * ahead < every) | ((2 * ahead == every) & (to > here))
+                    row, target, number = row[keep], target[keep], number[keep]
+                    taken, probe = batch.take(pa.array(row)), (to != here)[keep]
+                    columns = [pa.array(x.astype(np.int32)) for x in (target, number, probe)]
+                    yield pa.RecordBatch.from_arrays([*columns, taken.column(0), taken.column(1), taken.column(2)], ["cell", "block", "probe", "name", "n", "embedding"])
+                    start = end
 
     dealt = assigned.mapInArrow(deal, f"cell int, block int, probe int, name string, n long, embedding {kind}")
     dealt = dealt.repartition("cell", "block").sortWithinPartitions("cell", "block", "probe")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 
 import corpus_pipeline
 import public_tokenizers
@@ -42,3 +43,27 @@ def test_stages(spark, sf):
     texts = sorted((r["doc_id"], r["text"]) for r in mixed)
     assert sorted((r["doc_id"], library.decode(r["ids"])) for r in encoded) == texts
     assert all(r["n_tokens"] == len(r["ids"]) for r in encoded)
+
+
+def test_stages_on_awkward_rows(spark, sf):
+    """Null ids and texts, empty and repeated rows, an extra column with a clashing name, and no rows at all."""
+    own = [(None, "the cat and the dog and the bird", "en", "a", 3, "x"), (1, None, "en", "a", 0, "x"), (1, "", None, None, None, None), (2, "123 !!", "en", "b", 6, "y")]
+    own += [(i % 40, f"the cat {i % 40} sat on the mat and the dog {i % 7} ran off", "en", "s" if i % 3 else None, 9, "z") for i in range(120)]
+    docs = spark.createDataFrame(own, "doc_id long, text string, lang string, source string, n_chars long, fp string")
+    for rows in (docs, docs.limit(0)):
+        out = rows
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = cut(stage(spark, out, sf), name)
+            assert out.columns == docs.columns, name
+        last = cut(corpus_pipeline.STAGES[-1][1](spark, out, sf), "last")
+        assert last.count() == out.count() and {"doc_id", "n_tokens"} <= {*last.columns}
+        if rows is docs:
+            assert 0 < out.count() and out.where("text IS NULL OR text = ''").count() == 0
+
+
+def test_run_leaves_one_table_behind(spark, sf, tmp_path):
+    from tidemark.llm.common import shared_dir
+
+    before = set(os.listdir(shared_dir(spark).removeprefix("file:")))
+    assert corpus_pipeline.run(spark, sf).count() > 100
+    assert len(set(os.listdir(shared_dir(spark).removeprefix("file:"))) - before) == 1

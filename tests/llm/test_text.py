@@ -16,7 +16,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 from tests.llm.test_dedup import reach
-from tidemark.llm import bpe, chat, language, mixing, quality_model, quality_rules, url_filter
+from tidemark.llm import bpe, chat, language, mixing, quality_model, quality_rules, subword, url_filter
 from tidemark.llm.subword import Settings, document_features, sample_features
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -392,9 +392,111 @@ def test_mix_writes_documents_in_order(spark):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
+def test_mix_of_ties_and_clashing_names(spark):
+    """One id with several texts of one size, and columns named like the operator's own."""
+    rows = [(7, "a", f"t{i} x y z", i, "s") for i in range(8)] + [(None, "b", "w " * 9, 9, None), (8, "b", "w " * 30, 10, "t")]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string, size int, taken string")
+    first = [tuple(r) for r in mixing.mix(docs.repartition(3)).collect()]
+    assert first == [tuple(r) for r in mixing.mix(docs.repartition(5, "size")).collect()]
+    assert mixing.mix(docs).columns == docs.columns and {r[4] for r in first} <= {"s", "t", None}
+
+
 # classifiers
 
 
+def plain_features(text, buckets):
+    """Weights by feature, one word and one character at a time."""
+    mask = 2**64 - 1
+    prime, mix = 0x100000001B3, 0x9E3779B97F4A7C15
+
+    def mixed(x):
+        x = ((x ^ (x >> 32)) * mix) & mask
+        return x ^ (x >> 29)
+
+    words, weights, hashes = (text or "").split(), {}, []
+    for word in words:
+        codes = [ord(c) + 1 for c in f"<{word}>"]
+        hashes.append(mixed(sum(c * pow(prime, i + 1, 2**64) for i, c in enumerate(codes)) & mask))
+        ids = [hashes[-1] % buckets]
+        for n in (3, 4, 5):
+            for i in range(len(codes) - n + 1):
+                h = n
+                for c in codes[i : i + n]:
+                    h = (h * prime + c) & mask
+                ids.append(mixed(h) % buckets)
+        for f in ids:
+            weights[f] = weights.get(f, 0) + 1 / len(ids)
+    for a, b in zip(hashes, hashes[1:], strict=False):
+        f = (mix if a == b else mixed((a * prime + b) & mask)) % buckets
+        weights[f] = weights.get(f, 0) + 1
+    return {f: w / max(1, 2 * len(words) - 1) for f, w in weights.items()}
+
+
+ODD_TEXTS = [None, "", " \n", "a", "the cat the cat sat", "\u00e9t\u00e9 \U0001f600 x\x00y", "go go go go", "z" * 200, "one two three " * 40]
+
+
+@pytest.mark.parametrize("chars", [1 << 15, 32])
+def test_features_and_means_equal_a_plain_version(monkeypatch, chars):
+    """Features of documents, and the means that tasks compute, also where words and texts are taken in portions."""
+    monkeypatch.setattr(subword, "WORD_CHARS", chars)
+    monkeypatch.setattr(subword, "TEXT_CHARS", chars)
+    monkeypatch.setattr(subword, "REMEMBERED", 8)
+    buckets = 1 << 10
+    settings = Settings(buckets=buckets, dim=4)
+    model = subword.train([], ["x", "y"], settings)
+    model.vectors = np.random.default_rng(1).normal(size=(buckets, 4)).astype(np.float32)
+    means = subword.Scorer(model).means(ODD_TEXTS + ODD_TEXTS)
+    for n, text in enumerate(ODD_TEXTS):
+        want = plain_features(text, buckets)
+        ids, share = document_features(text, buckets)
+        assert sorted(want) == ids.tolist() and share == pytest.approx([want[i] for i in ids.tolist()], abs=1e-6)
+        mean = sum((w * model.vectors[f].astype(float) for f, w in want.items()), np.zeros(4))
+        assert means[n] == pytest.approx(mean, abs=1e-5) and means[n + len(ODD_TEXTS)] == pytest.approx(mean, abs=1e-5)
+
+
+def test_training_is_gradient_descent_and_the_threshold_a_quantile():
+    """One pass over three documents against plain loops; then the temperature of least loss and the rejection threshold."""
+    settings = Settings(buckets=64, dim=3, epochs=1, steps=1, rate=0.5)
+    rows = [(n % 2, *document_features(t, 64)) for n, t in enumerate(["a b", "c d e", "a c"])]
+    model = subword.train(rows, ["x", "y"], settings)
+    rng = np.random.default_rng(settings.seed)
+    vectors = rng.uniform(-1 / 3, 1 / 3, (64, 3)).astype(np.float32).astype(float)
+    weights = np.zeros((2, 4))
+    for done, n in enumerate(rng.permutation(3)):
+        label, ids, share = rows[n]
+        rate = 0.5 * (1 - done / 3)
+        mean = [*(sum(s * vectors[i][k] for i, s in zip(ids, share, strict=True)) for k in range(3)), 1.0]
+        logits = [sum(w * m for w, m in zip(row, mean, strict=True)) for row in weights]
+        p = np.exp(logits) / sum(np.exp(logits))
+        p[label] -= 1
+        back = [sum(p[c] * weights[c][k] for c in range(2)) for k in range(3)]
+        for c in range(2):
+            weights[c] -= rate * p[c] * np.array(mean)
+        for i, s in zip(ids, share, strict=True):
+            vectors[i] -= rate * 4 * s * np.array(back)
+    assert model.vectors == pytest.approx(vectors, abs=1e-5) and model.weights == pytest.approx(weights, abs=1e-5)
+    subword.calibrate(model, rows)
+    losses = {}
+    for t in (0.25, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0):
+        logits = (subword.means(model, rows) @ model.weights[:, :-1].T + model.weights[:, -1]) / t
+        p = np.exp(logits) / np.exp(logits).sum(1, keepdims=True)
+        losses[t] = -np.log([p[n][r[0]] for n, r in enumerate(rows)]).mean()
+    assert model.temperature == min(losses, key=losses.get)
+    p = model.probabilities(subword.means(model, rows))
+    right = [max(p[n]) for n, r in enumerate(rows) if p[n].argmax() == r[0]]
+    assert model.threshold == pytest.approx(min(0.5, np.quantile(right, 0.001)), abs=1e-6)
+
+
+def test_classifiers_take_repeated_rows_and_clashing_names(spark):
+    docs = spark.createDataFrame([(i % 30, f"word{i % 30} {'good' if i % 2 else 'bad'}", "en", i, "x", 0.5) for i in range(60)] + [(None, "z", None, 0, None, None)], "doc_id long, text string, lang string, label int, _text string, score double")
+    labels = spark.createDataFrame([(i % 30, i % 2) for i in range(60)], "doc_id long, quality int")
+    model = quality_model.fit(docs, labels, Settings(buckets=1 << 10, steps=500))
+    found = quality_model.classify(docs, model)
+    assert found.count() == 61 and found.columns == ["doc_id", "held_out", "score", "predicted"]
+    named = language.identify(docs, language.fit(docs, Settings(buckets=1 << 10, steps=500)))
+    assert named.count() == 61 and {r["_lang_pred"] for r in named.collect()} == {"en"}
+
+
 def test_sample_is_the_least_hashes_of_each_class_and_bounded(spark):
     docs = spark.range(20_000).selectExpr("id AS doc_id", "concat('w', id) AS text").union(spark.range(500).selectExpr("-1L", "concat('x', id % 3)"))
     labelled = docs.selectExpr("doc_id", "CASE WHEN doc_id = -1 THEN 'hot' WHEN doc_id < 7 THEN 'tiny' ELSE 'big' END AS label")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +39,10 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+#: Paths that ``cut`` wrote within each open ``scratch``.
+_OPEN: list[list[str]] = []
+
+
 def cut(df: DataFrame, name: str = "step") -> DataFrame:
     """``df`` written to the shared folder and read again: its lineage ends there.
 
@@ -44,10 +50,31 @@ def cut(df: DataFrame, name: str = "step") -> DataFrame:
     that are lost take nothing with them.
     """
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    for paths in _OPEN:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in the shared folder, if it is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """A block at whose end the tables that ``cut`` wrote in it are deleted, but for those taken out of the list."""
+    paths: list[str] = []
+    _OPEN.append(paths)
+    try:
+        yield paths
+    finally:
+        _OPEN[:] = [p for p in _OPEN if p is not paths]
+        for path in paths:
+            remove(spark, path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

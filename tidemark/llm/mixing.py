@@ -95,7 +95,8 @@ def _place(keyed: DataFrame, stats: DataFrame) -> DataFrame:
     before = Window.partitionBy("_key").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.select("_key", "_block", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
     blocks = cut(blocks.join(sources, "_key"), "blocks")
-    within = Window.partitionBy("_key", "_block").orderBy("_order", "doc_id", "_size").rowsBetween(Window.unboundedPreceding, 0)
+    ties = ["_tie"] if "_tie" in keyed.columns else []
+    within = Window.partitionBy("_key", "_block").orderBy("_order", "doc_id", "_size", *ties).rowsBetween(Window.unboundedPreceding, 0)
     placed = keyed.withColumn("_block", block).withColumn("_until", F.sum("_size").over(within))
     placed = placed.join(blocks, ["_key", "_block"])
     start, size, budget = F.col("_before") + F.col("_until") - F.col("_size"), F.col("_size"), F.floor("target")
@@ -116,16 +117,18 @@ def mix(docs: DataFrame) -> DataFrame:
     taken in part, and its text is then the words taken, joined by one space. No document exceeds three times its
     size. Null and empty texts have size 0 and are never taken; a null source is a source of its
     own; documents without doc_id and repeated rows are mixed like others, ties in the order being
-    broken by doc_id and size. No rows give no rows.
+    broken by doc_id, size and text, so reruns take the same texts. Other columns pass through,
+    whatever their names. No rows give no rows.
     """
-    keyed = _keyed(docs)
+    keyed = _keyed(docs.select("doc_id", "source", "text", F.struct("*").alias("_row"))).withColumn("_tie", F.md5(F.col("text").cast("string")))
     stats = cut(keyed.select("_key", "_order", "_size"), "sizes")
-    taken = _place(keyed, stats).select(*docs.columns, "_size", F.explode("_copies").alias("_copy"))
+    taken = _place(keyed, stats).select("_row", "text", "_size", F.explode("_copies").alias("_copy"))
     text = F.col("text").cast("string")
     words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
     part = F.array_join(F.slice(words, F.lit(1), F.col("_copy.words").cast("int")), " ")
     text = F.when(F.col("_copy.words") < F.col("_size"), part).otherwise(text)
-    return taken.withColumn("text", text).orderBy("_copy.position", "doc_id").select(docs.columns)
+    columns = [F.col("_text").alias(c) if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns]
+    return taken.withColumn("_text", text).orderBy("_copy.position", "_row.doc_id", F.col("_copy.copy")).select(columns)
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

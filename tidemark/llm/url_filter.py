@@ -65,7 +65,7 @@ def decide(urls: DataFrame, rules: DataFrame) -> DataFrame:
     places = F.filter(F.sequence(F.lit(1), F.length("tail")), lambda i: F.substring(F.col("tail"), i, F.lit(1)) == ".")
     ends = distinct.select("host").distinct().withColumn("tail", tail).select("host", F.explode(F.transform(places, lambda i: F.substring(F.col("tail"), i + 1, F.lit(most)))).alias("of"))
     fitting = ends.join(hosts, "of")
-    begun = distinct.join(fitting, "host").select("host", "path", "of", F.explode(F.filter("lengths", lambda n: n <= F.length("path"))).alias("n"))
+    begun = distinct.join(fitting.hint("merge"), "host").select("host", "path", "of", F.explode(F.filter("lengths", lambda n: n <= F.length("path"))).alias("n"))
     begun = begun.select("host", "path", "of", F.substring(F.col("path"), F.lit(1), F.col("n")).alias("start"))
     size = F.struct(F.length("of") + F.length("start"), F.length("of"))
     value = F.struct(F.concat("of", "start").alias("rule"), "verdict")
@@ -126,7 +126,8 @@ def judge(pages: DataFrame, redirects: DataFrame | None = None, rules: tuple[tup
     aliases = cut(parts.join(verdicts, "component").select("node", "found"), "aliases")
     url = F.col("url").cast("string")
     judged = pages.select("page_id", host(url).alias("host"), path(url).alias("path"), node(url).alias("node"))
-    judged = judged.join(cut(decide(judged, known), "decided"), ["host", "path"], "left").join(aliases, "node", "left")
+    # Both tables grow with the pages; written small, they would be taken for small enough to broadcast.
+    judged = judged.join(cut(decide(judged, known), "decided").hint("merge"), ["host", "path"], "left").join(aliases.hint("merge"), "node", "left")
     return judged.select(
         "page_id", "host", "path", F.col("own.rule").alias("rule"), F.coalesce("own.verdict", "found", F.lit("allow")).alias("verdict")
     )

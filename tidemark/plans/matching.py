@@ -69,20 +69,20 @@ def full_outer_coalesce(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.full_outer(a, b, ["k"], ["best"])
 
 
-@query("SELECT o_orderkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 10 <> 0)")
+@query("SELECT o_orderkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)")
 def orphan_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = table(spark, sf_dir, "customer").where("c_custkey % 10 <> 0").select(F.col("c_custkey").alias("o_custkey"))
+    customers = table(spark, sf_dir, "customer").where("c_acctbal >= 0").select(F.col("c_custkey").alias("o_custkey"))
     return J.only_in(table(spark, sf_dir, "orders"), customers, ["o_custkey"]).select("o_orderkey")
 
 
 @query("""
-WITH a AS (SELECT DISTINCT l_suppkey AS k FROM lineitem WHERE l_quantity > 49), b AS (SELECT s_suppkey AS k FROM supplier WHERE s_suppkey % 3 = 0)
+WITH a AS (SELECT DISTINCT l_suppkey AS k FROM lineitem WHERE l_quantity > 49), b AS (SELECT s_suppkey AS k FROM supplier WHERE s_acctbal < 5000)
 SELECT k, 'missing' AS kind FROM (SELECT k FROM b EXCEPT SELECT k FROM a) UNION ALL SELECT k, 'extra' FROM (SELECT k FROM a EXCEPT SELECT k FROM b)
 UNION ALL SELECT k, 'both' FROM (SELECT k FROM a INTERSECT SELECT k FROM b)
 """)
 def missing_extra_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = table(spark, sf_dir, "lineitem").where("l_quantity > 49").select(F.col("l_suppkey").alias("k")).distinct()
-    b = table(spark, sf_dir, "supplier").where("s_suppkey % 3 = 0").select(F.col("s_suppkey").alias("k"))
+    b = table(spark, sf_dir, "supplier").where("s_acctbal < 5000").select(F.col("s_suppkey").alias("k"))
     parts = [(b.subtract(a), "missing"), (a.subtract(b), "extra"), (a.intersect(b), "both")]
     out = [d.select("k", F.lit(kind).alias("kind")) for d, kind in parts]
     return out[0].union(out[1]).union(out[2])

@@ -76,12 +76,12 @@ def orphan_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH a AS (SELECT DISTINCT l_suppkey AS k FROM lineitem WHERE l_quantity > 49), b AS (SELECT s_suppkey AS k FROM supplier WHERE s_acctbal < 5000)
+WITH a AS (SELECT DISTINCT l_suppkey AS k FROM lineitem WHERE l_quantity > 49 AND l_discount > 0.09), b AS (SELECT s_suppkey AS k FROM supplier WHERE s_acctbal < 5000)
 SELECT k, 'missing' AS kind FROM (SELECT k FROM b EXCEPT SELECT k FROM a) UNION ALL SELECT k, 'extra' FROM (SELECT k FROM a EXCEPT SELECT k FROM b)
 UNION ALL SELECT k, 'both' FROM (SELECT k FROM a INTERSECT SELECT k FROM b)
 """)
 def missing_extra_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = table(spark, sf_dir, "lineitem").where("l_quantity > 49").select(F.col("l_suppkey").alias("k")).distinct()
+    a = table(spark, sf_dir, "lineitem").where("l_quantity > 49 AND l_discount > 0.09").select(F.col("l_suppkey").alias("k")).distinct()
     b = table(spark, sf_dir, "supplier").where("s_acctbal < 5000").select(F.col("s_suppkey").alias("k"))
     parts = [(b.subtract(a), "missing"), (a.subtract(b), "extra"), (a.intersect(b), "both")]
     out = [d.select("k", F.lit(kind).alias("kind")) for d, kind in parts]

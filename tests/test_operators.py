@@ -209,11 +209,34 @@ def test_merge_into_keeps_versions(spark, tmp_path):
     assert rows(spark.read.parquet(sinks.current_version(spark, path))) == [(1, "a"), (2, "b"), (3, "c")]
 
 
+def test_versions_are_numbered_and_taken_once(spark, tmp_path):
+    path = str(tmp_path / "m")
+    assert sinks.current_version(spark, path) is None
+    for n in range(1, 12):  # beyond one digit: numbers are compared, not their text
+        sinks.merge_into(spark, path, spark.createDataFrame([(1, n)], "id int, v int"), ["id"])
+    assert rows(spark.read.parquet(sinks.current_version(spark, path))) == [(1, 11)]
+    with pytest.raises(RuntimeError):
+        sinks._take_number(spark, path, 11, "late")
+    assert rows(spark.read.parquet(sinks.current_version(spark, path))) == [(1, 11)]
+
+
+def test_schemas_of_a_partitioned_table(spark, tmp_path):
+    path = str(tmp_path / "p")
+    for season, kind in ((2023, "x int"), (2024, "x int, y int")):
+        spark.createDataFrame([(1, 2)[: kind.count("int")]], kind).write.parquet(f"{path}/season={season}")
+    expected = [(1, None, 2023), (1, 2, 2024)]
+    for found in (scan.scan_partitioned(spark, path, schema="x int, y int"), scan.scan_partitioned(spark, path, merge_schema=True)):
+        assert sorted(rows(found.select("x", "y", "season")), key=lambda r: r[2]) == expected
+
+
 def test_two_header_csv(spark, tmp_path):
     (tmp_path / "x.csv").write_text(",Passing,Passing\nPlayer,Yds,Yds\nA,1,2\nPlayer,Yds,Yds\nB,3,4\n")
     found = scan.scan_two_header_csv(spark, str(tmp_path / "x.csv"))
     assert found.columns == ["Player", "Passing_Yds", "Passing_Yds_2"]
     assert found.where("Player <> 'Player'").count() == 2
+    (tmp_path / "y.csv").write_text("a,b\nc,d\n")
+    with pytest.raises(ValueError):
+        scan.scan_two_header_csv(spark, str(tmp_path))
 
 
 def test_latest_file_and_seeds(spark, tmp_path):

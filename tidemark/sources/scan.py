@@ -30,14 +30,17 @@ class Catalog:
         return {n: self.table(n, seasons, weeks) for n in names}
 
 
-def scan_partitioned(spark: SparkSession, path: str, seasons: str | None = None, weeks: str | None = None, tolerant: bool = False) -> DataFrame:
+def scan_partitioned(
+    spark: SparkSession, path: str, seasons: str | None = None, weeks: str | None = None, tolerant: bool = False, schema: str | None = None, merge_schema: bool = False
+) -> DataFrame:
     """A Parquet table that is partitioned by season and week, by season alone, or not at all.
 
-    The period filters are predicates on the partition columns, so other folders are not listed.
-    ``season_id`` and ``week_id`` are added from the partition where the files lack them. With
-    ``tolerant`` unreadable files are skipped.
+    The period filters are predicates on the partition columns, so files of other periods are not
+    read. ``season_id`` and ``week_id`` are added from the partition where the files lack them.
+    With ``tolerant`` unreadable files are skipped. Where files differ in their columns state a
+    ``schema``; ``merge_schema`` finds it instead, at the cost of reading every file's footer.
     """
-    reader = spark.read.option("mergeSchema", "true")
+    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", merge_schema)
     if tolerant:
         reader = reader.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
     df = reader.parquet(path)
@@ -82,8 +85,13 @@ def merged_header(groups: Sequence[str | None], names: Sequence[str | None]) ->
 
 
 def scan_two_header_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV whose first two rows together name the columns; later repeats of either are dropped."""
+    """One CSV file whose first two rows together name the columns; later repeats of either are dropped.
+
+    ValueError for several files: which of them has the header is not defined.
+    """
     raw = spark.read.option("header", "false").csv(path)
+    if len(raw.inputFiles()) > 1:
+        raise ValueError(f"{path} is more than one file")
     head = raw.limit(2).collect()
     if len(head) < 2:
         raise ValueError("two header rows are needed")

@@ -56,27 +56,47 @@ def merge_counts(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
 def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], keep_old: bool = False) -> str:
     """Merge ``source`` into the Parquet table at ``path``; returns the folder of the new version.
 
-    The table is a folder of versions: the new one is written beside the old and named as current
-    at the end, so readers never see a part of it and a failed run leaves the old one.
+    The table is a folder of numbered versions: the new one is written beside the old and takes the
+    next number at the end, so readers never see a part of it and a failed run leaves the old one.
+    A number is taken once: of two writers that began from the same version the later one fails with
+    RuntimeError, and nothing is lost. This holds where the file system creates a file only once.
     """
-    current = current_version(spark, path)
+    number, current = _latest_version(spark, path)
     merged = merge(spark.read.parquet(current), source, keys, keep_old=keep_old) if current else source
-    new = f"{path}/v-{uuid.uuid4().hex}"
+    new = f"{path}/v-{number + 1}-{uuid.uuid4().hex}"
     merged.write.parquet(new)
-    spark.createDataFrame([(new,)], "version string").coalesce(1).write.mode("append").json(f"{path}/_current")
+    _take_number(spark, path, number + 1, new)
     return new
 
 
-def current_version(spark: SparkSession, path: str) -> str | None:
-    """The folder of the newest version, null if there is none."""
+def _take_number(spark: SparkSession, path: str, number: int, version: str) -> None:
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_current/{number}")
     try:
-        log = spark.read.schema("version string").json(f"{path}/_current")
+        out = mark.getFileSystem(spark._jsc.hadoopConfiguration()).create(mark, False)
+    except Exception as error:
+        if "AlreadyExists" in str(error) or "already exists" in str(error):
+            raise RuntimeError(f"version {number} of {path} was written by another merge; {version} is not part of the table") from error
+        raise
+    out.write(bytearray(version, "utf-8"))
+    out.close()
+
+
+def _latest_version(spark: SparkSession, path: str) -> tuple[int, str | None]:
+    """The highest number that names a version, and its folder; 0 and null if there is none."""
+    try:
+        log = spark.read.text(f"{path}/_current", wholetext=True)
     except Exception as error:
         if "PATH_NOT_FOUND" in str(error):
-            return None
+            return 0, None
         raise
-    row = log.select("version", F.col("_metadata.file_modification_time").alias("t")).agg(F.max_by("version", "t")).first()
-    return row[0]
+    number = F.col("_metadata.file_name").try_cast("long")
+    row = log.where("value <> ''").select("value", number.alias("n")).agg(F.max("n"), F.max_by("value", "n")).first()
+    return row[0] or 0, row[1]
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """The folder of the newest version, null if there is none."""
+    return _latest_version(spark, path)[1]
 
 
 def copy_periods(spark: SparkSession, source: str, target: str, seasons: str | None = None, weeks: str | None = None) -> None:

@@ -249,3 +249,35 @@ def test_embeddings_of_nothing(spark):
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_query_equals_its_sql(spark, sf, oracle, same, name):
     same(registry.queries()[name](spark, sf), oracle(registry.oracle_sql()[name]))
+
+
+@pytest.mark.parametrize("doc_id", [7, None])
+def test_substring_with_thousands_of_copies_of_one_row(spark, doc_id):
+    """Copies cost their words and nothing more: 20,000 of them beside a smaller document, and null ids of other texts."""
+    text = " ".join(WORDS + WORDS[::-1])
+    tail = " ".join([*WORDS[::-1], *(f"t{i}" for i in range(30))])
+    rows = [(5, "x " + text)] + [(None, tail)] * 3
+    one = spark.createDataFrame([(doc_id, text)], "doc_id long, text string").selectExpr("doc_id", "text", "explode(sequence(1, 20000)) AS n").drop("n")
+    found = substring.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string").union(one).repartition(8))
+    got = {(r["doc_id"], r["_n_words"]): (r["n"], r["_n_removed"]) for r in found.groupBy("doc_id", "_n_words", "_n_removed").agg({"*": "count"}).withColumnRenamed("count(1)", "n").collect()}
+    assert got == {(5, 81): (1, 0), (None, 70): (3, 0), (doc_id, 80): (20000, 80)}
+
+
+def test_substring_of_two_thousand_copies_equals_brute_force(spark):
+    docs = passages(4, 20)
+    copies = [(1000 + i, docs[0][1]) for i in range(2000)]
+    found = substring.dedup_substrings(spark.createDataFrame(docs + copies, "doc_id long, text string").repartition(8))
+    got = {r["doc_id"]: (r["_n_words"], r["_n_removed"], r["_kept_sha256"]) for r in found.collect()}
+    assert got == brute_substring(docs + copies)
+
+
+def test_substring_of_a_very_long_text(spark):
+    """Two texts of 10 MB: the later one loses what both share, to the word."""
+    rng = random.Random(3)
+    words = [rng.choice(WORDS) + str(rng.randrange(1000)) for _ in range(1_600_000)]
+    docs = [(1, " ".join(words)), (2, "new " + " ".join(words[:800_000]) + " other " + " ".join(words[800_000:]))]
+    assert len(docs[0][1]) > 10_000_000
+    found = substring.dedup_substrings(spark.createDataFrame(docs, "doc_id long, text string")).drop("text", "_kept")
+    got = {r["doc_id"]: (r["_n_words"], r["_n_removed"], r["_kept_sha256"]) for r in found.collect()}
+    assert got[1][:2] == (1_600_000, 0)
+    assert got[2] == (1_600_002, 1_600_000, hashlib.sha256(b"new other").hexdigest())

@@ -15,7 +15,9 @@ An anchor is extended in two steps, both without pairs of documents:
 Both meet in sorted runs that are read as a stream: a passage of any number of documents needs the
 memory of one batch. A run holds one row for each time its words occur, at most a few hundredths of
 all rows even if a third of all documents share the passage, as each of the passage's anchors and
-windows has a run of its own.
+windows has a run of its own. Rows that repeat an id and its text are told apart from others by a
+64-bit hash of the text, pass through the runs as often as they come, and leave one mark there, so
+n copies cost n times the words of one.
 """
 
 from __future__ import annotations
@@ -109,7 +111,7 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             left, right = np.maximum(p - REACH, 0), np.minimum(p + ANCHOR + REACH, n)
             shape = ((p - left) * 128 + (right - p)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
             near = roller.span(1, left, right) ^ shape
-            found.append([roller.span(0, p, p + ANCHOR), near, np.full(len(p), key), (mark << 32) | p])
+            found.append([roller.span(0, p, p + ANCHOR), near, np.full(len(p), key), np.full(len(p), mark), p])
             if sum(len(x[0]) for x in found) > 200_000:
                 yield _batch(found, _ANCHOR)
                 found = []
@@ -129,7 +131,7 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             np.add.at(edge, np.maximum(np.array(at) - REACH, 0), 1)
             np.add.at(edge, np.minimum(np.array(at), n - WINDOW) + 1, -1)
             s = np.flatnonzero(np.cumsum(edge)[: n - WINDOW + 1] > 0)
-            found.append([*(roller.span(k, s, s + WINDOW) for k in range(2)), np.full(len(s), key), (mark << 32) | s])
+            found.append([*(roller.span(k, s, s + WINDOW) for k in range(2)), np.full(len(s), key), np.full(len(s), mark), s])
             if sum(len(x[0]) for x in found) > 200_000:
                 yield _batch(found, _WINDOW)
                 found = []
@@ -137,8 +139,10 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _batch(found, _WINDOW)
 
 
-_ANCHOR = ["anchor", "near", "key", "at"]
-_WINDOW = ["w1", "w2", "key", "at"]
+_ANCHOR = ["anchor", "near", "key", "mark", "at"]
+_WINDOW = ["w1", "w2", "key", "mark", "at"]
+#: Rows of one class that a task keeps back; beyond that they lay out their windows, needed or not.
+HELD = 1 << 20
 
 
 def _batch(found: list[list[np.ndarray]], names: list[str]) -> pa.RecordBatch:
@@ -152,16 +156,20 @@ def _arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
             yield [c.to_numpy(zero_copy_only=False) for c in batch.columns]
 
 
-def _marks(key: np.ndarray, at: np.ndarray, sure: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(key), pa.array(at), pa.array(sure)], ["key", "at", "sure"])
+def _marks(columns: list[np.ndarray], sure: np.ndarray) -> pa.RecordBatch:
+    """(key, mark, at, sure); of rows that repeat the one before, as copies of a document do in a sorted run, only the first."""
+    new = np.ones(len(sure), bool)
+    if len(sure) > 1:
+        new[1:] = np.any([c[1:] != c[:-1] for c in (*columns, sure)], axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(c[new]) for c in (*columns, sure)], ["key", "mark", "at", "sure"])
 
 
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by anchor, near, key -> those that a smaller document covers (sure), or that must lay out windows."""
+    """Rows sorted by all columns -> those that a smaller document covers (sure), or that must lay out windows."""
     anchor0 = near0 = least0 = None
     several = False
     held: list[np.ndarray] = []
-    for anchor, near, key, at in _arrays(batches):
+    for anchor, near, key, mark, at in _arrays(batches):
         n = len(anchor)
         new_anchor = np.r_[anchor0 is None or anchor[0] != anchor0, anchor[1:] != anchor[:-1]]
         new_class = new_anchor | np.r_[near0 is None or near[0] != near0, near[1:] != near[:-1]]
@@ -174,36 +182,41 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sure = key != least
         own = ~sure
         out = sure | (own & extra[group])
-        if extra[0] and held:
+        if held and (extra[0] or sum(h.shape[1] for h in held) > HELD):
             h = np.concatenate(held, axis=1)
-            yield _marks(h[0], h[1], np.zeros(h.shape[1], bool))
-        if extra[0] or group[-1] > 0:
+            yield _marks([*h], np.zeros(h.shape[1], bool))
             held = []
-        last = own & (group == group[-1]) & ~extra[-1]
-        if last.any():
-            held.append(np.stack([key[last], at[last]]))
+        if group[-1] > 0:
+            held = []
+        last = np.flatnonzero(own & (group == group[-1]) & ~extra[-1])
+        if len(last):
+            rows = np.stack([key[last], mark[last], at[last]])
+            new = np.r_[True, (rows[:, 1:] != rows[:, :-1]).any(0)]
+            if held and (held[-1][:, -1] == rows[:, 0]).all():
+                new[0] = False
+            if new.any():
+                held.append(rows[:, new])
         several = bool(extra[-1])
-        yield _marks(key[out], at[out], sure[out])
+        yield _marks([key[out], mark[out], at[out]], sure[out])
         anchor0, near0, least0 = anchor[-1], near[-1], least[-1]
 
 
 def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by window, key -> those of all but the window's smallest document."""
+    """Rows sorted by all columns -> those of all but the window's smallest document."""
     before, least0 = None, 0
-    for w1, w2, key, at in _arrays(batches):
+    for w1, w2, key, mark, at in _arrays(batches):
         goes_on = before is not None and (w1[0], w2[0]) == before
         new = np.r_[not goes_on, (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1])]
         start = np.maximum.accumulate(np.where(new, np.arange(len(w1)), -1))
         least = np.where(start < 0, least0, key[start])
         out = key != least
-        yield _marks(key[out], at[out], np.ones(out.sum(), bool))
+        yield _marks([key[out], mark[out], at[out]], np.ones(out.sum(), bool))
         before, least0 = (w1[-1], w2[-1]), least[-1]
 
 
 def _positions(marks: DataFrame, name: str) -> DataFrame:
-    """One row for each document: the array of its positions. A document's own length bounds it."""
-    place = F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
-    return marks.groupBy(F.col("key").alias("_key"), F.shiftright("at", 32).alias("_mark")).agg(F.collect_list(place).alias(name))
+    """One row for each id and text: the set of its positions, which its own length bounds, however many rows repeat it."""
+    return marks.groupBy(F.col("key").alias("_key"), F.col("mark").alias("_mark")).agg(F.collect_set(F.col("at").cast("int")).alias(name))
 
 
 def covered(n: int, anchors: list[int] | None, windows: list[int] | None) -> np.ndarray:
@@ -236,7 +249,8 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     """The columns of ``docs`` with _n_words, _n_removed, _kept_sha256 and _kept.
 
     Each word that is covered by a window which also starts in a document with a smaller doc_id is
-    removed; windows are judged on the input. ``_kept`` is the kept words joined by one space, or
+    removed; windows are judged on the input. A document's words are in memory once, with its marks:
+    a text of many megabytes needs a multiple of its own length. ``_kept`` is the kept words joined by one space, or
     the text as it was if nothing is removed (null stays null). Null and empty texts have no
     words. A null doc_id counts as larger than all others. Rows that repeat a doc_id, with this
     text or another, never remove each other's words. No rows give no rows. ``docs`` needs doc_id
@@ -246,22 +260,22 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     text = F.col("text").cast("string")
     keys = [
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_key"),
-        F.xxhash64(text).bitwiseAND(F.lit(0x7FFFFFFF)).alias("_mark"),
+        F.xxhash64(text).alias("_mark"),
     ]
     keyed = docs.select(*keys, text.alias("_text"))
-    anchors = keyed.mapInArrow(_anchors, "anchor long, near long, key long, at long")
+    anchors = keyed.mapInArrow(_anchors, "anchor long, near long, key long, mark long, at long")
     marks = cut(
-        anchors.repartition("anchor").sortWithinPartitions("anchor", "near", "key")
-        .mapInArrow(_classes, "key long, at long, sure boolean"),
+        anchors.repartition("anchor").sortWithinPartitions(*_ANCHOR)
+        .mapInArrow(_classes, "key long, mark long, at long, sure boolean"),
         "anchors",
     )
     whole = docs.select(*keys, "*")
     open_ = _positions(marks.where("NOT sure"), "_open")
     windows = whole.join(open_, ["_key", "_mark"]).select("_key", "_mark", text.alias("_text"), "_open")
     repeats = (
-        windows.mapInArrow(_windows, "w1 long, w2 long, key long, at long")
-        .repartition("w1").sortWithinPartitions("w1", "w2", "key")
-        .mapInArrow(_repeats, "key long, at long, sure boolean")
+        windows.mapInArrow(_windows, "w1 long, w2 long, key long, mark long, at long")
+        .repartition("w1").sortWithinPartitions(*_WINDOW)
+        .mapInArrow(_repeats, "key long, mark long, at long, sure boolean")
     )
     gone = _positions(marks.where("sure"), "_sure").join(_positions(repeats, "_repeat"), ["_key", "_mark"], "full")
     own = [c for c in docs.columns if not c.startswith("_")]

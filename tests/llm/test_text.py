@@ -549,3 +549,19 @@ def test_quality_edges(spark):
     found = quality_model.classify(docs, quality_model.fit(docs, labels)).collect()
     assert len(found) == 3 and all(0 <= r["score"] <= 1 for r in found)
     assert quality_model.classify(docs.limit(0), quality_model.fit(docs, labels.limit(0))).count() == 0
+
+
+@pytest.mark.parametrize(("unit", "n"), [("ab c", 5_000_000), ("#<:\\", 500_000), ("    ", 5_000_000)])
+def test_a_very_long_turn_is_parsed_in_a_few_bytes_a_character(unit, n):
+    """The parser keeps no place to go back to: its memory beyond the turn itself is that of the parts it returns."""
+    import tracemalloc
+
+    said = unit * n
+    escaped = said.translate({ord(c): "\\" + c for c in "\\#<:"})
+    formatted = f"### user: {escaped} </turn>\n"
+    del escaped
+    tracemalloc.start()
+    assert chat.parse(formatted) == [("user", said)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 10 * len(said)

@@ -10,6 +10,7 @@ from tidemark.llm.bpe import op4_byte_bpe
 from tidemark.llm.chat import OP2_SQL, op2_chat_format
 from tidemark.llm.embeddings import OP5_SQL, op5_embedding_dedup
 from tidemark.llm.language import op8_language_id
+from tidemark.llm.manifest import OP13_SQL, op13_merkle_manifest
 from tidemark.llm.mixing import OP3_SQL, op3_mixing
 from tidemark.llm.quality_model import op6_quality_classifier
 from tidemark.llm.quality_rules import OP9_SQL, op9_quality_rules
@@ -28,6 +29,7 @@ _QUERIES = (
     op8_language_id,
     op9_quality_rules,
     op10_simhash,
+    op13_merkle_manifest,
 )
 
 
@@ -43,4 +45,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_embedding_dedup": OP5_SQL,
         "op7_url_filter": OP7_SQL,
         "op9_quality_rules": OP9_SQL,
+        "op13_merkle_manifest": OP13_SQL,
     }

@@ -273,8 +273,9 @@ def prove(leaves: DataFrame, nodes: DataFrame, own: Sequence[str]) -> DataFrame:
     empty = F.array().cast("array<string>")
     lone = upper_nodes.where("level > 0").unionByName(upper.select("_g", "total", "top", F.lit(0).alias("level"), "at", F.col("leaf").alias("digest")))
     tops = paths(lone, roots(upper_nodes).select("_g", "top", empty.alias("path")), 0, upper_levels).select("at", "path")
-    whole = roots(upper_nodes).select(F.col("root").alias("whole"))
-    base = upper.join(tops, "at").crossJoin(F.broadcast(whole)).select(F.col("name").alias("_g"), F.col("levels").alias("top"), "path", F.col("leaf").alias("group_root"), F.col("whole").alias("root"))  # one row
+    whole = roots(upper_nodes).first()
+    root = F.lit(whole and whole["root"]).cast("string")
+    base = upper.join(tops, "at").select(F.col("name").alias("_g"), F.col("levels").alias("top"), "path", F.col("leaf").alias("group_root"), root.alias("root"))
     base = cut(base, "groups")
     levels = base.agg(F.max("top")).first()[0] or 0
     heads = paths(nodes, base, BLOCK_LEVELS, levels).join(base.drop("path"), "_g")

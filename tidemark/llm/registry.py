@@ -12,6 +12,7 @@ from tidemark.llm.embeddings import OP5_SQL, op5_embedding_dedup
 from tidemark.llm.language import op8_language_id
 from tidemark.llm.manifest import OP13_SQL, op13_merkle_manifest
 from tidemark.llm.mixing import OP3_SQL, op3_mixing
+from tidemark.llm.neighbours import OP11_SQL, op11_nearest_neighbours
 from tidemark.llm.phrases import OP12_SQL, op12_collocations
 from tidemark.llm.quality_model import op6_quality_classifier
 from tidemark.llm.quality_rules import OP9_SQL, op9_quality_rules
@@ -30,6 +31,7 @@ _QUERIES = (
     op8_language_id,
     op9_quality_rules,
     op10_simhash,
+    op11_nearest_neighbours,
     op12_collocations,
     op13_merkle_manifest,
 )
@@ -47,6 +49,7 @@ def oracle_sql() -> dict[str, str]:
         "op5_embedding_dedup": OP5_SQL,
         "op7_url_filter": OP7_SQL,
         "op9_quality_rules": OP9_SQL,
+        "op11_nearest_neighbours": OP11_SQL,
         "op12_collocations": OP12_SQL,
         "op13_merkle_manifest": OP13_SQL,
     }

@@ -284,3 +284,33 @@ def test_windows_and_sessions_of_a_stream(spark, tmp_path):
         query = build(stream, "ts", ["k"]).writeStream.outputMode("complete").format("memory").queryName(f"w{n}").option("checkpointLocation", str(tmp_path / f"c{n}")).trigger(availableNow=True).start()
         query.awaitTermination()
         assert sorted(r["count"] for r in spark.table(f"w{n}").collect()) == expected
+
+
+@pytest.mark.parametrize(
+    ("table", "row", "expected"),
+    [
+        ("plyr_gm_rec", {"plyr_gm_rec": None, "plyr_gm_rec_first_dwn": None}, {"plyr_gm_rec_first_dwn": -999, "plyr_gm_rec_no_first_dwn": 1, "plyr_gm_rec": None}),
+        ("plyr_rec", {"plyr_rec": None, "plyr_rec_tgt": 3, "plyr_rec_lng": None}, {"plyr_rec_lng": -999, "plyr_rec_no_positive_yds": 1}),
+        ("plyr_pass", {"plyr_pass_att": None, "plyr_pass_succ_rt": None}, {"plyr_pass_succ_rt": -999, "plyr_pass_did_not_qualify": 1, "plyr_pass_missing_stats": 1}),
+        ("plyr_pass", {"plyr_pass_att": None, "plyr_pass_cmp": 0, "plyr_pass_yds_cmp": None}, {"plyr_pass_yds_cmp": -999, "plyr_pass_no_cmp": 1}),
+        ("plyr_gm_pass", {"plyr_gm_pass_cmp": None, "plyr_gm_pass_first_dwn": None, "plyr_gm_pass_first_dwn_pct": None}, {"plyr_gm_pass_first_dwn": 0, "plyr_gm_pass_first_dwn_pct": -999, "plyr_gm_pass_no_first_dwn": 1}),
+        ("plyr_rush", {"plyr_rush_att": None, "plyr_rush_yds": -2, "plyr_rush_lng": None}, {"plyr_rush_lng": -999, "plyr_rush_no_positive_yds": 1}),
+        ("plyr_rush", {"plyr_rush_att": 4, "plyr_rush_yds": None, "plyr_rush_lng": None}, {"plyr_rush_lng": None, "plyr_rush_no_positive_yds": 0}),
+        ("plyr_gm_def", {"plyr_gm_def_tgt": None, "plyr_gm_def_cmp": 2, "plyr_gm_def_pass_yds": None}, {"plyr_gm_def_no_pass_yds": 0, "plyr_gm_def_pass_yds": -999, "plyr_gm_def_missing_stats": 1}),
+    ],
+)
+def test_a_missing_count_is_not_a_count_of_zero(spark, table, row, expected):
+    from tidemark.operators import impute as I
+
+    df = spark.createDataFrame([row], ", ".join(f"{c} int" for c in row))
+    got = I.impute(df, I.TABLES[table]).first().asDict()
+    assert {k: got[k] for k in expected} == expected
+
+
+def test_imputation_sql_by_hand_names_the_columns_of_its_table():
+    from tidemark.operators import impute as I
+    from tidemark.plans import imputation_sql
+    from tidemark.plans.imputation import _columns
+
+    for name, columns in imputation_sql.COLUMNS.items():
+        assert {*columns} == {*_columns(I.TABLES[name])}, name

@@ -91,16 +91,16 @@ def audit(df: DataFrame) -> DataFrame:
     return wide.select(F.inline(F.array(*rows)))
 
 
+def _nonzero(of: str) -> str:
+    """A count that is not zero, a missing one included: what is not known to be zero counts as such."""
+    return f"({of} <> 0 OR {of} IS NULL)"
+
+
 def _zero(of: str, columns: Sequence[str], indicator: str, **more: object) -> Rule:
     """Nulls that follow from a count of zero."""
     return Rule(columns, f"{of} = 0", indicator, (of,), **more)
 
 
-def _p(prefix: str, names: str) -> list[str]:
-    return [prefix + n for n in names.split()]
-
-
-_GM_DEF, _DEF, _PASS = "plyr_gm_def_", "plyr_def_", "plyr_pass_"
 _ACTIVE = "plyr_gm_def_tgt <> 0 AND plyr_gm_def_cmp <> 0"
 
 #: The columns, masks and fills of each table, in the order in which they apply.
@@ -109,40 +109,55 @@ TABLES: dict[str, Table] = {
         ["nfl_fastr_missing_nextgen", "nfl_fastr_missing_fastr", "nfl_fastr_wr_no_yac", "nfl_fastr_did_not_qualify"],
         [
             Rule(
-                _p("plyr_gm_rec_", "avg_cushion avg_separation avg_yac avg_expected_yac avg_yac_above_expectation pct_share_of_intended_ay"),
+                [
+                    "plyr_gm_rec_avg_cushion", "plyr_gm_rec_avg_separation", "plyr_gm_rec_avg_yac",
+                    "plyr_gm_rec_avg_expected_yac", "plyr_gm_rec_avg_yac_above_expectation",
+                    "plyr_gm_rec_pct_share_of_intended_ay",
+                ],
                 "all null", "nfl_fastr_missing_nextgen",
             ),
-            Rule(_p("plyr_gm_rec_", "tgt_share epa ay_share wopr racr"), "all null", "nfl_fastr_missing_fastr"),
-            Rule(_p("plyr_gm_rec_", "avg_expected_yac avg_yac avg_yac_above_expectation"), "", "nfl_fastr_wr_no_yac"),
-            Rule(_p("plyr_gm_rec_", "epa racr"), "any null", "nfl_fastr_did_not_qualify"),
+            Rule(["plyr_gm_rec_tgt_share", "plyr_gm_rec_epa", "plyr_gm_rec_ay_share", "plyr_gm_rec_wopr", "plyr_gm_rec_racr"], "all null", "nfl_fastr_missing_fastr"),
+            Rule(["plyr_gm_rec_avg_expected_yac", "plyr_gm_rec_avg_yac", "plyr_gm_rec_avg_yac_above_expectation"], "", "nfl_fastr_wr_no_yac"),
+            Rule(["plyr_gm_rec_epa", "plyr_gm_rec_racr"], "any null", "nfl_fastr_did_not_qualify"),
         ],
     ),
     "plyr_gm_rec": Table(
-        _p("plyr_gm_rec_", "no_catches no_brkn_tkl no_drops no_first_dwn"),
+        ["plyr_gm_rec_no_catches", "plyr_gm_rec_no_brkn_tkl", "plyr_gm_rec_no_drops", "plyr_gm_rec_no_first_dwn"],
         [
-            _zero("plyr_gm_rec", _p("plyr_gm_rec_", "first_dwn aybc_route yac_route"), "plyr_gm_rec_no_catches"),
+            _zero("plyr_gm_rec", ["plyr_gm_rec_first_dwn", "plyr_gm_rec_aybc_route", "plyr_gm_rec_yac_route"], "plyr_gm_rec_no_catches"),
             _zero("plyr_gm_rec_brkn_tkl", ["plyr_gm_rec_brkn_tkl_rec"], "plyr_gm_rec_no_brkn_tkl"),
-            Rule(["plyr_gm_rec_first_dwn"], "plyr_gm_rec <> 0", "plyr_gm_rec_no_first_dwn", ["plyr_gm_rec"]),
+            Rule(["plyr_gm_rec_first_dwn"], _nonzero("plyr_gm_rec"), "plyr_gm_rec_no_first_dwn", ["plyr_gm_rec"]),
         ],
     ),
     "plyr_rec": Table(
-        _p("plyr_rec_", "no_targets no_catches no_brkn_tkl no_positive_yds"),
+        ["plyr_rec_no_targets", "plyr_rec_no_catches", "plyr_rec_no_brkn_tkl", "plyr_rec_no_positive_yds"],
         [
             _zero(
                 "plyr_rec_tgt",
-                _p("plyr_rec_", "catch_pct yds_rec succ_rt lng yds_tgt aybc aybc_rec yac yac_rec adot brkn_tkl brkn_tkl_rec drp drp_pct int pass_rtg"),
+                [
+                    "plyr_rec_catch_pct", "plyr_rec_yds_rec", "plyr_rec_succ_rt", "plyr_rec_lng", "plyr_rec_yds_tgt",
+                    "plyr_rec_aybc", "plyr_rec_aybc_rec", "plyr_rec_yac", "plyr_rec_yac_rec", "plyr_rec_adot",
+                    "plyr_rec_brkn_tkl", "plyr_rec_brkn_tkl_rec", "plyr_rec_drp", "plyr_rec_drp_pct", "plyr_rec_int",
+                    "plyr_rec_pass_rtg",
+                ],
                 "plyr_rec_no_targets",
             ),
-            _zero("plyr_rec", _p("plyr_rec_", "yds_rec lng aybc_rec yac_rec brkn_tkl_rec"), "plyr_rec_no_catches"),
+            _zero("plyr_rec", ["plyr_rec_yds_rec", "plyr_rec_lng", "plyr_rec_aybc_rec", "plyr_rec_yac_rec", "plyr_rec_brkn_tkl_rec"], "plyr_rec_no_catches"),
             _zero("plyr_rec_brkn_tkl", ["plyr_rec_brkn_tkl_rec"], "plyr_rec_no_brkn_tkl"),
-            Rule(["plyr_rec_lng"], "plyr_rec <> 0 AND plyr_rec_tgt <> 0", "plyr_rec_no_positive_yds", ["plyr_rec", "plyr_rec_tgt"]),
+            Rule(["plyr_rec_lng"], f"{_nonzero('plyr_rec')} AND {_nonzero('plyr_rec_tgt')}", "plyr_rec_no_positive_yds", ["plyr_rec", "plyr_rec_tgt"]),
         ],
     ),
     "plyr_gm_def": Table(
-        _p(_GM_DEF, "no_targets missing_stats no_mtkl no_cmp no_pass_yds"),
+        [
+            "plyr_gm_def_no_targets", "plyr_gm_def_missing_stats", "plyr_gm_def_no_mtkl", "plyr_gm_def_no_cmp",
+            "plyr_gm_def_no_pass_yds",
+        ],
         [
             _zero(
-                "plyr_gm_def_tgt", _p(_GM_DEF, "cmp_pct pass_yds pass_yds_cmp pass_yds_tgt pass_td pass_rtg adot ay yac"),
+                "plyr_gm_def_tgt", [
+                    "plyr_gm_def_cmp_pct", "plyr_gm_def_pass_yds", "plyr_gm_def_pass_yds_cmp", "plyr_gm_def_pass_yds_tgt",
+                    "plyr_gm_def_pass_td", "plyr_gm_def_pass_rtg", "plyr_gm_def_adot", "plyr_gm_def_ay", "plyr_gm_def_yac",
+                ],
                 "plyr_gm_def_no_targets", when=MASKED,
             ),
             Rule(
@@ -150,34 +165,51 @@ TABLES: dict[str, Table] = {
                 ["plyr_gm_def_tgt", "plyr_gm_def_pass_yds_tgt"], overwrite=True,
             ),
             Rule(
-                _p(_GM_DEF, "tgt cmp cmp_pct pass_yds pass_yds_cmp pass_yds_tgt pass_td pass_rtg adot ay yac bltz hrry qbkd prss mtkl mtkl_pct"),
+                [
+                    "plyr_gm_def_tgt", "plyr_gm_def_cmp", "plyr_gm_def_cmp_pct", "plyr_gm_def_pass_yds",
+                    "plyr_gm_def_pass_yds_cmp", "plyr_gm_def_pass_yds_tgt", "plyr_gm_def_pass_td", "plyr_gm_def_pass_rtg",
+                    "plyr_gm_def_adot", "plyr_gm_def_ay", "plyr_gm_def_yac", "plyr_gm_def_bltz", "plyr_gm_def_hrry",
+                    "plyr_gm_def_qbkd", "plyr_gm_def_prss", "plyr_gm_def_mtkl", "plyr_gm_def_mtkl_pct",
+                ],
                 "plyr_gm_def_tgt IS NULL", "plyr_gm_def_missing_stats", ["plyr_gm_def_tgt"], when=MASKED,
             ),
-            _zero("plyr_gm_def_cmp", _p(_GM_DEF, "pass_yds pass_yds_cmp ay yac cmp pass_td"), "plyr_gm_def_no_cmp", when=MASKED),
+            _zero("plyr_gm_def_cmp", [
+                "plyr_gm_def_pass_yds", "plyr_gm_def_pass_yds_cmp", "plyr_gm_def_ay", "plyr_gm_def_yac", "plyr_gm_def_cmp",
+                "plyr_gm_def_pass_td",
+            ], "plyr_gm_def_no_cmp", when=MASKED),
             _zero("plyr_gm_def_mtkl", ["plyr_gm_def_mtkl_pct"], "plyr_gm_def_no_mtkl"),
             Rule(
-                _p(_GM_DEF, "pass_yds pass_yds_cmp pass_yds_tgt ay yac"), f"{_ACTIVE} AND plyr_gm_def_pass_yds IS NULL",
-                "plyr_gm_def_no_pass_yds", _p(_GM_DEF, "tgt cmp pass_yds"), when=MASKED,
+                [
+                    "plyr_gm_def_pass_yds", "plyr_gm_def_pass_yds_cmp", "plyr_gm_def_pass_yds_tgt", "plyr_gm_def_ay",
+                    "plyr_gm_def_yac",
+                ], f"{_ACTIVE} AND plyr_gm_def_pass_yds IS NULL",
+                "plyr_gm_def_no_pass_yds", ["plyr_gm_def_tgt", "plyr_gm_def_cmp", "plyr_gm_def_pass_yds"], when=MASKED,
             ),
             Rule(
-                _p(_GM_DEF, "pass_td adot"), f"{_ACTIVE} AND plyr_gm_def_pass_td IS NULL",
-                "plyr_gm_def_missing_stats", _p(_GM_DEF, "tgt cmp pass_td"), when=MASKED,
+                ["plyr_gm_def_pass_td", "plyr_gm_def_adot"], f"{_ACTIVE} AND plyr_gm_def_pass_td IS NULL",
+                "plyr_gm_def_missing_stats", ["plyr_gm_def_tgt", "plyr_gm_def_cmp", "plyr_gm_def_pass_td"], when=MASKED,
             ),
             Rule(indicator="plyr_gm_def_missing_stats"),
         ],
     ),
     "plyr_def": Table(
-        _p(_DEF, "no_targets missing_stats no_mtkl no_completions"),
+        ["plyr_def_no_targets", "plyr_def_missing_stats", "plyr_def_no_mtkl", "plyr_def_no_completions"],
         [
-            _zero("plyr_def_tgt", _p(_DEF, "cmp_pct pass_yds_cmp pass_yds_tgt pass_rtg adot"), "plyr_def_no_targets", when=MASKED),
+            _zero("plyr_def_tgt", ["plyr_def_cmp_pct", "plyr_def_pass_yds_cmp", "plyr_def_pass_yds_tgt", "plyr_def_pass_rtg", "plyr_def_adot"], "plyr_def_no_targets", when=MASKED),
             Rule(
-                _p(_DEF, "tgt cmp cmp_pct pass_yds pass_yds_cmp pass_yds_tgt pass_td pass_rtg adot ay yac bltz hrry qbkd sk prss comb_tkl mtkl mtkl_pct"),
+                [
+                    "plyr_def_tgt", "plyr_def_cmp", "plyr_def_cmp_pct", "plyr_def_pass_yds", "plyr_def_pass_yds_cmp",
+                    "plyr_def_pass_yds_tgt", "plyr_def_pass_td", "plyr_def_pass_rtg", "plyr_def_adot", "plyr_def_ay",
+                    "plyr_def_yac", "plyr_def_bltz", "plyr_def_hrry", "plyr_def_qbkd", "plyr_def_sk", "plyr_def_prss",
+                    "plyr_def_comb_tkl", "plyr_def_mtkl", "plyr_def_mtkl_pct",
+                ],
                 "plyr_def_tgt IS NULL", "plyr_def_missing_stats", ["plyr_def_tgt"], when=MASKED,
             ),
             Rule(
                 [
-                    *_p(_DEF, "int int_yds int_td int_lng"), "plyr_pass_def",
-                    *_p(_DEF, "force_fmbl fmbl_rec fmbl_rec_yds fmbl_rec_td solo_tkl tkl_assist tfl qb_hit sfty"),
+                    "plyr_def_int", "plyr_def_int_yds", "plyr_def_int_td", "plyr_def_int_lng", "plyr_pass_def",
+                    "plyr_def_force_fmbl", "plyr_def_fmbl_rec", "plyr_def_fmbl_rec_yds", "plyr_def_fmbl_rec_td",
+                    "plyr_def_solo_tkl", "plyr_def_tkl_assist", "plyr_def_tfl", "plyr_def_qb_hit", "plyr_def_sfty",
                 ],
                 "plyr_def_int IS NULL", "plyr_def_missing_stats", ["plyr_def_int"], when=MASKED,
             ),
@@ -186,52 +218,66 @@ TABLES: dict[str, Table] = {
         ],
     ),
     "plyr_pass": Table(
-        _p(_PASS, "did_not_qualify no_att no_cmp no_scrmbl missing_stats"),
+        ["plyr_pass_did_not_qualify", "plyr_pass_no_att", "plyr_pass_no_cmp", "plyr_pass_no_scrmbl", "plyr_pass_missing_stats"],
         [
             Rule(["qb_win", "qb_loss", "qb_tie"], "all null", "plyr_pass_did_not_qualify", ["qb_win", "qb_loss", "qb_tie"]),
-            Rule(["plyr_pass_succ_rt"], "plyr_pass_att <> 0", "plyr_pass_did_not_qualify", ["plyr_pass_att"]),
+            Rule(["plyr_pass_succ_rt"], _nonzero("plyr_pass_att"), "plyr_pass_did_not_qualify", ["plyr_pass_att"]),
             _zero(
                 "plyr_pass_att",
                 [
-                    *_p(_PASS, "cmp_pct td_pct int_pct succ_rt lng yds_att adj_yds_att yds_cmp rtg adv_yds iay iay_att cmp_ay cay_cmp cay_att yac yac_cmp"),
-                    *_p("plyr_rpo_", "play yds pass_att pass_yds rush_att rush_yds"), *_p("plyr_pa_", "att yds"),
-                    *_p(_PASS, "pkt_time bltz hrry hit prss prss_pct scrmbl yds_scrmbl"), "plyr_qbr",
+                    "plyr_pass_cmp_pct", "plyr_pass_td_pct", "plyr_pass_int_pct", "plyr_pass_succ_rt", "plyr_pass_lng",
+                    "plyr_pass_yds_att", "plyr_pass_adj_yds_att", "plyr_pass_yds_cmp", "plyr_pass_rtg", "plyr_pass_adv_yds",
+                    "plyr_pass_iay", "plyr_pass_iay_att", "plyr_pass_cmp_ay", "plyr_pass_cay_cmp", "plyr_pass_cay_att",
+                    "plyr_pass_yac", "plyr_pass_yac_cmp",
+                    "plyr_rpo_play", "plyr_rpo_yds", "plyr_rpo_pass_att", "plyr_rpo_pass_yds", "plyr_rpo_rush_att",
+                    "plyr_rpo_rush_yds", "plyr_pa_att", "plyr_pa_yds",
+                    "plyr_pass_pkt_time", "plyr_pass_bltz", "plyr_pass_hrry", "plyr_pass_hit", "plyr_pass_prss",
+                    "plyr_pass_prss_pct", "plyr_pass_scrmbl", "plyr_pass_yds_scrmbl", "plyr_qbr",
                 ],
                 "plyr_pass_no_att",
             ),
-            _zero("plyr_pass_cmp", _p(_PASS, "lng cay_cmp"), "plyr_pass_no_cmp"),
-            Rule(_p(_PASS, "lng cay_cmp"), "plyr_pass_yds < 0", "plyr_pass_no_cmp", ["plyr_pass_cmp", "plyr_pass_yds"]),
-            Rule(_p(_PASS, "yds_cmp yac_cmp"), "plyr_pass_cmp = 0 AND plyr_pass_att <> 0", "plyr_pass_no_cmp", ["plyr_pass_cmp", "plyr_pass_att"]),
+            _zero("plyr_pass_cmp", ["plyr_pass_lng", "plyr_pass_cay_cmp"], "plyr_pass_no_cmp"),
+            Rule(["plyr_pass_lng", "plyr_pass_cay_cmp"], "plyr_pass_yds < 0", "plyr_pass_no_cmp", ["plyr_pass_cmp", "plyr_pass_yds"]),
+            Rule(["plyr_pass_yds_cmp", "plyr_pass_yac_cmp"], f"plyr_pass_cmp = 0 AND {_nonzero('plyr_pass_att')}", "plyr_pass_no_cmp", ["plyr_pass_cmp", "plyr_pass_att"]),
             _zero("plyr_pass_scrmbl", ["plyr_pass_yds_scrmbl"], "plyr_pass_no_scrmbl"),
             Rule(indicator="plyr_pass_missing_stats"),
         ],
     ),
     "plyr_gm_pass": Table(
-        _p("plyr_gm_pass_", "no_cmp no_scrmbl no_first_dwn no_td no_int no_prss no_sk"),
         [
-            _zero("plyr_gm_pass_cmp", _p("plyr_gm_pass_", "cay_cmp yac_cmp yds_cmp first_dwn first_dwn_pct"), "plyr_gm_pass_no_cmp"),
+            "plyr_gm_pass_no_cmp", "plyr_gm_pass_no_scrmbl", "plyr_gm_pass_no_first_dwn", "plyr_gm_pass_no_td",
+            "plyr_gm_pass_no_int", "plyr_gm_pass_no_prss", "plyr_gm_pass_no_sk",
+        ],
+        [
+            _zero("plyr_gm_pass_cmp", [
+                "plyr_gm_pass_cay_cmp", "plyr_gm_pass_yac_cmp", "plyr_gm_pass_yds_cmp", "plyr_gm_pass_first_dwn",
+                "plyr_gm_pass_first_dwn_pct",
+            ], "plyr_gm_pass_no_cmp"),
             _zero("plyr_gm_pass_scrmbl_tgt", ["plyr_gm_pass_yds_scrmbl"], "plyr_gm_pass_no_scrmbl", fill=-1),
             Rule(
-                ["plyr_gm_pass_first_dwn_pct"], "plyr_gm_pass_cmp <> 0 AND plyr_gm_pass_first_dwn IS NULL",
-                "plyr_gm_pass_no_first_dwn", _p("plyr_gm_pass_", "cmp first_dwn"),
+                ["plyr_gm_pass_first_dwn_pct"], f"{_nonzero('plyr_gm_pass_cmp')} AND plyr_gm_pass_first_dwn IS NULL",
+                "plyr_gm_pass_no_first_dwn", ["plyr_gm_pass_cmp", "plyr_gm_pass_first_dwn"],
             ),
-            Rule(["plyr_gm_pass_first_dwn"], "plyr_gm_pass_cmp <> 0", "", _p("plyr_gm_pass_", "cmp first_dwn_pct"), fill=0),
+            Rule(["plyr_gm_pass_first_dwn"], _nonzero("plyr_gm_pass_cmp"), "", ["plyr_gm_pass_cmp", "plyr_gm_pass_first_dwn_pct"], fill=0),
         ],
     ),
     "plyr_gm_rush": Table(
-        _p("plyr_gm_rush_", "no_rushes no_brkn_tkl no_first_dwn"),
+        ["plyr_gm_rush_no_rushes", "plyr_gm_rush_no_brkn_tkl", "plyr_gm_rush_no_first_dwn"],
         [
-            _zero("plyr_gm_rush_att", _p("plyr_gm_rush_", "yds_att ybc_att yac_att brkn_tkl_att"), "plyr_gm_rush_no_rushes"),
+            _zero("plyr_gm_rush_att", ["plyr_gm_rush_yds_att", "plyr_gm_rush_ybc_att", "plyr_gm_rush_yac_att", "plyr_gm_rush_brkn_tkl_att"], "plyr_gm_rush_no_rushes"),
             _zero("plyr_gm_rush_brkn_tkl", ["plyr_gm_rush_brkn_tkl_att"], "plyr_gm_rush_no_brkn_tkl"),
             Rule(["plyr_gm_rush_first_dwn"], "", "plyr_gm_rush_no_first_dwn"),
         ],
     ),
     "plyr_rush": Table(
-        _p("plyr_rush_", "no_att no_brkn_tkl no_positive_yds"),
+        ["plyr_rush_no_att", "plyr_rush_no_brkn_tkl", "plyr_rush_no_positive_yds"],
         [
-            _zero("plyr_rush_att", _p("plyr_rush_", "succ_rt lng yds_att ybc ybc_att yac yac_att brkn_tkl brkn_tkl_att"), "plyr_rush_no_att"),
+            _zero("plyr_rush_att", [
+                "plyr_rush_succ_rt", "plyr_rush_lng", "plyr_rush_yds_att", "plyr_rush_ybc", "plyr_rush_ybc_att", "plyr_rush_yac",
+                "plyr_rush_yac_att", "plyr_rush_brkn_tkl", "plyr_rush_brkn_tkl_att",
+            ], "plyr_rush_no_att"),
             _zero("plyr_rush_brkn_tkl", ["plyr_rush_brkn_tkl_att"], "plyr_rush_no_brkn_tkl"),
-            Rule(["plyr_rush_lng"], "plyr_rush_att <> 0 AND plyr_rush_yds <= 0", "plyr_rush_no_positive_yds", _p("plyr_rush_", "att yds")),
+            Rule(["plyr_rush_lng"], f"{_nonzero('plyr_rush_att')} AND plyr_rush_yds <= 0", "plyr_rush_no_positive_yds", ["plyr_rush_att", "plyr_rush_yds"]),
         ],
     ),
     "plyr_rz_pass": Table(["plyr_rz_pass_no_tz_att"], [_zero("plyr_pass_tz_att", ["plyr_pass_tz_cmp_pct"], "plyr_rz_pass_no_tz_att")]),
@@ -239,7 +285,7 @@ TABLES: dict[str, Table] = {
         ["plyr_rz_rec_missing_stats", "plyr_rz_rec_tz_no_targets"],
         [
             *[
-                Rule([f"plyr_rec_{z}_tgt_pct"], f"plyr_rec_{z}_tgt <> 0 OR plyr_rec_{z}_tgt IS NULL", "plyr_rz_rec_missing_stats", [f"plyr_rec_{z}_tgt"])
+                Rule([f"plyr_rec_{z}_tgt_pct"], _nonzero(f"plyr_rec_{z}_tgt"), "plyr_rz_rec_missing_stats", [f"plyr_rec_{z}_tgt"])
                 for z in ("rz", "tz")
             ],
             _zero("plyr_rec_tz_tgt", ["plyr_rec_tz_catch_pct", "plyr_rec_tz_tgt_pct"], "plyr_rz_rec_tz_no_targets"),
@@ -252,7 +298,7 @@ TABLES: dict[str, Table] = {
             for zone, name in (("fz", "fz_no_att"), ("tz", "tz_no_att"), ("rz", "no_att"))
             for rule in (
                 Rule(
-                    [f"plyr_rush_{zone}_usage"], f"plyr_rush_{zone}_att <> 0 OR plyr_rush_{zone}_att IS NULL",
+                    [f"plyr_rush_{zone}_usage"], _nonzero(f"plyr_rush_{zone}_att"),
                     "plyr_rz_rush_missing_stats", [f"plyr_rush_{zone}_att"],
                 ),
                 _zero(f"plyr_rush_{zone}_att", [f"plyr_rush_{zone}_usage"], f"plyr_rz_rush_{name}"),
@@ -292,6 +338,6 @@ TABLES: dict[str, Table] = {
     "tm_rec": Table(["tm_rec_no_brkn_tkl"], [_zero("tm_rec_brkn_tkl", ["tm_rec_brkn_tkl_rec"], "tm_rec_no_brkn_tkl")]),
     "tm_rush": Table(["tm_rush_no_brkn_tkl"], [_zero("tm_rush_brkn_tkl", ["tm_rush_att_brkn_tkl"], "tm_rush_no_brkn_tkl", overwrite=True)]),
     "dataset_fastr": Table(
-        ["nfl_fastr_missing_stats"], [Rule(_p("plyr_gm_rec_", "tgt_share epa ay_share wopr racr"), "all null", "nfl_fastr_missing_stats")]
+        ["nfl_fastr_missing_stats"], [Rule(["plyr_gm_rec_tgt_share", "plyr_gm_rec_epa", "plyr_gm_rec_ay_share", "plyr_gm_rec_wopr", "plyr_gm_rec_racr"], "all null", "nfl_fastr_missing_stats")]
     ),
 }

@@ -1,7 +1,8 @@
 """A query for each imputation table, over orders as rows with some nulls and zeros in every column that the table names.
 
-The SQL is made from the same declared rules, but states their meaning anew: a chain of subqueries,
-one for each rule, each replacing columns by what the ones before left.
+For the tables in ``imputation_sql`` the SQL is written by hand. For the others it is made from the
+declared rules and states their meaning anew: a chain of subqueries, one for each rule, each replacing
+columns by what the ones before left.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import impute as I
+from tidemark.plans.imputation_sql import BY_HAND, COLUMNS
 from tidemark.plans.registry import query
 from tidemark.plans.totals import table
 
@@ -26,10 +28,10 @@ def _columns(rules: I.Table) -> list[str]:
 
 
 def _given(i: int, column: str) -> str:
-    """SQL of a column's value before imputation: null in a quarter of the rows, else 0, 1 or 2."""
-    value = f"(o_orderkey + o_custkey * 3 + {i}) % 3"
+    """SQL of a column's value before imputation: null in a quarter of the rows, else -1, 0, 1 or 2."""
+    value = f"(o_orderkey + o_custkey * 3 + {i} * {i}) % 4 - 1"
     value = f"CAST({value} AS STRING)" if column in _TEXT else f"CAST({value} AS INT)"
-    return f"CASE WHEN (o_orderkey * 7 + o_custkey * 13 + {i} * 5) % 4 > 0 THEN {value} END"
+    return f"CASE WHEN (o_orderkey * 7 + o_custkey * 13 + {i} * 5 + (o_orderkey - o_orderkey % 64) / 64 * {i}) % 4 > 0 THEN {value} END"
 
 
 def _sql(rules: I.Table) -> str:
@@ -52,13 +54,19 @@ def _sql(rules: I.Table) -> str:
     return f"WITH {', '.join(steps)} SELECT * FROM r{len(steps) - 1}"
 
 
+def _by_hand(name: str) -> str:
+    start = ", ".join(f"{_given(i, c)} AS {c}" for i, c in enumerate(COLUMNS[name]))
+    return f"WITH given AS (SELECT o_orderkey, {start} FROM orders) {BY_HAND[name]}"
+
+
 def _register(name: str, rules: I.Table) -> None:
+    columns = COLUMNS.get(name) or _columns(rules)
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        columns = _columns(rules)
         rows = table(spark, sf_dir, "orders").select("o_orderkey", *[F.expr(_given(i, c)).alias(c) for i, c in enumerate(columns)])
         return I.impute(rows, rules)
 
-    query(_sql(rules), f"impute_{name}")(run)
+    query(_by_hand(name) if name in BY_HAND else _sql(rules), f"impute_{name}")(run)
 
 
 for _name, _rules in I.TABLES.items():

@@ -221,11 +221,6 @@ def strip_marks(x: Column, marks: str = "*+") -> Column:
     return F.regexp_replace(x, f"[{re.escape(marks)}\\s]+$", "")
 
 
-def names_in_play(x: Column) -> Column:
-    """Names of two capitalised words or an initial and a word in a text, in order, each once."""
-    return F.array_distinct(F.regexp_extract_all(x, F.lit(r"\b([A-Z][a-z'.]*\.? ?[A-Z][a-zA-Z'-]+)"), F.lit(1)))
-
-
 def week_set(x: Column) -> Column:
     """Sorted distinct integers of ``3,1,2``; null and empty give an empty array."""
     bits = F.transform(F.split(F.coalesce(x, F.lit("")), ","), lambda b: F.trim(b).try_cast("int"))
@@ -278,19 +273,22 @@ def kind_of_text(x: Column) -> Column:
     )
 
 
-#: A capitalised name with hyphens or apostrophes, and what may follow a surname.
-_NAME, _AFTER = r"[A-Z][a-z]+(?:[-'][A-Z][a-z]+)*", r"(?:\s+[IVX]+|Jr\.?|Sr\.?)?"
-_FULL = rf"{_NAME}(?:\.[A-Z]\.?)?\s+{_NAME}{_AFTER}"
+#: A word of a name in any script: a capital, letters, and parts joined by an apostrophe or a hyphen. Nothing taken is given back.
+_NAME_WORD = r"\p{Lu}\p{L}*+(?:['’-]\p{L}++)*+"
+#: A name: initials and a word, or two words; further words; a suffix with a point.
+_NAME = rf"(?:(?:\p{{Lu}}\. ?)+{_NAME_WORD}|{_NAME_WORD} {_NAME_WORD})(?: (?![JS]r\.){_NAME_WORD})*+(?: [JS]r\.)?"
 
 
 def players_in_play(x: Column) -> Column:
-    """Array of the players that a play's text names: who begins it, by full name or initial, and who a pass goes to.
+    """Array of the players that a play's text names: who begins it, and who a pass goes to or is meant for, each once.
 
-    What stands in brackets does not count; each name comes once, in this order.
+    A name is one or more initials and a capitalised word, or two such words, with any that follow and
+    ``Jr.`` or ``Sr.``; a pass goes to the name after the first ``to`` or ``for`` behind ``pass`` that has
+    one. Letters are those of any script, runs of blanks are one, and what stands in brackets does not
+    count. Null and texts without names give an empty array.
     """
-    clean = F.trim(F.regexp_replace(F.coalesce(x, F.lit("")), r"\([^)]*\)", ""))
-    patterns = (rf"^({_FULL})", rf"^([A-Z]\.{_NAME}{_AFTER})", rf"pass (?:complete|incomplete).*?(?:to|intended for)\s+({_FULL})")
-    return F.array_distinct(F.array_compact(F.array(*[text(F.regexp_extract(clean, p, 1)) for p in patterns])))
+    clean = F.trim(F.regexp_replace(F.regexp_replace(F.coalesce(x, F.lit("")), r"\([^)]*\)", " "), r"\s+", " "))
+    return F.array_distinct(F.regexp_extract_all(clean, F.lit(rf"(?:^|\bpass\b.*?\b(?:to|for) )({_NAME})"), F.lit(1)))
 
 
 def team_of_week(week: Column, current: Column, former: Column, first: Column, spans: Mapping[str, Column]) -> Column:

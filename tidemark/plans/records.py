@@ -83,14 +83,37 @@ def college_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "nation").select("n_nationkey", S.same_college(first, other, {"old school": "new school"}).alias("same"))
 
 
-@query("""
-SELECT s_suppkey, CASE s_suppkey % 4 WHEN 0 THEN 'Al Smith-Jones III|Bo Ja''Neal' WHEN 1 THEN 'C.Santos' WHEN 2 THEN 'Bo Ja''Neal' ELSE '' END AS names FROM supplier
+_SUBJECTS = ("Al Smith-Jones III", "C.Santos", "Bo Ja'Neal", "Éric Dumont Jr.", "J. J. Watt", "Timeout", "(Cy Young)", "la Rue", "Ann", "Ö.Ek")
+_ACTIONS = (" pass complete  short right to ", " kicks 40 yards to ", " pass incomplete intended for ", " right end for ", " pass back to the line, for ", " passed to ")
+_OBJECTS = ("Bo Ja'Neal", "A. B.Cole Sr.", "12 yards", "Zoë O’Hara Van Dyk, out of bounds", "pit", "C.Santos (tackle by Cy Young)", "P.", "Éric Dumont Jr.")
+
+
+def _plays(text: str) -> str:
+    """SQL of a play for each order, from its keys."""
+    pick = lambda parts, k: f"element_at({text.format(', '.join(chr(39) + p.replace(chr(39), chr(39) * 2) + chr(39) for p in parts))}, CAST({k} % {len(parts)} + 1 AS INT))"
+    return f"concat({pick(_SUBJECTS, 'o_orderkey')}, {pick(_ACTIONS, 'o_custkey')}, {pick(_OBJECTS, '(o_orderkey + o_custkey)')})"
+
+
+@query(rf"""
+WITH p AS (SELECT o_orderkey, replace(trim(regexp_replace(regexp_replace({_plays("[{}]").replace("element_at", "list_extract")}, '\([^)]*\)', ' ', 'g'), '\s+', ' ', 'g')), ',', ' ,') AS play FROM orders),
+t AS (SELECT o_orderkey, string_split(regexp_replace(play, '(\p{{Lu}}\.)(\p{{Lu}})', '\1 \2', 'g'), ' ') AS words, string_split(play, ' ') AS raw FROM p),
+k AS (
+  SELECT o_orderkey, words, array_to_string(list_transform(words, lambda x: CASE WHEN regexp_full_match(x, '\p{{Lu}}\.') THEN 'i' WHEN regexp_full_match(x, '[JS]r\.') THEN 's'
+    WHEN regexp_full_match(x, '\p{{Lu}}\p{{L}}*([''’-]\p{{L}}+)*') THEN 'w' WHEN x = 'pass' THEN 'p' WHEN x IN ('to', 'for') THEN 't' ELSE '.' END), '') AS shape FROM t
+), r AS (
+  SELECT o_orderkey, words, length(regexp_extract(shape, '^(i+w|ww)w*s?')) AS first,
+         length(regexp_extract(shape, '^[^p]*p.*?t(i+w|ww)')) - length(regexp_extract(shape, '^[^p]*p.*?t(i+w|ww)', 1)) AS before, shape FROM k
+), n AS (
+  SELECT o_orderkey, words[1:first] AS a, words[before + 1:before + length(regexp_extract(substr(shape, CAST(before AS BIGINT) + 1), '^(i+w|ww)w*s?'))] AS b, before FROM r
+), j AS (
+  SELECT o_orderkey, array_to_string(a, ' ') AS a, CASE WHEN before > 0 THEN array_to_string(b, ' ') ELSE '' END AS b FROM n
+)
+SELECT o_orderkey, replace(array_to_string(list_filter(CASE WHEN a = b THEN [a] ELSE [a, b] END, lambda x: x <> ''), '|'), '. ', '.') AS names FROM j
 """)
 def play_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Players named in a play: full names, initials, and the target of a pass; brackets do not count."""
-    plays = ("Al Smith-Jones III pass complete short right to Bo Ja'Neal (tackle by Cy Young)", "C.Santos kicks 40 yards", "Bo Ja'Neal pass incomplete intended for Bo Ja'Neal", "(Cy Young) timeout")
-    play = F.element_at(F.array(*map(F.lit, plays)), (F.col("s_suppkey") % 4 + 1).cast("int"))
-    return table(spark, sf_dir, "supplier").select("s_suppkey", F.array_join(S.players_in_play(play), "|").alias("names"))
+    """Players named in a play: full names, initials, and the target of a pass; brackets do not count. Blanks after a point are left out."""
+    names = F.array_join(S.players_in_play(F.expr(_plays("array({})"))), "|")
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.replace(names, F.lit(". "), F.lit(".")).alias("names"))
 
 
 @query("""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import impute as I
 from tidemark.operators import joins as J
+from tidemark.operators import linkage as L
 from tidemark.operators import windows as W
 from tidemark.operators.aggregates import merge_duplicates, summary_rows
 from tidemark.operators.cumulative import running_totals, totals, totals_until, two_phase
@@ -71,8 +72,8 @@ def test_intervals_have_open_ends_and_gaps(spark):
     assert [r["team"] for r in found.orderBy("id", "week").collect()] == ["x", "x", None, "y", None]
 
 
-@pytest.mark.parametrize("slices", [1, 5, 32])
-def test_intervals_equal_brute_force(spark, slices):
+@pytest.mark.parametrize(("frequent", "slices"), [(1 << 20, 32), (0, 1), (0, 5), (40, 32)])
+def test_intervals_equal_brute_force(spark, frequent, slices):
     rng = random.Random(3)
     end = lambda s: None if rng.random() < 0.1 else (s or 0) + rng.randrange(-2, 15)
     starts = [None if rng.random() < 0.1 else rng.randrange(60) for _ in range(90)]
@@ -86,17 +87,18 @@ def test_intervals_equal_brute_force(spark, slices):
         return min(((low(s), low(e), v) for i, s, e, v in spans if i == k and k is not None and fits(s, e)), default=(None,))[-1]
 
     found = J.in_interval(
-        spark.createDataFrame(left, "n int, id int, week int"), spark.createDataFrame(spans, "id int, s int, e int, team string"), ["id"], "week", "s", "e", "team", slices
+        spark.createDataFrame(left, "n int, id int, week int"), spark.createDataFrame(spans, "id int, s int, e int, team string"), ["id"], "week", "s", "e", "team", frequent, slices
     )
     assert found.columns == ["n", "id", "week", "team"]
     assert {r["n"]: r["team"] for r in found.collect()} == {n: first(k, t) for n, k, t in left}
 
 
-def test_intervals_of_one_frequent_key(spark):
+@pytest.mark.parametrize("frequent", [1000, 1 << 20])
+def test_intervals_of_one_frequent_key(spark, frequent):
     """20,000 spans and 20,000 rows of one key, 4e8 pairs."""
     left = spark.range(20000).selectExpr("1 AS id", "CAST(id AS INT) AS week")
     spans = spark.range(20000).selectExpr("1 AS id", "CAST(id AS INT) AS s", "CAST(id + 1 AS INT) AS e", "id AS v")
-    found = J.in_interval(left, spans, ["id"], "week", "s", "e", "v")
+    found = J.in_interval(left, spans, ["id"], "week", "s", "e", "v", frequent)
     assert found.where("v = greatest(week - 1, 0)").count() == 20000
     assert "collect_list" not in found._jdf.queryExecution().toString()
 
@@ -120,7 +122,7 @@ def test_linked_and_clustered_records_equal_brute_force(spark):
     assert direct != cluster
     args = ("id", "name", ["a", "b", "c"], ["born"], 3)
     assert {r["id"]: r["same_as"] for r in J.linked_records(df, *args).collect()} == direct
-    assert {r["id"]: r["same_as"] for r in J.clustered_records(df, components, *args).collect()} == cluster
+    assert {r["id"]: r["same_as"] for r in L.clusters(df, *args).collect()} == cluster
     assert "NestedLoop" not in J.linked_records(df, *args)._jdf.queryExecution().toString()
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 import functools
 import itertools
 import operator
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -91,31 +91,67 @@ def pair_key(a: Column, b: Column) -> Column:
     return F.struct(F.least(a, b).alias("low"), F.greatest(a, b).alias("high"))
 
 
-def in_interval(left: DataFrame, spans: DataFrame, keys: Sequence[str], at: str, start: str, end: str, value: str, slices: int = 32) -> DataFrame:
+#: Rows of a key, on both sides, beyond which its time line is cut into slices.
+FREQUENT = 1 << 20
+
+
+def in_interval(
+    left: DataFrame, spans: DataFrame, keys: Sequence[str], at: str, start: str, end: str, value: str, frequent: int = FREQUENT, slices: int = 32
+) -> DataFrame:
     """``left`` with the ``value`` of the first span that contains ``at``; ends are included, null ends open.
 
-    Spans that start first win, then those that end first; rows in a gap get null. In that order a
-    span holds only what lies beyond the greatest end before it, so the spans become disjoint and a
-    time needs just the last one begun. The time line of a key is cut at common quantiles and what
-    is open is carried from slice to slice, so neither spans nor rows of a frequent key meet in one
-    task; repeated times of a key are looked up once.
+    Spans that start first win, then those that end first; rows in a gap, and of a null key, get null. In
+    that order a span holds only what lies beyond the greatest end before it, so the spans become disjoint
+    and a time needs just the last one begun: one window over the spans and one over both sides, two
+    shuffles by key. Keys with more than ``frequent`` rows go another way, so that neither their spans nor
+    their rows meet in one task: their time lines are cut at quantiles of their own and what is open is
+    carried from slice to slice. Both ways give the same result.
     """
-    asked = left.select(*keys, F.col(at).alias("_at")).dropna(subset=list(keys)).distinct()
-    held = spans.select(*keys, F.col(start).alias("_s"), F.col(end).alias("_e"), F.col(value).alias("_v")).dropna(subset=list(keys))
-    times = asked.select("_at").union(held.select("_s"))
-    cuts = F.broadcast(times.agg(F.percentile_approx("_at", [i / slices for i in range(1, slices)], 1000).alias("_cuts")))  # one row
-    sliced = lambda df, c: df.crossJoin(cuts).withColumn("_slice", F.greatest(F.size(F.filter("_cuts", lambda b: b < F.col(c))), F.lit(0))).drop("_cuts")
+    known = left.dropna(subset=list(keys))
+    held = spans.select(*keys, F.col(start).alias("_s"), F.col(end).alias("_e"), F.col(value).alias("_v")).dropna(subset=list(keys)).where("_s IS NULL OR _e IS NULL OR _s <= _e")
+    sizes = known.select(*keys).union(held.select(*keys)).groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > frequent).select(*keys)
+    kind = spans.schema[value].dataType
+    rest = left.where(functools.reduce(operator.or_, [F.col(k).isNull() for k in keys])).withColumn(value, F.lit(None).cast(kind))
+    if sizes.isEmpty():
+        return _in_interval(known, held, keys, at, value).unionByName(rest)
+    sliced = _in_interval_sliced(known.join(sizes, list(keys), "left_semi").select(left.columns), held.join(sizes, list(keys), "left_semi"), keys, at, value, slices)
+    return _in_interval(known.join(sizes, list(keys), "left_anti").select(left.columns), held.join(sizes, list(keys), "left_anti"), keys, at, value).unionByName(sliced).unionByName(rest)
+
+
+def _until() -> Column:
+    """A span's end, an open one the greatest."""
+    return F.struct(F.col("_e").isNull().alias("open"), F.col("_e").alias("e"))
+
+
+def _begun(held: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Spans as the times from which they hold: kind 2 after that time, 0 at it. ``_m`` is the greatest end before."""
+    covered = F.col("_m").isNotNull() & (F.col("_s").isNull() | (F.col("_m.e") >= F.col("_s")))
+    new = held.where(F.col("_m").isNull() | (_until() > F.col("_m")))
+    return new.select(*keys, F.when(covered, F.col("_m.e")).otherwise(F.col("_s")).alias("_at"), F.when(covered, 2).otherwise(0).alias("_kind"), F.struct("_e", "_v").alias("_span"))
+
+
+def _in_interval(left: DataFrame, held: DataFrame, keys: Sequence[str], at: str, value: str) -> DataFrame:
+    before = Window.partitionBy(*keys).orderBy("_s", "_e", "_v").rowsBetween(Window.unboundedPreceding, -1)
+    begun = _begun(held.withColumn("_m", F.max(_until()).over(before)), keys)
+    asked = left.select(*keys, F.col(at).alias("_at"), F.lit(1).alias("_kind"), F.struct(*left.columns).alias("_row"))
+    upto = Window.partitionBy(*keys).orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    line = asked.unionByName(begun, allowMissingColumns=True).withColumn("_span", F.last("_span", ignorenulls=True).over(upto))
+    fits = F.col("_span._e").isNull() | (F.col("_span._e") >= F.col("_at"))
+    return line.where("_kind = 1").select("_row.*", F.when(fits, F.col("_span._v")).alias(value))
+
+
+def _in_interval_sliced(left: DataFrame, held: DataFrame, keys: Sequence[str], at: str, value: str, slices: int) -> DataFrame:
+    """The same with each key's time line cut into slices; repeated times of a key are looked up once."""
+    asked = left.select(*keys, F.col(at).alias("_at")).distinct()
+    times = asked.union(held.select(*keys, F.col("_s").alias("_at")))
+    cuts = times.groupBy(*keys).agg(F.percentile_approx("_at", [i / slices for i in range(1, slices)], 1000).alias("_cuts"))  # a row for each frequent key
+    sliced = lambda df, c: df.join(cuts, list(keys)).withColumn("_slice", F.greatest(F.size(F.filter("_cuts", lambda b: b < F.col(c))), F.lit(0))).drop("_cuts")
     part, slice_ = [*keys, "_slice"], Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
 
-    until = F.struct(F.col("_e").isNull().alias("open"), F.col("_e").alias("e"))
-    held = sliced(held.where("_s IS NULL OR _e IS NULL OR _s <= _e"), "_s")
-    prior = held.groupBy(*part).agg(F.max(until).alias("_top")).withColumn("_prior", F.max("_top").over(slice_)).drop("_top")
+    held = sliced(held, "_s")
+    prior = held.groupBy(*part).agg(F.max(_until()).alias("_top")).withColumn("_prior", F.max("_top").over(slice_)).drop("_top")
     within = Window.partitionBy(*part).orderBy("_s", "_e", "_v").rowsBetween(Window.unboundedPreceding, -1)
-    held = held.join(prior, part).withColumn("_m", F.greatest(F.max(until).over(within), F.col("_prior")))
-    covered = F.col("_m").isNotNull() & (F.col("_s").isNull() | (F.col("_m.e") >= F.col("_s")))
-    begun = held.where(F.col("_m").isNull() | (until > F.col("_m"))).select(
-        *keys, F.when(covered, F.col("_m.e")).otherwise(F.col("_s")).alias("_at"), F.when(covered, 2).otherwise(0).alias("_kind"), F.struct("_e", "_v").alias("_span")
-    )  # kind 2 begins after its time, 0 at it
+    begun = _begun(held.join(prior, part).withColumn("_m", F.greatest(F.max(_until()).over(within), F.col("_prior"))), keys)
 
     line = sliced(asked.withColumn("_kind", F.lit(1)).unionByName(begun, allowMissingColumns=True), "_at")
     latest_ = F.max(F.when(F.col("_kind") != 1, F.struct("_at", "_kind", "_span")))
@@ -228,30 +264,12 @@ def linked_records(df: DataFrame, id_: str, name: str, names: Sequence[str], dat
 
     Dates may be one day apart. Records meet by equi-joins with the least id of each choice of
     ``least`` columns, never in pairs, so a frequent name costs no more than its rows. Only direct
-    links count; ``clustered_records`` follows them.
+    links count; ``linkage.clusters`` follows them.
     """
     least_ = _links(df, id_, name, names, dates, least).groupBy(F.col("a").alias(id_)).agg(F.min("b").alias("same_as"))
     return df.select(id_).join(least_, id_, "left").select(id_, F.coalesce("same_as", id_).alias("same_as"))
 
 
-def clustered_records(
-    df: DataFrame, components: Callable[[DataFrame], DataFrame], id_: str, name: str, names: Sequence[str], dates: Sequence[str] = (), least: int = 4
-) -> DataFrame:
-    """(id, same_as): the smallest id that can be reached over links of ``linked_records``, however many.
-
-    ``components`` makes (node, component) of edges (a, b), with the smallest node as component.
-    """
-    parts = components(_links(df, id_, name, names, dates, least)).select(F.col("node").alias(id_), F.col("component").alias("same_as"))
-    return df.select(id_).join(parts, id_, "left").select(id_, F.coalesce("same_as", id_).alias("same_as"))
-
-
-def disjoint_pairs(df: DataFrame, id_: str, name: str, group: str, sets: str) -> DataFrame:
-    """(id, other_id): records of one name in different groups whose sets have nothing in common."""
-    a, b = df.alias("a"), df.alias("b")
-    on = (F.col(f"a.{name}") == F.col(f"b.{name}")) & (F.col(f"a.{id_}") < F.col(f"b.{id_}")) & (F.col(f"a.{group}") != F.col(f"b.{group}"))
-    return a.join(b, on & ~F.arrays_overlap(F.col(f"a.{sets}"), F.col(f"b.{sets}"))).select(F.col(f"a.{id_}").alias(id_), F.col(f"b.{id_}").alias("other_id"))
-
-
 def best_candidates(scored: DataFrame, key: str, candidate: str, score: str) -> DataFrame:
     """(key, candidate, score) of the highest score; a tie is left unresolved, with a null candidate."""
     top = scored.groupBy(key, score).agg(F.min(candidate).alias("_c"), F.count("*").alias("_n"))

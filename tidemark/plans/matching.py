@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import joins as J
+from tidemark.operators import linkage as L
 from tidemark.plans.registry import query
 from tidemark.plans.totals import exact, table
 
@@ -144,27 +145,15 @@ def _cards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-WITH {_CARDS}, p AS (
-  SELECT x.id, min(y.id) AS o FROM c AS x JOIN c AS y ON x.name = y.name AND x.id > y.id
-    AND CAST(x.a = y.a AS INTEGER) + CAST(x.b = y.b AS INTEGER) + CAST(x.c = y.c AS INTEGER) + CAST(x.e = y.e AS INTEGER) + CAST(abs(date_diff('day', x.born, y.born)) <= 1 AS INTEGER) >= 4 GROUP BY x.id
-)
-SELECT c.id, coalesce(o, c.id) AS same_as FROM c LEFT JOIN p ON c.id = p.id
+WITH RECURSIVE {_CARDS.strip()}, e AS (
+  SELECT x.id AS a, y.id AS b FROM c AS x JOIN c AS y ON x.name = y.name AND x.id <> y.id
+    AND CAST(x.a = y.a AS INTEGER) + CAST(x.b = y.b AS INTEGER) + CAST(x.c = y.c AS INTEGER) + CAST(x.e = y.e AS INTEGER) + CAST(abs(date_diff('day', x.born, y.born)) <= 1 AS INTEGER) >= 4
+), r(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a), m AS (SELECT a, min(b) AS b FROM r GROUP BY a)
+SELECT c.id, least(c.id, coalesce(m.b, c.id)) AS same_as FROM c LEFT JOIN m ON c.id = m.a
 """)
 def record_linkage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records of one name that agree in four of five attributes."""
-    return J.linked_records(_cards(spark, sf_dir), "id", "name", ["a", "b", "c", "e"], ["born"])
-
-
-@query("""
-WITH s AS (
-  SELECT o_custkey AS id, o_custkey % 50 AS name, o_custkey % 3 AS team, list(DISTINCT month(o_orderdate)) AS months FROM orders GROUP BY o_custkey
-)
-SELECT a.id, b.id AS other_id FROM s AS a JOIN s AS b ON a.name = b.name AND a.id < b.id AND a.team <> b.team AND NOT list_has_any(a.months, b.months)
-""")
-def disjoint_sets_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("id")).agg(F.collect_set(F.month("o_orderdate")).alias("months"))
-    rows = rows.withColumn("name", F.col("id") % 50).withColumn("team", F.col("id") % 3)
-    return J.disjoint_pairs(rows, "id", "name", "team", "months")
+    """Clusters of records of one name that agree in four of five attributes, directly or over others."""
+    return L.clusters(_cards(spark, sf_dir), "id", "name", ["a", "b", "c", "e"], ["born"])
 
 
 @query("""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.metrics import regression_metrics
@@ -34,3 +34,23 @@ def evaluate(scored: DataFrame, target: str, predicted: str) -> DataFrame:
 def importances(model: PipelineModel, features: Sequence[str]) -> list[tuple[str, float]]:
     """Features by importance, largest first."""
     return sorted(zip(features, map(float, model.stages[-1].featureImportances.toArray()), strict=True), key=lambda x: (-x[1], x[0]))
+
+
+def save_model(model: PipelineModel, folder: str, features: Sequence[str], target: str, metrics: DataFrame) -> None:
+    """The model, its metrics, its importances and a record of how it was made, as tables below ``folder``.
+
+    The record is written last: a folder that has one is whole.
+    """
+    spark = metrics.sparkSession
+    model.write().overwrite().save(f"{folder}/model")
+    metrics.write.mode("overwrite").parquet(f"{folder}/metrics")
+    spark.createDataFrame(importances(model, features), "feature string, importance double").write.mode("overwrite").parquet(f"{folder}/importances")
+    forest = model.stages[-1]
+    values = [("target", target), ("features", ",".join(features)), ("trees", str(forest.getNumTrees)), ("depth", str(forest.getOrDefault("maxDepth"))), ("seed", str(forest.getOrDefault("seed")))]
+    spark.createDataFrame([*values, ("spark", spark.version)], "name string, value string").coalesce(1).write.mode("overwrite").parquet(f"{folder}/record")
+
+
+def load_model(spark: SparkSession, folder: str) -> tuple[PipelineModel, dict[str, str]]:
+    """A saved model and its record; AnalysisException if the folder has no record, as it is not whole."""
+    record = {r["name"]: r["value"] for r in spark.read.parquet(f"{folder}/record").collect()}
+    return PipelineModel.load(f"{folder}/model"), record

@@ -103,6 +103,17 @@ def per_game(names: Mapping[str, tuple[str, str]], places: int = 4) -> dict[str,
     return {k: F.round(ratio(F.coalesce(F.col(a), F.lit(0)), F.coalesce(F.col(b), F.lit(0))), places) for k, (a, b) in names.items()}
 
 
+def game_passing_pack(p: str = "plyr_gm_pass_", places: int = 4) -> Pack:
+    """The nine passing rates of a single game, a missing number counting as zero; null where there is nothing to divide by."""
+    cmp, att, yds, td, intercepted, sacks, lost = (F.coalesce(F.col(f"{p}{c}"), F.lit(0)) for c in ("cmp", "att", "yds", "td", "int", "sk", "sk_yds"))
+    dropbacks, bonus = att + sacks, 20 * td - 45 * intercepted
+    parts = {
+        "cmp_pct": (cmp, att), "td_pct": (td, att), "int_pct": (intercepted, att), "yds_att": (yds, att), "adj_yds_att": (yds + bonus, att), "yds_cmp": (yds, cmp),
+        "sk_pct": (sacks, dropbacks), "net_yds_att": (yds - lost, dropbacks), "adj_net_yds_att": (yds - lost + bonus, dropbacks),
+    }
+    return {f"{p}{name}": F.round(F.when(bottom > 0, ratio(top, bottom)), places) for name, (top, bottom) in parts.items()}
+
+
 def with_metrics(df: DataFrame, pack: Pack) -> DataFrame:
     """``df`` with the columns of ``pack``, each able to use those before it."""
     for name, expr in pack.items():

@@ -77,13 +77,14 @@ def orphan_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH a AS (SELECT DISTINCT l_suppkey AS k FROM lineitem WHERE l_quantity > 49 AND l_discount > 0.09), b AS (SELECT s_suppkey AS k FROM supplier WHERE s_acctbal < 5000)
+WITH a AS (SELECT DISTINCT o_custkey AS k FROM orders), b AS (SELECT s_suppkey * 15 - 7 AS k FROM supplier)
 SELECT k, 'missing' AS kind FROM (SELECT k FROM b EXCEPT SELECT k FROM a) UNION ALL SELECT k, 'extra' FROM (SELECT k FROM a EXCEPT SELECT k FROM b)
 UNION ALL SELECT k, 'both' FROM (SELECT k FROM a INTERSECT SELECT k FROM b)
 """)
 def missing_extra_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = table(spark, sf_dir, "lineitem").where("l_quantity > 49 AND l_discount > 0.09").select(F.col("l_suppkey").alias("k")).distinct()
-    b = table(spark, sf_dir, "supplier").where("s_acctbal < 5000").select(F.col("s_suppkey").alias("k"))
+    """Customers with orders against keys made from all suppliers, of which some have no orders."""
+    a = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k")).distinct()
+    b = table(spark, sf_dir, "supplier").select((F.col("s_suppkey") * 15 - 7).alias("k"))
     parts = [(b.subtract(a), "missing"), (a.subtract(b), "extra"), (a.intersect(b), "both")]
     out = [d.select("k", F.lit(kind).alias("kind")) for d, kind in parts]
     return out[0].union(out[1]).union(out[2])
@@ -175,11 +176,15 @@ def rekey_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH w AS (SELECT s_suppkey, CAST(unnest(range(1, 13)) AS INTEGER) AS month FROM supplier), m AS (SELECT DISTINCT l_suppkey, month(l_shipdate) AS month FROM lineitem WHERE year(l_shipdate) = 1996)
-SELECT w.s_suppkey, w.month, CAST(m.month IS NOT NULL AS INTEGER) AS played FROM w LEFT JOIN m ON w.s_suppkey = m.l_suppkey AND w.month = m.month
+WITH y AS (SELECT DISTINCT CAST(year(l_shipdate) AS INTEGER) AS season FROM lineitem), w AS (SELECT s_suppkey, season, CAST(unnest(range(1, 13)) AS INTEGER) AS month FROM supplier, y),
+m AS (SELECT DISTINCT l_suppkey, year(l_shipdate) AS season, month(l_shipdate) AS month FROM lineitem)
+SELECT w.s_suppkey, w.season, w.month, CAST(m.month IS NOT NULL AS INTEGER) AS played FROM w LEFT JOIN m ON w.s_suppkey = m.l_suppkey AND w.season = m.season AND w.month = m.month
 """)
 def entity_by_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every entity in every period, and whether it took part."""
-    grid = table(spark, sf_dir, "supplier").select("s_suppkey", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("month"))
-    seen = table(spark, sf_dir, "lineitem").where(F.year("l_shipdate") == 1996).select(F.col("l_suppkey").alias("s_suppkey"), F.month("l_shipdate").alias("month")).distinct()
-    return grid.join(seen.withColumn("_hit", F.lit(1)), ["s_suppkey", "month"], "left").select("s_suppkey", "month", F.coalesce("_hit", F.lit(0)).alias("played"))
+    """Every entity in every period of every season, and whether it took part."""
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("s_suppkey"), F.year("l_shipdate").alias("season"), F.month("l_shipdate").alias("month"))
+    seasons = lines.agg(F.collect_set("season").alias("seasons"))  # years: one short row
+    grid = table(spark, sf_dir, "supplier").select("s_suppkey").join(F.broadcast(seasons)).select("s_suppkey", F.explode("seasons").alias("season"))
+    grid = grid.withColumn("month", F.explode(F.sequence(F.lit(1), F.lit(12))))
+    seen = lines.distinct().withColumn("_hit", F.lit(1))
+    return grid.join(seen, ["s_suppkey", "season", "month"], "left").select("s_suppkey", "season", "month", F.coalesce("_hit", F.lit(0)).alias("played"))

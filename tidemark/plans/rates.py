@@ -102,6 +102,28 @@ def per_game_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.with_metrics(games, M.per_game({"yds_att": ("yds", "att")})).drop("yds", "att")
 
 
+@query("""
+WITH g AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_linenumber <> 2 THEN l_orderkey % 5 END AS cmp, CASE WHEN l_linenumber <> 3 THEN l_partkey % 8 - 1 END AS att, CASE WHEN l_suppkey % 4 > 0 THEN CAST(l_quantity AS BIGINT) - 9 END AS yds,
+         CASE WHEN l_suppkey % 3 > 0 THEN l_partkey % 3 END AS td, CASE WHEN l_orderkey % 3 > 0 THEN l_suppkey % 2 END AS i, CASE WHEN l_orderkey % 7 > 0 THEN l_linenumber % 3 END AS sk, CASE WHEN l_partkey % 5 > 0 THEN l_linenumber * 2 END AS lost FROM lineitem
+), z AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, coalesce(cmp, 0) AS cmp, coalesce(att, 0) AS att, coalesce(yds, 0) AS yds, coalesce(td, 0) AS td, coalesce(i, 0) AS i, coalesce(sk, 0) AS sk, coalesce(lost, 0) AS lost FROM g)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN att > 0 THEN round(cmp / att, 4) END AS gm_cmp_pct, CASE WHEN att > 0 THEN round(td / att, 4) END AS gm_td_pct, CASE WHEN att > 0 THEN round(i / att, 4) END AS gm_int_pct,
+  CASE WHEN att > 0 THEN round(yds / att, 4) END AS gm_yds_att, CASE WHEN att > 0 THEN round((yds + 20 * td - 45 * i) / att, 4) END AS gm_adj_yds_att, CASE WHEN cmp > 0 THEN round(yds / cmp, 4) END AS gm_yds_cmp,
+  CASE WHEN att + sk > 0 THEN round(sk / (att + sk), 4) END AS gm_sk_pct, CASE WHEN att + sk > 0 THEN round((yds - lost) / (att + sk), 4) END AS gm_net_yds_att,
+  CASE WHEN att + sk > 0 THEN round((yds - lost + 20 * td - 45 * i) / (att + sk), 4) END AS gm_adj_net_yds_att FROM z
+""")
+def game_passing_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nine passing rates of single games, with missing numbers, games without attempts and yards below zero."""
+    order, part, supplier, line = (F.col(c) for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
+    games = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.when(line != 2, order % 5).alias("gm_cmp"), F.when(line != 3, part % 8 - 1).alias("gm_att"),
+        F.when(supplier % 4 > 0, F.col("l_quantity").cast("long") - 9).alias("gm_yds"), F.when(supplier % 3 > 0, part % 3).alias("gm_td"), F.when(order % 3 > 0, supplier % 2).alias("gm_int"),
+        F.when(order % 7 > 0, line % 3).alias("gm_sk"), F.when(part % 5 > 0, line * 2).alias("gm_sk_yds"),
+    )
+    pack = M.game_passing_pack("gm_")
+    return M.with_metrics(games, pack).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *pack)
+
+
 @query("""
 WITH p AS (
   SELECT CAST(o_orderkey % 97 AS DOUBLE) AS y, CASE WHEN o_orderkey % 11 > 0 THEN CAST(o_custkey % 89 AS DOUBLE) END AS p FROM orders WHERE year(o_orderdate) IN (1997, 1998)

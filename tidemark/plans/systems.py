@@ -15,6 +15,7 @@ from tidemark.plans.registry import query
 from tidemark.plans.totals import exact, table
 from tidemark.sources import html as H
 from tidemark.streaming.incremental import shared_dir
+from tidemark.streaming.keyed import keyed_totals
 
 #: A table whose header has a column over two rows and two groups, whose spans are those of the page: p and r columns.
 _TABLE = """concat(html, '<TABLE class=x id="stats"><thead><tr class="over_header"><th rowspan="2">Player</th><th colspan="', p, '">Passing</th><th colspan=', r, '>Rush<i>ing</i></th></tr><tr>',
@@ -154,3 +155,26 @@ def reloaded_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = again.transform(rows).select("o_orderkey", "prediction").join(before, "o_orderkey")
     counts = both.agg(F.count("*").alias("n_rows"), F.count_if(F.col("prediction") == F.col("before")).alias("n_same"))
     return counts.select("*", F.lit(int(record["trees"])).alias("n_trees"), F.lit(record["target"]).alias("target"), F.lit(len(record["features"].split(","))).alias("n_features"))
+
+
+@query("""
+SELECT user_id % 50 AS team, CAST(date_trunc('day', ts) AS DATE) AS day, count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS total FROM events GROUP BY ALL
+""")
+def corrected_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals by team and day in state: files come in order of time, every fifth event first with a wrong amount, and the job is started again between."""
+    folder = f"{shared_dir(spark)}/keyed-{uuid.uuid4().hex}"
+    amount = F.round(F.col("value") * 100).cast("long")
+    events = table(spark, sf_dir, "events").select((F.col("user_id") % 50).alias("team"), F.col("event_id").alias("id"), amount.alias("amount"), F.col("ts").cast("timestamp").alias("time"))
+    events = events.withColumn("wrong", F.col("id") % 5 == 0)
+    half = events.agg(F.timestamp_micros(F.floor(F.avg(F.unix_micros("time")))).alias("half"))  # one row
+    dealt = events.join(F.broadcast(half)).withColumn("second", F.col("time") >= F.col("half"))
+    first = lambda df: df.select("team", "id", F.lit(0).cast("long").alias("version"), F.when(F.col("wrong"), F.lit(-1).cast("long")).otherwise(F.col("amount")).alias("amount"), "time")
+    right = lambda df: df.where("wrong").select("team", "id", F.lit(1).cast("long").alias("version"), "amount", "time")
+    schema = "team long, id long, version long, amount long, time timestamp"
+    for second in (False, True):
+        part = dealt.where(F.col("second") == second)
+        first(part).repartition(2, "id").write.mode("append").parquet(f"{folder}/in")
+        if second:
+            right(dealt).union(right(dealt)).repartition(2, "id").write.mode("append").parquet(f"{folder}/in")  # delivered twice
+        found = keyed_totals(spark, f"{folder}/in", schema, ["team"], f"{folder}/job", "1000 days")
+    return found.select("team", F.col("day").cast("date").alias("day"), "n", "total")

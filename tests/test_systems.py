@@ -161,3 +161,22 @@ def test_a_saved_model_needs_its_record(spark, tmp_path):
     model.write().save(f"{tmp_path}/half/model")
     with pytest.raises(AnalysisException):
         load_model(spark, f"{tmp_path}/half")
+
+
+def test_a_catalog_names_every_table_that_is_not_as_it_must_be(spark, tmp_path):
+    from tidemark.sources import scan
+
+    spark.range(3).write.parquet(f"{tmp_path}/a")
+    catalog = scan.Catalog(spark, str(tmp_path), {"a": "a", "b": "b"})
+    assert catalog.validated({"a": ["id", "season_id"]})["a"].count() == 3
+    with pytest.raises(ValueError, match=r"a: no \['x'\].*b: PATH_NOT_FOUND"):
+        catalog.validated({"a": ["id", "x"], "b": ["id"]})
+    with pytest.raises(ValueError, match="no table 'c'"):
+        catalog.validated({"c": []})
+
+
+def test_a_week_is_looked_up(spark):
+    from tidemark.sources import scan
+
+    weeks = scan.season_weeks(spark, [2020, 2021], 3)
+    assert scan.week_of(weeks, 5) == (2, 2) and scan.week_of(weeks, 99) is None

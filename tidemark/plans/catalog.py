@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from tidemark.plans import cleaning, dataset, entities, imputation, matching, rates, records, series, systems, text, totals  # noqa: F401
+from tidemark.plans import cleaning, dataset, entities, imputation, inputs, matching, rates, records, series, systems, text, totals  # noqa: F401

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +31,22 @@ class Catalog:
         return {n: self.table(n, seasons, weeks) for n in names}
 
 
+    def validated(self, columns: Mapping[str, Sequence[str]], seasons: str | None = None, weeks: str | None = None) -> dict[str, DataFrame]:
+        """Frames by name; ValueError, before anything is read, that names every table without a column it must have or without a file."""
+        found, wrong = {}, []
+        for name, needed in columns.items():
+            try:
+                found[name] = self.table(name, seasons, weeks)
+            except AnalysisException as error:
+                wrong.append(f"{name}: {error.getCondition()}")
+                continue
+            if missing := {*needed} - {*found[name].columns}:
+                wrong.append(f"{name}: no {sorted(missing)}")
+        if wrong:
+            raise ValueError("; ".join(wrong))
+        return found
+
+
 def scan_partitioned(
     spark: SparkSession, path: str, seasons: str | None = None, weeks: str | None = None, tolerant: bool = False, schema: str | None = None, merge_schema: bool = False
 ) -> DataFrame:
@@ -107,6 +124,18 @@ def latest_file(spark: SparkSession, folder: str, pattern: str = "*.csv") -> str
     return row[0] if row else None
 
 
+def latest_in(spark: SparkSession, paths: Sequence[str]) -> str | None:
+    """Of several files the one that was modified last, of equals the last by name."""
+    row = spark.read.format("binaryFile").load(list(paths)).agg(F.max_by("path", F.struct("modificationTime", "path"))).first()
+    return row[0] if row else None
+
+
+def week_of(weeks: DataFrame, week_id: int) -> tuple[int, int] | None:
+    """(season_id, week_num) of a week, null if the dimension lacks it."""
+    row = week_dimension(weeks).where(F.col("week_id") == week_id).agg(F.min(F.struct("season_id", "week_num"))).first()
+    return tuple(row[0]) if row and row[0] else None
+
+
 def latest_pair(spark: SparkSession, folder: str, tokens: Sequence[str]) -> dict[str, str | None]:
     """The latest file for each token in the name."""
     return {t: latest_file(spark, folder, f"*{t}*") for t in tokens}

@@ -92,3 +92,16 @@ def test_filters(spark):
 def test_colleges(spark):
     assert value(spark, S.same_college(F.lit("University of Somewhere"), F.lit("somewhere")))
     assert not value(spark, S.same_college(F.lit(None), F.lit("somewhere")))
+
+
+def test_teams_positions_and_files(spark):
+    from tidemark.functions import teams as N
+
+    paths = ["a/b/cleaned_Green_Bay_Packers_New_York_Jets_wk3.csv", "New_York_Giants_Dallas_Cowboys_wk12_2024.csv", "Dallas_Cowboys_wk1.csv", "x_wk1/Dallas_Cowboys_Miami_Dolphins.csv", "", None, "c\\San_Francisco_49ers_Los_Angeles_Rams_wk1.csv"]
+    df = spark.createDataFrame([(p,) for p in paths], "p string")
+    got = [r[0] and tuple(r[0]) for r in df.select(N.teams_in_path(F.col("p"))).collect()]
+    assert got == [("Green Bay Packers", "New York Jets"), ("New York Giants", "Dallas Cowboys"), None, None, None, None, ("San Francisco 49ers", "Los Angeles Rams")]
+    one = spark.createDataFrame([("Jets", "Tampa Bay Buccaneers", "RLB/MLB"), ("x", "y", "ATH"), (None, None, None)], "a string, b string, c string")
+    got = [tuple(r) for r in one.select(N.code_of_nickname(F.col("a")), N.name_of_nickname(F.col("a")), N.team_code(F.col("b")), N.position_group(F.col("c"))).collect()]
+    assert got == [("NYJ", "New York Jets", "TAM", "LB"), ("x", "x", "y", "ATH"), (None, None, None, None)]
+    assert len(N.TEAMS) == 32 and len({N.nickname(n) for n in N.TEAMS}) == 32

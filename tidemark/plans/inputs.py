@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalar as S
+from tidemark.functions import teams as N
+from tidemark.functions.teams import TEAMS
 from tidemark.operators import joins as J
 from tidemark.plans.registry import query
 from tidemark.plans.totals import table
@@ -124,3 +126,32 @@ def snaps_to_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
     spelling, of = F.array(F.col("s_name")), S.name_variants(F.col("r_name"))
     tiers = [J.Tier([F.col("s_team"), spelling, F.col("s_pos")], [F.col("r_team"), of, F.col("r_pos")]), J.Tier([F.col("s_team"), spelling], [F.col("r_team"), of])]
     return J.tiered_match(snaps, roster, "snap", "roster", tiers)
+
+
+_NAMES = ", ".join(f"('{name}', '{code}')" for name, code in TEAMS.items())
+
+
+@query(f"""
+WITH t AS (SELECT name, code, CAST(row_number() OVER (ORDER BY name) AS BIGINT) - 1 AS i FROM (VALUES {_NAMES}) AS v(name, code)), o AS (SELECT o_orderkey, o_orderkey % 32 AS a, (o_orderkey * 7 + o_custkey) % 32 AS b FROM orders)
+SELECT o_orderkey, CASE WHEN o_orderkey % 9 > 0 THEN a.name END AS first, CASE WHEN o_orderkey % 9 > 0 THEN b.code END AS second_code, CASE WHEN o_orderkey % 9 > 0 THEN split_part(b.name, ' ', -1) END AS second_nickname
+FROM o JOIN t AS a ON o.a = a.i JOIN t AS b ON o.b = b.i
+""")
+def teams_of_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two teams in a file's name, of two words or three, as names, codes and nicknames; names of files without a week have none."""
+    names = F.array(*[F.lit(n.replace(" ", "_")) for n in sorted(TEAMS)])
+    key = F.col("o_orderkey")
+    a, b = (F.get(names, (k % 32).cast("int")) for k in (key, key * 7 + F.col("o_custkey")))
+    week = F.when(key % 9 > 0, F.concat(F.lit("_wk"), (key % 18).cast("string"))).otherwise("")
+    prefix = F.when(key % 2 == 0, F.lit("/data_wk1/2024/cleaned_")).otherwise(F.lit(""))
+    found = table(spark, sf_dir, "orders").select("o_orderkey", N.teams_in_path(F.concat(prefix, a, F.lit("_"), b, week, F.lit("_2024.csv"))).alias("_t"))
+    nick = F.element_at(F.split(F.col("_t.second"), " "), -1)
+    return found.select("o_orderkey", N.name_of_nickname(F.element_at(F.split(F.col("_t.first"), " "), -1)).alias("first"), N.team_code(F.col("_t.second")).alias("second_code"), nick.alias("second_nickname"))
+
+
+@query("""
+SELECT p_partkey, CASE p_partkey % 8 WHEN 0 THEN 'OL' WHEN 1 THEN 'DB' WHEN 2 THEN 'LB' WHEN 3 THEN 'DL' WHEN 4 THEN 'K' WHEN 5 THEN 'TE' WHEN 6 THEN 'EDGE' END AS pos FROM part
+""")
+def position_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions in the spellings of several lists, as groups; an unknown one stays, null stays null."""
+    spelling = F.array(*map(F.lit, ("LG/RT", "SS/FS", "RILB/LILB", "LDE/RDE", "PK", "TE/QB", "EDGE")))
+    return table(spark, sf_dir, "part").select("p_partkey", N.position_group(F.get(spelling, (F.col("p_partkey") % 8).cast("int"))).alias("pos"))

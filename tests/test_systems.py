@@ -180,3 +180,19 @@ def test_a_week_is_looked_up(spark):
 
     weeks = scan.season_weeks(spark, [2020, 2021], 3)
     assert scan.week_of(weeks, 5) == (2, 2) and scan.week_of(weeks, 99) is None
+
+
+def test_a_configuration_is_checked(spark, tmp_path):
+    from tidemark.sources import config as C
+
+    assert C.parse('{"a": "${X}/b"}', {"X": "/r"}) == {"a": "/r/b"}
+    assert C.parse("a: [1, 2]\nb: {c: d}", {}) == {"a": [1, 2], "b": {"c": "d"}}
+    for text, what in (("{", "."), ("[1]", "mapping"), ('{"a": "${NONE}"}', "no value")):
+        with pytest.raises(Exception, match=what):
+            C.parse(text, {})
+    base = {"root": str(tmp_path), "tables": {"a": "a"}, "spine": "a", "columns": ["id"]}
+    spark.range(3).write.parquet(f"{tmp_path}/a")
+    assert C.build(spark, C.Dataset.of(base)).count() == 3
+    for more, what in (({"spin": 1}, "spin"), ({"spine": "b"}, "not listed"), ({"sources": [{"table": "a", "keys": {}, "feature": []}]}, "feature")):
+        with pytest.raises(ValueError, match=what):
+            C.Dataset.of(base | more)

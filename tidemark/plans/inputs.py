@@ -13,7 +13,7 @@ from tidemark.functions.teams import TEAMS
 from tidemark.operators import joins as J
 from tidemark.plans.registry import query
 from tidemark.plans.totals import table
-from tidemark.sources import scan, sinks
+from tidemark.sources import config, scan, sinks
 from tidemark.streaming.incremental import shared_dir
 
 
@@ -155,3 +155,41 @@ def position_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Positions in the spellings of several lists, as groups; an unknown one stays, null stays null."""
     spelling = F.array(*map(F.lit, ("LG/RT", "SS/FS", "RILB/LILB", "LDE/RDE", "PK", "TE/QB", "EDGE")))
     return table(spark, sf_dir, "part").select("p_partkey", N.position_group(F.get(spelling, (F.col("p_partkey") % 8).cast("int"))).alias("pos"))
+
+
+_CONFIG = """
+root: ${ROOT}
+tables: {games: games.parquet, players: players.parquet, teams: nation.parquet, unused: none.parquet}
+spine: games
+columns: [game, player, season, week_id]
+seasons: 1993-1996
+exclude: [t_n_regionkey]
+sources:
+  - {table: players, keys: {player: c_custkey}, features: [c_nationkey, c_mktsegment]}
+  - {table: teams, keys: {c_nationkey: n_nationkey}, features: [n_name, n_regionkey], prefix: t_}
+  - {table: unused, keys: {x: y}, features: [], enabled: false}
+"""
+
+
+@query("""
+SELECT o_orderkey AS game, o_custkey AS player, year(o_orderdate) AS season, CAST(month(o_orderdate) AS INTEGER) AS week_id, c_nationkey, c_mktsegment, n_name AS t_n_name
+FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey WHERE year(o_orderdate) BETWEEN 1993 AND 1996
+""")
+def configured_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dataset built from its configuration alone: tables by name, seasons, and sources of which one is off."""
+    root, t = _folder(spark, "configured"), lambda n: table(spark, sf_dir, n)
+    games = t("orders").select(F.col("o_orderkey").alias("game"), F.col("o_custkey").alias("player"), F.year("o_orderdate").cast("long").alias("season"), F.month("o_orderdate").alias("week_id"))
+    games.write.parquet(f"{root}/games.parquet")
+    t("customer").select("c_custkey", "c_nationkey", "c_mktsegment").write.parquet(f"{root}/players.parquet")
+    t("nation").write.parquet(f"{root}/nation.parquet")
+    return config.build(spark, config.Dataset.of(config.parse(_CONFIG, {"ROOT": root})))
+
+
+@query("""
+SELECT table_name AS "table", CAST(ordinal_position - 1 AS INTEGER) AS place, column_name AS "column", CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' ELSE 'string' END AS type
+FROM information_schema.columns WHERE table_name IN ('customer', 'nation', 'part', 'region', 'supplier')
+""")
+def described_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables of a catalog with their columns and types."""
+    names = ("customer", "nation", "part", "region", "supplier")
+    return config.described(scan.Catalog(spark, sf_dir, {n: f"{n}.parquet" for n in names}))

@@ -88,12 +88,12 @@ def average_ranks(df: DataFrame, columns: Sequence[str], slices: int = 64) -> Da
 
     Values are counted first, so a frequent one is a single row. The counts are summed over slices
     of the value range, whose number is fixed, then within each slice, so no task holds all values.
+    The slices' bounds are a subquery: nothing runs until the result does.
     """
     for c in columns:
         counts = df.where(F.col(c).isNotNull()).groupBy(F.col(c).alias("_v")).agg(F.count("*").alias("_n"))
-        bounds = counts.select(F.percentile_approx("_v", [i / slices for i in range(1, slices)], 1000)).first()[0] or []
-        cuts = F.array(*map(F.lit, sorted(set(bounds)))) if bounds else F.array().cast("array<double>")
-        counts = counts.withColumn("_slice", F.size(F.filter(cuts, lambda b: b < F.col("_v"))))
+        bounds = counts.select(F.percentile_approx("_v", [i / slices for i in range(1, slices)], 1000)).scalar()
+        counts = counts.withColumn("_bounds", bounds).withColumn("_slice", F.size(F.filter("_bounds", lambda b: b < F.col("_v")))).drop("_bounds")
         all_before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
         starts = counts.groupBy("_slice").agg(F.sum("_n").alias("_all"))
         starts = starts.select("_slice", F.coalesce(F.sum("_all").over(all_before), F.lit(0)).alias("_start"))

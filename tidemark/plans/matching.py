@@ -183,8 +183,8 @@ SELECT w.s_suppkey, w.season, w.month, CAST(m.month IS NOT NULL AS INTEGER) AS p
 def entity_by_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every entity in every period of every season, and whether it took part."""
     lines = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("s_suppkey"), F.year("l_shipdate").alias("season"), F.month("l_shipdate").alias("month"))
-    seasons = lines.agg(F.collect_set("season").alias("seasons"))  # years: one short row
-    grid = table(spark, sf_dir, "supplier").select("s_suppkey").join(F.broadcast(seasons)).select("s_suppkey", F.explode("seasons").alias("season"))
+    seasons = lines.agg(F.collect_set("season")).scalar()  # a few years
+    grid = table(spark, sf_dir, "supplier").select("s_suppkey", seasons.alias("seasons")).select("s_suppkey", F.explode("seasons").alias("season"))
     grid = grid.withColumn("month", F.explode(F.sequence(F.lit(1), F.lit(12))))
     seen = lines.distinct().withColumn("_hit", F.lit(1))
     return grid.join(seen, ["s_suppkey", "season", "month"], "left").select("s_suppkey", "season", "month", F.coalesce("_hit", F.lit(0)).alias("played"))

@@ -166,8 +166,8 @@ def corrected_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     amount = F.round(F.col("value") * 100).cast("long")
     events = table(spark, sf_dir, "events").select((F.col("user_id") % 50).alias("team"), F.col("event_id").alias("id"), amount.alias("amount"), F.col("ts").cast("timestamp").alias("time"))
     events = events.withColumn("wrong", F.col("id") % 5 == 0)
-    half = events.agg(F.timestamp_micros(F.floor(F.avg(F.unix_micros("time")))).alias("half"))  # one row
-    dealt = events.join(F.broadcast(half)).withColumn("second", F.col("time") >= F.col("half"))
+    half = events.agg(F.timestamp_micros(F.floor(F.avg(F.unix_micros("time"))))).scalar()
+    dealt = events.withColumn("second", F.col("time") >= half)
     first = lambda df: df.select("team", "id", F.lit(0).cast("long").alias("version"), F.when(F.col("wrong"), F.lit(-1).cast("long")).otherwise(F.col("amount")).alias("amount"), "time")
     right = lambda df: df.where("wrong").select("team", "id", F.lit(1).cast("long").alias("version"), "amount", "time")
     schema = "team long, id long, version long, amount long, time timestamp"

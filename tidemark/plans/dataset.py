@@ -26,7 +26,7 @@ def _months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows
 
 
-@query("""
+_WIDE = """
 WITH m AS (
   SELECT o_custkey AS cust, CAST(year(o_orderdate) AS INTEGER) AS season, CAST(month(o_orderdate) AS INTEGER) AS month, CAST(CAST(o_totalprice AS DECIMAL(14,2)) * 100 AS BIGINT) AS spend FROM orders
 ), g AS (
@@ -47,7 +47,10 @@ SELECT r.cust, r.season, r.month, round(r.spend, 4) AS spend, round(r.next_spend
        CAST(t.season_spend AS BIGINT) AS season_spend, t.game_count, coalesce(n.nation_orders, 0) AS nation_orders
 FROM r JOIN customer ON r.cust = c_custkey LEFT JOIN (SELECT DISTINCT * FROM t) AS t ON r.cust = t.cust AND r.season = t.season AND r.month = t.month
 LEFT JOIN n ON n.nation = c_nationkey AND n.season = r.season AND n.month = r.month WHERE r.next_spend IS NOT NULL
-""")
+"""
+
+
+@query(_WIDE)
 def wide_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spine, eligibility, season-to-date totals, a dimension, a group's figures, rolling means and the next game's target.
 
@@ -82,6 +85,22 @@ def forest_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate(model.transform(test.fillna(-999, features)), "next_spend", "prediction")
 
 
+@query(f"""
+WITH w AS ({_WIDE}), x AS (SELECT season, next_spend / 100 AS y, spend / 100 AS p FROM w),
+a AS (SELECT count(*) AS n_train, avg(y) AS mean FROM x WHERE season <= 1998), b AS (SELECT 'mean' AS model, y, mean AS p, n_train FROM x, a WHERE season > 1998 UNION ALL SELECT 'last', y, p, n_train FROM x, a WHERE season > 1998)
+SELECT model, n_train, count(*) AS n_rows, round(avg(abs(y - p)), 4) AS mae, round(sqrt(avg((y - p) * (y - p))), 4) AS rmse, round(1 - avg((y - p) * (y - p)) / var_pop(y), 6) AS r2, round(avg(abs(y - p) / greatest(y, 1)) * 100, 4) AS mape FROM b GROUP BY model, n_train
+""")
+def baseline_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the forest is measured against, on the same split: the mean of the earlier years, and the value of the game before."""
+    rows = wide_dataset(spark, sf_dir).select("season", (F.col("next_spend") / 100).alias("y"), (F.col("spend") / 100).alias("last"))
+    train, test = rows.where("season <= 1998"), rows.where("season > 1998")
+    known = train.agg(F.avg("y").alias("mean"), F.count("*").alias("n_train"))
+    test = test.withColumn("mean", known.select("mean").scalar())
+    found = [evaluate(test, "y", p).select(F.lit(p).alias("model"), "*") for p in ("mean", "last")]
+    both = found[0].union(found[1]).withColumn("n_train", known.select("n_train").scalar())
+    return both.select("model", "n_train", "n_rows", F.round("mae", 4).alias("mae"), F.round("rmse", 4).alias("rmse"), F.round("r2", 6).alias("r2"), F.round("mape", 4).alias("mape"))
+
+
 @query("""
 SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS n_events, CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS value FROM events GROUP BY ALL
 """)

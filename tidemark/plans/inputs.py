@@ -13,7 +13,7 @@ from tidemark.functions.teams import TEAMS
 from tidemark.operators import joins as J
 from tidemark.plans.registry import query
 from tidemark.plans.totals import table
-from tidemark.sources import config, scan, sinks
+from tidemark.sources import config, html, scan, sinks
 from tidemark.streaming.incremental import shared_dir
 
 
@@ -193,3 +193,37 @@ def described_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tables of a catalog with their columns and types."""
     names = ("customer", "nation", "part", "region", "supplier")
     return config.described(scan.Catalog(spark, sf_dir, {n: f"{n}.parquet" for n in names}))
+
+
+@query("""
+WITH p AS (SELECT page_id AS game, CAST(page_id % 18 + 1 AS INTEGER) AS week, CAST(2020 + page_id % 5 AS INTEGER) AS year FROM pages)
+SELECT game, week, year, 'snaps' AS kind, x - 1 AS "row", c AS at, CASE c WHEN 0 THEN NULL ELSE 'Off.' END AS "group", ['Player', 'Num', 'Pct'][c + 1] AS name, CASE c WHEN 0 THEN 'P' || x WHEN 1 THEN CAST(x * 10 AS VARCHAR) ELSE CAST(game % 100 AS VARCHAR) || '%' END AS value
+FROM p, (SELECT CAST(unnest(range(1, 4)) AS INTEGER) AS x) AS r, (SELECT CAST(unnest(range(0, 3)) AS INTEGER) AS c) AS s
+UNION ALL SELECT game, week, year, 'drives', x - 1, c, NULL, ['#', 'Result'][c + 1], CASE c WHEN 0 THEN CAST(x AS VARCHAR) ELSE 'Punt' END FROM p, (SELECT CAST(unnest(range(1, 3)) AS INTEGER) AS x) AS r, (SELECT CAST(unnest(range(0, 2)) AS INTEGER) AS c) AS s
+""")
+def game_page_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snap counts and drives of every game's page, with its week, year and game."""
+    key = F.col("page_id")
+    snaps = F.transform(F.sequence(F.lit(1), F.lit(3)), lambda x: F.concat(F.lit("<tr><th>P"), x, F.lit("</th><td>"), x * 10, F.lit("</td><td>"), key % 100, F.lit("%</td></tr>")))
+    drives = F.transform(F.sequence(F.lit(1), F.lit(2)), lambda x: F.concat(F.lit("<tr><td>"), x, F.lit("</td><td>Punt</td></tr>")))
+    page = F.concat(
+        F.lit("<div><table id='home_snap_counts'><tr><th rowspan=2>Player</th><th colspan=2>Off.</th></tr><tr><th>Num</th><th>Pct</th></tr>"), F.array_join(snaps, ""),
+        F.lit("</table><p>x</p><table id='home_drives'><tr><th>#</th><th>Result</th></tr>"), F.array_join(drives, ""), F.lit("</table></div>"), F.coalesce("html", F.lit("")),
+    )
+    pages = table(spark, sf_dir, "pages").select(key.alias("game"), (key % 18 + 1).cast("int").alias("week"), (key % 5 + 2020).cast("int").alias("year"), page.alias("html"))
+    return html.page_tables(pages, "html", {"snaps": "home_snap_counts", "drives": "home_drives"}, ["game", "week", "year"])
+
+
+@query("""
+SELECT page_id AS game_id, '2024-01-0' || (page_id % 9 + 1) || 'T' || lpad(CAST(h AS VARCHAR), 2, '0') || ':00' AS time, CASE WHEN h % 5 > 0 THEN (page_id % 40 - h) / 2.0::DOUBLE END AS temperature_2m, CASE WHEN h < 20 THEN h * 1.5::DOUBLE END AS rain
+FROM pages, range(0, 24) AS r(h) WHERE page_id % 7 > 0
+""")
+def weather_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hourly series of a service's answers as rows; one series is shorter, some values and some answers are missing."""
+    key, hours = F.col("page_id"), F.sequence(F.lit(0), F.lit(23))
+    time = F.transform(hours, lambda h: F.concat(F.lit("2024-01-0"), key % 9 + 1, F.lit("T"), F.lpad(h.cast("string"), 2, "0"), F.lit(":00")))
+    warm = F.transform(hours, lambda h: F.when(h % 5 > 0, (key % 40 - h) / 2))
+    rain = F.transform(F.sequence(F.lit(0), F.lit(19)), lambda h: h * 1.5)
+    answer = F.to_json(F.struct(F.lit(40.7).alias("latitude"), F.struct(time.alias("time"), warm.alias("temperature_2m"), rain.alias("rain")).alias("hourly")))
+    answers = table(spark, sf_dir, "pages").select(key.alias("game_id"), F.when(key % 7 == 0, F.lit('{"error": true}')).otherwise(answer).alias("answer"))
+    return scan.column_arrays(answers, "answer", "$.hourly", {"time": "string", "temperature_2m": "double", "rain": "double"})

@@ -100,3 +100,19 @@ def by_group(found: DataFrame, key: str) -> DataFrame:
     """
     first = found.groupBy(key, "table", "row", "group", "name").agg(F.min_by("value", "at").alias("value")).where("name IS NOT NULL")
     return first.groupBy(key, "table", "row", "group").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", "value")))).alias("values"))
+
+
+def page_tables(pages: DataFrame, html: str, wanted: dict[str, str], tags: list[str]) -> DataFrame:
+    """Cells of several tables of each page, by the pattern of their opening tags: name -> pattern, with the page's ``tags``.
+
+    ``tags`` are columns of ``pages``, such as week, year and game, that every cell of a page carries.
+    """
+    found = []
+    for name, pattern in wanted.items():
+        keyed = pages.select(F.struct(*tags).alias("_tags"), html)
+        cells = spanned_cells(keyed, "_tags", html, pattern)
+        found.append(cells.select("_tags.*", F.lit(name).alias("kind"), "row", "at", "group", "name", "value"))
+    out = found[0]
+    for more in found[1:]:
+        out = out.union(more)
+    return out

@@ -161,6 +161,18 @@ def scan_json(spark: SparkSession, path: str, schema: str | None = None) -> Data
     return reader.schema(schema).json(path) if schema else reader.json(path)
 
 
+def column_arrays(df: DataFrame, json: str, path: str, columns: Mapping[str, str]) -> DataFrame:
+    """``df`` without the text ``json`` and with a row for each place of the arrays at ``path`` in it: column -> type.
+
+    This is how services send series: one object whose fields are arrays of equal length. Shorter arrays
+    end in nulls; where the object is absent or no JSON there are no rows.
+    """
+    fields = ", ".join(f"`{c}`: array<{kind}>" for c, kind in columns.items())
+    found = F.from_json(F.get_json_object(F.col(json), path), f"struct<{fields}>")
+    rest = [c for c in df.columns if c != json]
+    return df.select(*rest, found.alias("_s")).select(*rest, F.inline(F.arrays_zip(*[F.col(f"_s.`{c}`").alias(c) for c in columns]))).toDF(*rest, *columns)
+
+
 def hourly(df: DataFrame, start: str, end: str, name: str = "hour") -> DataFrame:
     """A row for each full hour between two timestamps."""
     return df.withColumn(name, F.explode(F.sequence(F.date_trunc("hour", F.col(start)), F.col(end), F.expr("INTERVAL 1 HOUR"))))

@@ -8,11 +8,14 @@ and its results are used again by the next. Nothing is kept on the driver but th
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from typing import TYPE_CHECKING
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 _ENTRY = "fingerprint long, outcome string, attempt int, batch int, error string"
 
 
@@ -79,6 +82,8 @@ def process(
     kinds = f"{schema}, _error string, " + ", ".join(f"`_u_{c}` {work.schema[c].dataType.simpleString()}" for c in unit) + ", _fingerprint long, _attempt int"
 
     def guarded(rows: pd.DataFrame) -> pd.DataFrame:
+        import pandas as pd
+
         own = {f"_u_{c}": rows[f"_u_{c}"].iloc[0] for c in unit} | {"_fingerprint": rows["_fingerprint"].iloc[0], "_attempt": rows["_attempt"].iloc[0]}
         mark = pd.DataFrame([[None] * len(names)], columns=names).assign(_error="", **own)  # an entry even if there are no results
         try:

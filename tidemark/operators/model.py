@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import TYPE_CHECKING
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.metrics import regression_metrics
 from tidemark.functions.scalar import SENTINEL
 
+if TYPE_CHECKING:  # loaded where a model is fitted or read: it takes memory that other queries' drivers need
+    from pyspark.ml import PipelineModel
+
 #: Fixed values of the baseline.
 TREES, DEPTH, MIN_LEAF, SEED = 200, 15, 2, 42
 
@@ -52,5 +55,7 @@ def save_model(model: PipelineModel, folder: str, features: Sequence[str], targe
 
 def load_model(spark: SparkSession, folder: str) -> tuple[PipelineModel, dict[str, str]]:
     """A saved model and its record; AnalysisException if the folder has no record, as it is not whole."""
+    from pyspark.ml import PipelineModel
+
     record = {r["name"]: r["value"] for r in spark.read.parquet(f"{folder}/record").collect()}
     return PipelineModel.load(f"{folder}/model"), record

@@ -13,7 +13,7 @@ from tidemark.functions.teams import TEAMS
 from tidemark.operators import joins as J
 from tidemark.plans.registry import query
 from tidemark.plans.totals import table
-from tidemark.sources import config, html, scan, sinks
+from tidemark.sources import config, html, salvage, scan, sinks
 from tidemark.streaming.incremental import shared_dir
 
 
@@ -227,3 +227,20 @@ def weather_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     answer = F.to_json(F.struct(F.lit(40.7).alias("latitude"), F.struct(time.alias("time"), warm.alias("temperature_2m"), rain.alias("rain")).alias("hourly")))
     answers = table(spark, sf_dir, "pages").select(key.alias("game_id"), F.when(key % 7 == 0, F.lit('{"error": true}')).otherwise(answer).alias("answer"))
     return scan.column_arrays(answers, "answer", "$.hourly", {"time": "string", "temperature_2m": "double", "rain": "double"})
+
+
+@query("SELECT count(*) AS n_rows, 1 AS n_groups_lost, 1 AS n_files_lost, true AS some_lost FROM orders")
+def salvaged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table whose first file has one damaged row group: the rows that are read and those counted as lost add up; a file that is none is reported."""
+    folder = _folder(spark, "damaged")
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    rows.repartition(3, "o_orderkey").write.option("parquet.block.size", "16384").option("parquet.page.row.count.limit", "500").option("parquet.enable.dictionary", "false").parquet(folder)
+    files = salvage.binary_files(spark, folder)
+    first = files.agg(F.min("path")).scalar()
+    broken = F.concat(F.substring("content", 1, 200), F.unhex(F.lit("FFFFFFFF")), F.expr("substring(content, 205)"))  # within the first row group
+    files = files.withColumn("_first", first).select("path", F.when(F.col("path") == F.col("_first"), broken).otherwise(F.col("content")).alias("content"))
+    none = spark.range(1).select(F.lit("none").alias("path"), F.lit("no file").cast("binary").alias("content"))
+    good, lost = salvage.salvage(files.union(none), "o_orderkey long, o_totalprice double")
+    counts = lost.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("lost"), F.count("group").cast("int").alias("n_groups_lost"), F.count_if(F.col("group").isNull()).cast("int").alias("n_files_lost"))
+    right = good.join(rows, ["o_orderkey", "o_totalprice"], "left_semi").agg(F.count("*")).scalar()  # what is read is as it was
+    return counts.select((right + F.col("lost")).alias("n_rows"), "n_groups_lost", "n_files_lost", (F.col("lost") > 0).alias("some_lost"))

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from typing import TYPE_CHECKING
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +17,9 @@ from tidemark.sources import html as H
 from tidemark.streaming.incremental import shared_dir
 from tidemark.streaming.keyed import keyed_totals
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 #: A table whose header has a column over two rows and two groups, whose spans are those of the page: p and r columns.
 _TABLE = """concat(html, '<TABLE class=x id="stats"><thead><tr class="over_header"><th rowspan="2">Player</th><th colspan="', p, '">Passing</th><th colspan=', r, '>Rush<i>ing</i></th></tr><tr>',
 array_join(transform(sequence(1, p), x -> concat('<th scope="col">Yds', x, '</th>')), ''), array_join(transform(sequence(1, r), x -> concat('<th>\\n Att', x, ' </th>')), ''), '</tr></thead>',
@@ -130,6 +133,8 @@ def retried_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_quantity")
 
     def total(rows: pd.DataFrame) -> pd.DataFrame:
+        import pandas as pd
+
         key = int(rows["l_suppkey"].iloc[0])
         if key % 5 == 0:
             raise ValueError(f"no page for {key}")

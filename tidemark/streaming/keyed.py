@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from typing import TYPE_CHECKING
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 #: The store that keeps state on disk; this kind of operator needs it.
 _STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _STORE_CONF = "spark.sql.streaming.stateStore.providerClass"
@@ -26,6 +29,8 @@ class _Totals(StatefulProcessor):
         self.totals = handle.getValueState("totals", "n long, total long, closed boolean")
 
     def _result(self, key: tuple, n: int, total: int, closed: bool) -> pd.DataFrame:
+        import pandas as pd
+
         return pd.DataFrame([[*key, n, total, closed]], columns=[*self.keys, "n", "total", "closed"])
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
@@ -37,6 +42,8 @@ class _Totals(StatefulProcessor):
         if self.entries.exists():
             known = {i: (v, a) for i, v, a in zip(*self.entries.get(), strict=True)}
         else:
+            import pandas as pd
+
             self.handle.registerTimer(int(pd.Timestamp(key[-1]).value // 10**6) + self.day_ms)
         for part in rows:
             for i, version, amount in zip(part["id"].tolist(), part["version"].tolist(), part["amount"].tolist(), strict=True):

@@ -196,3 +196,29 @@ def test_a_configuration_is_checked(spark, tmp_path):
     for more, what in (({"spin": 1}, "spin"), ({"spine": "b"}, "not listed"), ({"sources": [{"table": "a", "keys": {}, "feature": []}]}, "feature")):
         with pytest.raises(ValueError, match=what):
             C.Dataset.of(base | more)
+
+
+def test_row_groups_that_are_damaged_are_counted_and_the_rest_is_read(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from tidemark.sources import salvage
+
+    def file(values, **more):
+        sink = pa.BufferOutputStream()
+        pq.write_table(pa.table({"a": pa.array(values, pa.int32()), **more}), sink, row_group_size=10, write_page_checksum=True, use_dictionary=False, compression="none")
+        return sink.getvalue().to_pybytes()
+
+    whole, other = file(list(range(25)), b=[str(i) for i in range(25)]), file([100])
+    column = pq.ParquetFile(pa.BufferReader(whole)).metadata.row_group(1).column(0)
+    at = column.data_page_offset + column.total_compressed_size - 4  # in the values, behind the page's header
+    broken = whole[:at] + bytes([whole[at] ^ 255]) + whole[at + 1 :]
+    files = [("x", broken), ("y", other), ("z", whole[:-3]), ("e", b"")]
+    rows, lost = salvage.salvage(spark.createDataFrame(files, "path string, content binary").repartition(3), "a long, b string")
+    assert sorted(tuple(r) for r in rows.collect()) == [(i, str(i)) for i in [*range(10), *range(20, 25)]] + [(100, None)]
+    assert sorted((r.path, r.group, r.n_rows) for r in lost.collect() if r.path == "x") == [("x", 1, 10)]
+    assert {r.path for r in lost.where("group IS NULL").collect()} == {"z", "e"}
+    rows, lost = salvage.salvage(spark.createDataFrame([("x", whole)], "path string, content binary"), "b int, c date")
+    assert rows.count() == 25 and lost.count() == 0
+    rows, lost = salvage.salvage(spark.createDataFrame([("x", file([1], b=["no number"]))], "path string, content binary"), "b int")
+    assert rows.count() == 0 and lost.first().n_rows == 1

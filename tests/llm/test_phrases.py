@@ -66,14 +66,41 @@ def test_collocations_equal_brute_force(spark, seed, how):
     assert found(spark, docs, **how) == brute(docs, **how)
 
 
-def test_few_cells_and_many_portions_change_nothing(spark, monkeypatch):
-    """With next to no pruning and a scan for each few patterns the result is the same."""
+def test_few_cells_and_many_shards_change_nothing(spark, monkeypatch):
+    """With next to no pruning and a shard for each few stretches the result is the same."""
     docs = some_docs(5, 40)
     monkeypatch.setattr(phrases, "MIN_CELLS", 1 << 16)
-    monkeypatch.setattr(phrases, "PATTERN_BYTES", 4000)
+    monkeypatch.setattr(phrases, "SHARD_BYTES", 400)
     assert found(spark, docs, least=8) == brute(docs, least=8)
 
 
+def test_portions_and_held_counts(monkeypatch):
+    """The maps by themselves: stretches sent early and portions of a few bytes add up to the same counts."""
+    docs = [(x or "und", (t or "").encode()) for x, t in some_docs(6, 60)]
+    batch = pa.RecordBatch.from_arrays([pa.array([x for x, _ in docs]), pa.array([t for _, t in docs], pa.binary()), pa.array([1] * len(docs))], ["lang", "text", "n"])
+    every = np.full((1 << 16) // 8, 255, np.uint8)
+    results = []
+    for small in (False, True):
+        if small:
+            for name, size in (("SLICE", 50), ("HELD", 3), ("PORTION", 100)):
+                monkeypatch.setattr(phrases, name, size)
+        sent = sorted((r for b in phrases._stretches([batch], 16, every, 3) for r in b.to_pylist()), key=lambda r: (r["shard"], r["lang"]))
+        found = [r for b in phrases._merged([pa.RecordBatch.from_pylist(sent[:7]), pa.RecordBatch.from_pylist(sent[7:])]) for r in b.to_pylist() if r["text"]]
+        assert len({(r["lang"], r["text"]) for r in found}) == len(found)
+        shards = [sorted((r for r in found if len(r["text"]) % 3 == i), key=lambda r: r["lang"]) for i in range(3)]
+        counts = collections.Counter()
+        for shard in shards:
+            for out in phrases._scan([pa.RecordBatch.from_pylist(shard)], 16, every, every):
+                for r in out.to_pylist():
+                    counts[r["lang"], r["text"].decode()] += r["n"]
+        results.append(counts)
+    expected = collections.Counter()
+    for lang, text in docs:
+        for words in pieces(text.decode()):
+            expected.update((lang, " ".join(words[i : i + k])) for k in range(1, 6) for i in range(len(words) - k + 1))
+    assert results[0] == results[1] == expected
+
+
 def test_no_rows(spark):
     assert found(spark, []) == []
 
@@ -99,9 +126,9 @@ def test_words_of_stretches_are_those_of_the_pieces(monkeypatch, size):
     monkeypatch.setattr(phrases, "SLICE", size)
     docs = some_docs(7, 30)
     texts = [(t or "").encode() for _, t in docs]
-    batch = pa.RecordBatch.from_arrays([pa.array([x or "und" for x, _ in docs]), pa.array(texts, pa.binary())], ["lang", "text"])
+    batch = pa.RecordBatch.from_arrays([pa.array([x or "und" for x, _ in docs]), pa.array(texts, pa.binary()), pa.array([1] * len(docs))], ["lang", "text", "n"])
     got, by_hash = [], {}
-    for words, _, _ in phrases._stretches([batch.slice(0, 11), batch.slice(11), batch.slice(0, 0)]):
+    for words, _, _ in phrases._slices([batch.slice(0, 11), batch.slice(11), batch.slice(0, 0)]):
         last = None
         for i in range(len(words.start)):
             word = words.phrase(i, 1).decode()
@@ -122,12 +149,21 @@ def test_a_guarded_text_keeps_words_and_pieces():
 
 def test_a_sketch_never_counts_too_low(spark):
     docs = some_docs(9)
-    texts = spark.createDataFrame([(x or "und", (t or "").encode()) for x, t in docs], "lang string, text binary").repartition(3)
+    texts = spark.createDataFrame([(x or "und", (t or "").encode(), 1) for x, t in docs], "lang string, text binary, n long").repartition(3)
     counts = collections.Counter()
-    for batch in [pa.RecordBatch.from_arrays([pa.array([x or "und" for x, _ in docs]), pa.array([(t or "").encode() for _, t in docs], pa.binary())], ["lang", "text"])]:
-        for words, languages, _ in phrases._stretches([batch]):
+    for batch in [pa.RecordBatch.from_arrays([pa.array([x or "und" for x, _ in docs]), pa.array([(t or "").encode() for _, t in docs], pa.binary()), pa.array([1] * len(docs))], ["lang", "text", "n"])]:
+        for words, languages, _ in phrases._slices([batch]):
             counts.update(words.phrases(languages)[1][words.within(2)].tolist())
     sketch = phrases.sketch(texts, 16, 20)
     met = {x: bool(phrases._met(sketch, phrases._cells(np.array([x], np.uint64), 16))[0]) for x in counts}
     assert all(met[x] for x, n in counts.items() if n >= 20)
     assert sum(met.values()) < len(met)
+
+
+def test_equal_hashes_of_different_stretches_are_told_apart(monkeypatch):
+    """If the first hash does not tell stretches apart, each is counted by itself."""
+    real = phrases._spans
+    monkeypatch.setattr(phrases, "_spans", lambda v, a, b, base=0: real(v, a, b, base) * np.uint64(base))
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"]), pa.array([b"a b. c. a b"], pa.binary()), pa.array([1])], ["lang", "text", "n"])
+    got = {r["text"]: r["n"] for b in phrases._merged(phrases._stretches([batch], 16, np.full((1 << 16) // 8, 255, np.uint8), 1)) for r in b.to_pylist()}
+    assert got == {b"": 5, b"a b": 2, b"c": 1}

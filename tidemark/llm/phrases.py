@@ -1,27 +1,31 @@
 """Phrase collocations: exact counts of all frequent phrases of up to five words, and how much their parts belong together.
 
-Counting every phrase of a corpus would shuffle several times its size. Instead a sketch says which
-phrases may be frequent: each is hashed to one of many cells, and a cell's count is an upper bound for
-each phrase in it. Pairs of words are sketched first; longer phrases are sketched only where all their
-pairs may be frequent, and become candidates only where all phrases within them may be. What remains,
-with the single words in it, is compiled into Aho-Corasick automata, one for each language and portion
-of at most ``PATTERN_BYTES``. Patterns and texts are guarded: a blank on either side of each word and a
-line end between pieces, so a match is whole words of one piece. Each task scans its share of the
-texts, counts all matches, overlapping ones too, and returns one count for each pattern met; their
-sums are exact, and thresholds are applied to nothing else.
-
-All passes over the texts are maps. Sketches are summed by parts of ``PART`` cells; a task sends no more
-of them than it has met. A finished sketch is one bit a cell, at most ``MAX_CELLS`` bits. Where a
-corpus is so large that this many cells no longer tell frequent phrases from others (some 2 ** 35
-words), more phrases become candidates and more portions are scanned; the result is the same.
+Counting every phrase of a corpus would shuffle several times its size. Instead sketches say which
+phrases may be frequent: each phrase is hashed to one of many cells, and a cell's count is an upper
+bound for each phrase in it.
+
+* Words and pairs of words are sketched over the texts. A text is then cut into stretches: words whose
+  neighbours in the piece form pairs that may be frequent stay together. No frequent phrase crosses a
+  cut, words and pairs that are rare are dropped, and equal stretches are one row with a count: tasks
+  count what they meet and send it packed by shard, and shards merge.
+* Longer phrases are sketched over the stretches. A candidate is a phrase that may be frequent, and so
+  may all phrases within it.
+* Each shard compiles the candidates that it meets, and single words, into Aho-Corasick automata, a
+  bounded portion of stretches at a time, and scans them. Patterns and stretches are guarded: a blank on
+  either side of each word and a line end after each stretch, so a match is whole words of one piece. All
+  matches count, overlapping ones too.
+
+The shards' counts are summed; they are exact, and thresholds are applied to nothing else. The texts are
+read three times, by maps. A task sends no more of a sketch than it has met, and a finished sketch is
+one bit a cell, at most ``MAX_CELLS`` bits. Where a corpus is so large that so many cells no longer tell
+frequent phrases from others (some 2 ** 35 words), stretches get longer and candidates more; the result
+is the same.
 """
 
 from __future__ import annotations
 
-import math
-import uuid
-from collections.abc import Iterator, Sequence
-from operator import itemgetter
+import zlib
+from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
@@ -34,13 +38,13 @@ from tidemark.llm.common import bound_batches, cut, table
 
 LEAST, LONGEST, TOP = 100, 5, 2000
 #: Bytes of text for a cell of a sketch, and bounds of the cells.
-BYTES_A_CELL, MIN_CELLS, MAX_CELLS = 32, 1 << 16, 1 << 29
+BYTES_A_CELL, MIN_CELLS, MAX_CELLS = 8, 1 << 16, 1 << 29
 #: Cells of a sketch that are summed together.
 PART = 1 << 16
-#: Bytes of the patterns that are compiled at a time.
-PATTERN_BYTES = 2 << 20
-#: Bytes of text that are hashed at a time, occurrences that are counted at a time, and phrases that a task remembers to have sent.
-SLICE, PENDING, REMEMBERED = 1 << 20, 1 << 22, 1 << 20
+#: Bytes of texts for a shard of stretches, shards at least, and bytes that are scanned with one automaton.
+SHARD_BYTES, LEAST_SHARDS, PORTION = 32 << 20, 16, 1 << 19
+#: Bytes of text that are hashed at a time, occurrences that are counted at a time, and stretches that a task counts before it sends them.
+SLICE, PENDING, HELD = 1 << 19, 1 << 20, 1 << 18
 #: What parts pieces, and what parts words.
 DELIMITERS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 
@@ -49,21 +53,29 @@ _CLASS[list(BLANKS)], _CLASS[list(DELIMITERS)] = 1, 2
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _GUARDED = bytes(10 if _CLASS[b] == 2 else 32 if _CLASS[b] == 1 else int(_LOWER[b]) for b in range(256))
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
+#: Odd bases of the rolling hashes: the first tells words apart, the second confirms it.
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
 class _Powers:
-    """Powers of the rolling hash's base and of its inverse, as many as were asked for."""
+    """Powers of the rolling hashes' bases and of their inverses, as many as were asked for."""
 
-    up = down = np.ones(1, np.uint64)
+    known: list[tuple[np.ndarray, np.ndarray]] = [(np.ones(1, np.uint64), np.ones(1, np.uint64))] * len(_BASES)
 
     @classmethod
-    def upto(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(cls.up) < n:
-            size = 2 * max(n, SLICE)
-            cls.up, cls.down = (np.cumprod(np.r_[np.uint64(1), np.full(size, b, np.uint64)], dtype=np.uint64) for b in (_BASE, _INVERSE))
-        return cls.up, cls.down
+    def upto(cls, n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(cls.known[0][0]) < n:
+            size = max(n + n // 4, SLICE + 1)
+            power = lambda b: np.cumprod(np.r_[np.uint64(1), np.full(size, b, np.uint64)], dtype=np.uint64)
+            cls.known = [(power(b), power(pow(b, -1, 1 << 64))) for b in _BASES]
+        return cls.known[base]
+
+
+def _spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = 0) -> np.ndarray:
+    """Hashes of the sequences of ``values`` from each start to its end."""
+    up, down = _Powers.upto(len(values) + 1, base)
+    sums = np.r_[np.uint64(0), np.cumsum(values * up[: len(values)], dtype=np.uint64)]
+    return _mixed((sums[ends] - sums[starts]) * down[starts])
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -86,15 +98,16 @@ class _Words:
         self.piece = np.cumsum((kind == 2) | begins[:-1])[self.start]
         self.text = np.searchsorted(texts, self.start, "right") - 1
         self.lower = _LOWER[data]
-        up, down = _Powers.upto(len(data) + 1)
-        sums = np.r_[np.uint64(0), np.cumsum((self.lower.astype(np.uint64) + np.uint64(1)) * up[: len(data)], dtype=np.uint64)]
-        self.hash = _mixed((sums[self.end] - sums[self.start]) * down[self.start])
+        self.hash = self.hashed(0)
+
+    def hashed(self, base: int) -> np.ndarray:
+        return _spans(self.lower.astype(np.uint64) + np.uint64(1), self.start, self.end, base)
 
     def phrases(self, languages: np.ndarray) -> list[np.ndarray]:
         """Hashes of the phrases of 1 to ``LONGEST`` words that begin at each word, with their language."""
         found = [_mixed(self.hash ^ languages[self.text])]
         for k in range(1, LONGEST):
-            found.append(_mixed(found[-1][: max(0, len(self.hash) - k)] * np.uint64(_BASE) + self.hash[k:]))
+            found.append(_mixed(found[-1][: max(0, len(self.hash) - k)] * np.uint64(_BASES[0]) + self.hash[k:]))
         return found
 
     def within(self, k: int) -> np.ndarray:
@@ -105,10 +118,10 @@ class _Words:
         return b" ".join(self.lower[self.start[j] : self.end[j]].tobytes() for j in range(i, i + k))
 
 
-def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[_Words, np.ndarray, list[str]]]:
-    """Batches of (lang, text as binary) -> words of about ``SLICE`` bytes at a time, the languages' hashes and names by text.
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[_Words, np.ndarray, pa.RecordBatch]]:
+    """Batches of (lang, text as binary, ...) -> words of about ``SLICE`` bytes at a time, their texts' languages as hashes, and their rows.
 
-    A stretch ends where a text or a piece does.
+    A slice ends where a text or a piece does.
     """
     hashes: dict[str, int] = {}
     for batch in batches:
@@ -130,7 +143,7 @@ def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[_Words, np.n
                     break
                 size *= 2
             first, stop = np.searchsorted(starts, at, "right") - 1, np.searchsorted(starts, end, "left")
-            yield _Words(data[at:end], np.maximum(starts[first:stop] - at, 0)), keys[first:stop], names[first:stop]
+            yield _Words(data[at:end], np.maximum(starts[first:stop] - at, 0)), keys[first:stop], batch.slice(first, stop - first)
             at = end
 
 
@@ -142,11 +155,14 @@ def _met(sketch: np.ndarray, cells: np.ndarray) -> np.ndarray:
     return (sketch[cells >> 3] >> (cells & 7).astype(np.uint8)) & 1 > 0
 
 
+def _linked(words: _Words, hashes: list[np.ndarray], pairs: np.ndarray, bits: int) -> np.ndarray:
+    """Whether each word and the next are a pair that may be frequent."""
+    return words.within(2) & _met(pairs, _cells(hashes[1], bits))
+
+
 def _possible(words: _Words, hashes: list[np.ndarray], pairs: np.ndarray, longer: np.ndarray | None, bits: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(k, the words where a phrase of k words may be frequent): by its pairs, and with ``longer`` by all phrases within it."""
-    may = words.within(2) & _met(pairs, _cells(hashes[1], bits))
-    if longer is not None:
-        yield 2, np.flatnonzero(may)
+    """(k, the words where a phrase of k > 2 words may be frequent): by its pairs, and with ``longer`` by all phrases within it."""
+    may = _linked(words, hashes, pairs, bits)
     for k in range(3, LONGEST + 1):
         may = may[:-1] & may[1:]  # both phrases of one word less; a piece that holds both holds this one
         if longer is not None:
@@ -159,15 +175,22 @@ _SKETCH = ["part", "cells", "counts"]
 
 
 def _sketch(batches: Iterator[pa.RecordBatch], bits: int, least: int, pairs: np.ndarray | None) -> Iterator[pa.RecordBatch]:
-    """Texts -> (part, cells, counts): the counts of phrases by cell, none above ``least``; of pairs, or with ``pairs`` of longer phrases."""
+    """(lang, text, n) -> (part, cells, counts): the counts of phrases by cell, none above ``least``.
+
+    Of words and pairs, or with ``pairs`` of longer phrases; each counts n times.
+    """
     kind = np.uint8 if least < 256 else np.uint32
-    waiting: list[np.ndarray] = []
+    waiting: list[tuple[np.ndarray, np.ndarray]] = []
 
     def flush() -> Iterator[pa.RecordBatch]:
-        cells, counts = np.unique(np.concatenate(waiting), return_counts=True)
+        every, weights = (np.concatenate(x) for x in zip(*waiting, strict=True))
         waiting.clear()
-        if not len(cells):
+        if not len(every):
             return
+        order = np.argsort(every)
+        every = every[order]
+        heads = np.flatnonzero(np.r_[True, every[1:] != every[:-1]])
+        cells, counts = every[heads], np.add.reduceat(weights[order], heads)
         part = cells // PART
         starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
         rows = list(zip(starts.tolist(), [*starts[1:].tolist(), len(cells)], strict=True))
@@ -178,13 +201,14 @@ def _sketch(batches: Iterator[pa.RecordBatch], bits: int, least: int, pairs: np.
             columns += [pa.array([x[a:b].tobytes() for a, b in some], pa.binary()) for x in (small, capped)]
             yield pa.RecordBatch.from_arrays(columns, _SKETCH)
 
-    for words, languages, _ in _stretches(batches):
-        hashes = words.phrases(languages)
+    for words, languages, rows in _slices(batches):
+        hashes, weight = words.phrases(languages), np.minimum(rows.column(2).to_numpy(), least)[words.text]
         if pairs is None:
-            waiting.append(_cells(hashes[1][words.within(2)], bits))
+            two = np.flatnonzero(words.within(2))
+            waiting += [(_cells(hashes[0], bits), weight), (_cells(hashes[1][two], bits), weight[two])]
         else:
-            waiting += [_cells(hashes[k - 1][at], bits) for k, at in _possible(words, hashes, pairs, None, bits)]
-        if sum(map(len, waiting)) > PENDING:
+            waiting += [(_cells(hashes[k - 1][at], bits), weight[at]) for k, at in _possible(words, hashes, pairs, None, bits)]
+        if sum(len(x) for x, _ in waiting) > PENDING:
             yield from flush()
     if waiting:
         yield from flush()
@@ -212,8 +236,9 @@ def _bits(part: int, heavy: np.ndarray) -> pa.RecordBatch:
 def sketch(texts: DataFrame, bits: int, least: int, pairs: np.ndarray | None = None) -> np.ndarray:
     """One bit for each of 2 ** ``bits`` cells: whether the phrases hashed to it occur ``least`` times or more, together.
 
-    ``texts`` has lang and text (binary). Without ``pairs`` the phrases are pairs of words, with it those
-    of three words or more whose pairs are all in it. The result is at most ``MAX_CELLS`` bits.
+    ``texts`` has lang, text (binary) and n, how often the text counts. Without ``pairs`` the phrases are
+    words and pairs of words, with it those of three words or more whose pairs are all in it. The result
+    is at most ``MAX_CELLS`` bits.
     """
     known = None if pairs is None else texts.sparkSession.sparkContext.broadcast(pairs)
     met = texts.mapInArrow(lambda b: _sketch(b, bits, least, known and known.value), "part int, cells binary, counts binary")
@@ -224,22 +249,80 @@ def sketch(texts: DataFrame, bits: int, least: int, pairs: np.ndarray | None = N
     return out
 
 
-def _candidates(batches: Iterator[pa.RecordBatch], bits: int, pairs: np.ndarray, longer: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Texts -> (lang, phrase) of the phrases that may be frequent, each once or a few times a task."""
-    sent: set[int] = set()
-    for words, languages, names in _stretches(batches):
+class _Held:
+    """Counts of texts by language until they are sent."""
+
+    def __init__(self) -> None:
+        self.counts: dict[str, dict[bytes, int]] = {}
+
+    def add(self, lang: str, text: bytes, n: int) -> None:
+        own = self.counts.setdefault(lang, {})
+        own[text] = own.get(text, 0) + n
+
+    def batches(self, least: int = 0) -> Iterator[pa.RecordBatch]:
+        """All that is held, if there are more than ``least`` texts."""
+        if sum(map(len, self.counts.values())) > least:
+            while self.counts:
+                lang, own = self.counts.popitem()
+                columns = [pa.array([lang] * len(own), pa.string()), pa.array(own.keys(), pa.binary()), pa.array(own.values(), pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["lang", "text", "n"])
+
+    def packed(self, shards: int, least: int = 0) -> Iterator[pa.RecordBatch]:
+        """The same as one row for each language and shard: (shard, lang, texts, counts). No text has a line end."""
+        for batch in self.batches(least):
+            lang, texts, counts = batch.column(0)[0].as_py(), batch.column(1).to_pylist(), batch.column(2).to_numpy()
+            shard = np.fromiter((zlib.crc32(t) % shards for t in texts), np.int32, len(texts))
+            order = np.argsort(shard, kind="stable")
+            cuts = np.flatnonzero(np.diff(shard[order])) + 1
+            parts = np.split(order, cuts)
+            columns = [
+                pa.array([int(shard[p[0]]) for p in parts], pa.int32()), pa.array([lang] * len(parts), pa.string()),
+                pa.array([b"\n".join([texts[i] for i in p.tolist()]) for p in parts], pa.binary()), pa.array([counts[p].tobytes() for p in parts], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, _PACKED)
+
+
+_PACKED = ["shard", "lang", "texts", "counts"]
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packed rows by shard and language -> (lang, text, n), each text once: a shard holds all that there is of it."""
+    key: tuple[int, str] | None = None
+    held = _Held()
+    for batch in batches:
+        for shard, lang, texts, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if (shard, lang) != key:
+                yield from held.batches()
+                key = shard, lang
+            for text, n in zip(texts.split(b"\n"), np.frombuffer(counts, np.int64).tolist(), strict=True):
+                held.add(lang, text, n)
+    yield from held.batches()
+
+
+def _stretches(batches: Iterator[pa.RecordBatch], bits: int, pairs: np.ndarray, shards: int) -> Iterator[pa.RecordBatch]:
+    """(lang, text, n) -> the stretches of the texts with their counts, packed by shard, and with an empty text the number of words."""
+    held = _Held()
+    for words, languages, rows in _slices(batches):
+        names, n = rows.column(0).to_pylist(), len(words.start)
+        for text, own in zip(*np.unique(words.text, return_counts=True), strict=True):
+            held.add(names[text], b"", int(own))
+        if not n:
+            continue
         hashes = words.phrases(languages)
-        rows: list[tuple[str, str]] = []
-        for k, at in _possible(words, hashes, pairs, longer, bits):
-            known, first = np.unique(hashes[k - 1][at], return_index=True)
-            for x, i in zip(known.tolist(), at[first].tolist(), strict=True):
-                if x not in sent:
-                    sent.add(x)
-                    rows.append((names[words.text[i]], words.phrase(i, k).decode()))
-        if len(sent) > REMEMBERED:
-            sent.clear()
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows, strict=True)], ["lang", "phrase"])
+        linked = _linked(words, hashes, pairs, bits)
+        start = np.flatnonzero(np.r_[True, ~linked])
+        end = np.r_[start[1:], n]
+        keep = (end - start > 1) | _met(pairs, _cells(hashes[0][start], bits))
+        start, end = start[keep], end[keep]
+        language = languages[words.text[start]]
+        mark, sure = (_spans(h, start, end, base) ^ language for base, h in enumerate((words.hash, words.hashed(1))))
+        _, first, own, counts = np.unique(mark, return_index=True, return_inverse=True, return_counts=True)
+        if (sure[first][own] != sure).any():  # two stretches of one hash: each by itself
+            first, counts = np.arange(len(start)), np.ones(len(start), np.int64)
+        for i, k, lang, times in zip(start[first].tolist(), (end - start)[first].tolist(), words.text[start[first]].tolist(), counts.tolist(), strict=True):
+            held.add(names[lang], words.phrase(i, k), times)
+        yield from held.packed(shards, HELD)
+    yield from held.packed(shards)
 
 
 def guarded(text: bytes) -> str:
@@ -250,86 +333,85 @@ def guarded(text: bytes) -> str:
     return out.decode("latin-1")
 
 
-#: The automata that a Python worker has compiled: those of one portion.
-_COMPILED: dict[str, dict[str, ahocorasick.Automaton]] = {}
-
-
-def _compiled(name: str, patterns: dict[str, list[str]], lang: str) -> ahocorasick.Automaton | None:
-    if name not in _COMPILED:
-        _COMPILED.clear()
-        _COMPILED[name] = {}
-    if lang not in _COMPILED[name] and lang in patterns:
-        built = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-        for i, phrase in enumerate(patterns[lang]):
-            built.add_word(f" {phrase.encode().decode('latin-1')} ", i)
-        built.make_automaton()
-        _COMPILED[name][lang] = built
-    return _COMPILED[name].get(lang)
+def _matches(lang: str, stretches: list[bytes], counts: list[int], bits: int, pairs: np.ndarray, longer: np.ndarray) -> Iterator[tuple[bytes, int]]:
+    """(phrase, n) of the candidates, and of the words, of one portion of stretches."""
+    data = np.frombuffer(b"\n".join(stretches), np.uint8)
+    words = _Words(data, np.zeros(1, np.int64))
+    hashes = words.phrases(np.array([xxhash.xxh3_64_intdigest(lang)], np.uint64))
+    patterns: list[bytes] = []
+    for k, at in [(1, np.arange(len(words.start))), (2, np.flatnonzero(_linked(words, hashes, pairs, bits))), *_possible(words, hashes, pairs, longer, bits)]:
+        first = np.unique(hashes[k - 1][at], return_index=True)[1]
+        patterns += [words.phrase(i, k) for i in at[first].tolist()]
+    built = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+    for i, phrase in enumerate(patterns):
+        built.add_word(f" {phrase.decode('latin-1')} ", i)
+    built.make_automaton()
+    text = guarded(data.tobytes())
+    hits = np.fromiter(built.iter(text), [("end", np.int64), ("pattern", np.int64)])
+    ends = np.flatnonzero(np.frombuffer(text.encode("latin-1"), np.uint8) == 10)
+    totals = np.zeros(len(patterns), np.int64)
+    np.add.at(totals, hits["pattern"], np.array(counts, np.int64)[np.searchsorted(ends, hits["end"])])
+    return zip(patterns, totals.tolist(), strict=True)
+
+
+def _scan(batches: Iterator[pa.RecordBatch], bits: int, pairs: np.ndarray, longer: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A shard's stretches (lang, text, n), by language -> (lang, text, n) of the phrases matched, a portion at a time."""
+    current: str | None = None
+    stretches: list[bytes] = []
+    counts: list[int] = []
+    size = 0
+    held = _Held()
+
+    def add() -> None:
+        for phrase, n in _matches(current, stretches, counts, bits, pairs, longer):
+            held.add(current, phrase, n)
+        stretches.clear()
+        counts.clear()
 
-
-def _scan(batches: Iterator[pa.RecordBatch], name: str, patterns: dict[str, list[str]]) -> Iterator[pa.RecordBatch]:
-    """Texts -> (lang, phrase, n): how often each pattern matches, and with an empty phrase the number of words."""
-    counts: dict[str, np.ndarray] = {}
-    words: dict[str, int] = {}
     for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            clean = guarded(text.as_py())
-            words[lang] = words.get(lang, 0) + clean.count(" ") - 1 - clean.count("\n")
-            built = _compiled(name, patterns, lang)
-            if built is None:
-                continue
-            hits = np.fromiter(map(itemgetter(1), built.iter(clean)), np.int64)
-            if len(hits):
-                own = counts.setdefault(lang, np.zeros(len(patterns[lang]), np.int64))
-                own += np.bincount(hits, minlength=len(own))
-    for lang, n in words.items():
-        found = np.flatnonzero(counts[lang]) if lang in counts else np.zeros(0, np.int64)
-        phrases = ["", *(patterns[lang][i] for i in found)]
-        total = [n, *(counts[lang][found].tolist() if len(found) else [])]
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(total), pa.string()), pa.array(phrases, pa.string()), pa.array(total, pa.int64())], ["lang", "phrase", "n"])
-
-
-def counted(texts: DataFrame, patterns: DataFrame) -> DataFrame:
-    """(lang, phrase, n): the exact occurrences of each of ``patterns`` (lang, phrase), and of all words with an empty phrase.
-
-    Patterns are compiled in portions of about ``PATTERN_BYTES``, by hash; each is one scan. One longer
-    than that makes its portion longer by itself.
-    """
-    spark = texts.sparkSession
-    total = patterns.agg(F.sum(F.octet_length("phrase") + 2)).first()[0] or 0
-    portions = max(1, math.ceil(total / PATTERN_BYTES))
-    found = None
-    for n in range(portions):
-        mine = patterns.where(F.pmod(F.xxhash64("lang", "phrase"), F.lit(portions)) == n).toArrow()  # bounded by PATTERN_BYTES
-        known: dict[str, list[str]] = {}
-        for lang, phrase in zip(mine.column(0).to_pylist(), mine.column(1).to_pylist(), strict=True):
-            known.setdefault(lang, []).append(phrase)
-        held, name = spark.sparkContext.broadcast(known), uuid.uuid4().hex
-        met = texts.mapInArrow(lambda b, held=held, name=name: _scan(b, name, held.value), "lang string, phrase string, n long")
-        met = met if not n else met.where("phrase <> ''")
-        part = cut(met.groupBy("lang", "phrase").agg(F.sum("n").alias("n")), "counts")
-        held.unpersist()
-        found = part if found is None else found.union(part)
-    return found
+        for lang, text, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if stretches and (lang != current or size > PORTION):
+                add()
+                size = 0
+            current = lang
+            stretches.append(text)
+            counts.append(n)
+            size += len(text) + 1
+        yield from held.batches(HELD)
+    if stretches:
+        add()
+    yield from held.batches()
 
 
 def frequencies(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """(lang, phrase, n): exact counts of a superset of the phrases that occur ``least`` times, of their words, and of all words (empty phrase).
+    """(lang, phrase, n): exact counts of the phrases and words that occur ``least`` times, of some others, and of all words (empty phrase).
 
     See ``collocations`` for what a phrase is.
     """
     bound_batches(docs.sparkSession)
-    text = F.col("text").cast("string")
-    texts = docs.where(text.isNotNull()).select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), text.cast("binary").alias("text"))
+    context, text = docs.sparkSession.sparkContext, F.col("text").cast("string")
+    lang = F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang")
+    texts = docs.where(text.isNotNull()).select(lang, text.cast("binary").alias("text"), F.lit(1).cast("long").alias("n"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = min(max(size // BYTES_A_CELL, MIN_CELLS), MAX_CELLS).bit_length() - 1
-    pairs = sketch(texts, bits, least)
-    longer = sketch(texts, bits, least, pairs)
-    known = [docs.sparkSession.sparkContext.broadcast(x) for x in (pairs, longer)]
-    may = texts.mapInArrow(lambda b: _candidates(b, bits, known[0].value, known[1].value), "lang string, phrase string").distinct()
-    may = cut(may, "candidates")
-    words = may.select("lang", F.explode(F.split("phrase", " ")).alias("phrase"))
-    return counted(texts, cut(may.union(words).distinct(), "patterns"))
+    shards = max(LEAST_SHARDS, -(-size // SHARD_BYTES))
+    pairs = context.broadcast(sketch(texts, bits, least))
+
+    def stretched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _stretches(batches, bits, pairs.value, shards)
+
+    packed = texts.mapInArrow(stretched, "shard int, lang string, texts binary, counts binary").repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "lang")
+    found = cut(packed.mapInArrow(_merged, "lang string, text binary, n long"), "stretches")
+    stretches = found.where(F.octet_length("text") > 0)
+    longer = context.broadcast(sketch(stretches, bits, least, pairs.value))
+    dealt = stretches.repartition(shards, "lang", "text").sortWithinPartitions("lang")
+
+    def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _scan(batches, bits, pairs.value, longer.value)
+
+    met = dealt.mapInArrow(scanned, "lang string, text binary, n long")
+    met = met.union(found.where(F.octet_length("text") == 0))
+    return cut(met.groupBy("lang", F.col("text").cast("string").alias("phrase")).agg(F.sum("n").alias("n")), "counts")
 
 
 def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, share: int = 100) -> DataFrame:

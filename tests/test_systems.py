@@ -222,3 +222,12 @@ def test_row_groups_that_are_damaged_are_counted_and_the_rest_is_read(spark, tmp
     assert rows.count() == 25 and lost.count() == 0
     rows, lost = salvage.salvage(spark.createDataFrame([("x", file([1], b=["no number"]))], "path string, content binary"), "b int")
     assert rows.count() == 0 and lost.first().n_rows == 1
+
+
+def test_stamped_paths_sort_by_time():
+    import datetime
+
+    from tidemark.sources import sinks
+
+    first, second = (sinks.stamped("/a/", "audit", datetime.datetime(2024, 1, 2, 3, 4, s)) for s in (5, 6))
+    assert first == "/a/audit_20240102_030405_000000" and first < second < sinks.stamped("/a", "audit")

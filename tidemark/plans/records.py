@@ -390,8 +390,9 @@ def written_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows go out as CSV, as a dataset with its lineage record, and as a backup, and come back through the scans."""
     rows = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), (F.col("c_acctbal") > 0).alias("rich"))
     folder = _folder(spark, "files")
-    sinks.write_csv(rows, f"{folder}/csv")
-    back = scan.scan_csv(spark, f"{folder}/csv", "id long, name string, rich boolean")
+    csv = sinks.stamped(folder, "csv")
+    sinks.write_csv(rows, csv)
+    back = scan.scan_csv(spark, csv, "id long, name string, rich boolean")
     counted = sinks.write_dataset(back, f"{folder}/set", ["id"])
     sinks.backup(spark.read.parquet(f"{folder}/set"), f"{folder}/backup")
     return spark.read.parquet(f"{folder}/backup").withColumn("n_rows", F.lit(counted["n_rows"]).cast("long"))

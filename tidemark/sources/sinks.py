@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import json
 import uuid
 from collections.abc import Sequence
@@ -114,6 +115,12 @@ def copy_periods(spark: SparkSession, source: str, target: str, seasons: str | N
         df.write.mode("overwrite").parquet(target)
 
 
+def stamped(folder: str, name: str, when: datetime.datetime | None = None) -> str:
+    """The path of ``name`` in ``folder`` with a time, now by default, in its name: later ones sort after earlier ones."""
+    when = when or datetime.datetime.now(datetime.UTC)
+    return f"{folder.rstrip('/')}/{name}_{when:%Y%m%d_%H%M%S_%f}"
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with a header in each file, under a folder that must be new."""
     df.write.option("header", "true").csv(path)

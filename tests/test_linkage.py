@@ -82,6 +82,26 @@ def test_disjoint_classes_expand_to_all_pairs_of_records(spark, low_bits):
     assert len(got) == len({*got}) and {*got} == brute_disjoint(rows)
 
 
+@pytest.mark.parametrize("low_bits", [2, 6])
+def test_disjoint_pairs_are_all_pairs_of_records(spark, low_bits):
+    rng = random.Random(4)
+    rows = [(i, rng.choice("ab"), rng.choice(["x", "y", "z", None]), rng.choice([None, [], rng.sample(range(19), rng.randrange(1, 9))])) for i in range(150)]
+    members = L.set_classes(spark.createDataFrame(rows, "id long, name string, team string, weeks array<int>"), "id", "name", "team", "weeks")
+    got = [(r.id, r.other_id) for r in L.disjoint_pairs(members, "id", "name", "team", low_bits).collect()]
+    assert len(got) == len({*got}) and {*got} == {(min(p), max(p)) for p in brute_disjoint(rows)}
+
+
+def test_disjoint_sets_join_names_both_customers_of_every_pair(spark, sf):
+    from tidemark.plans import registry
+
+    months = collections.defaultdict(set)
+    for r in spark.read.parquet(f"{sf}/orders.parquet").select("o_custkey", F.month("o_orderdate").alias("m")).collect():
+        months[r.o_custkey].add(r.m)
+    want = {(a, b) for a in months for b in months if a < b and a % 50 == b % 50 and a % 3 != b % 3 and not months[a] & months[b]}
+    got = [tuple(r) for r in registry.queries()["disjoint_sets_join"](spark, sf).select("id", "other_id").collect()]
+    assert len(got) == len({*got}) and {*got} == want
+
+
 def test_a_frequent_name_makes_classes_and_no_pairs_of_records(spark):
     rows = spark.range(200_000).selectExpr("id", "if(id % 3 > 0, 'hot', cast(id as string)) AS name", "id % 2 AS team", "if(id % 2 = 0, array(1, 2), array(3)) AS weeks")
     found = L.disjoint_classes(L.set_classes(rows, "id", "name", "team", "weeks"), "name", "team").collect()

@@ -146,6 +146,21 @@ def disjoint_classes(members: DataFrame, name: str, group: str, low_bits: int =
     return pairs.select(name, group, "mask", "n", "other_group", "other_mask", "other_n")
 
 
+def disjoint_pairs(members: DataFrame, id_: str, name: str, group: str, low_bits: int = 6) -> DataFrame:
+    """(id, other_id): all pairs of records of one name in different groups whose sets share nothing, the smaller id first.
+
+    The pairs of ``disjoint_classes`` are joined to the members of either side, so records that share
+    something never meet, and the work beyond the classes is that of the pairs returned. ``members`` is
+    what ``set_classes`` gives; it is written once, as each side is read from it again.
+    """
+    members = written(members.dropna(subset=[id_, name, group]), "members")
+    pairs = disjoint_classes(members, name, group, low_bits).select(name, group, "mask", "other_group", "other_mask")
+    own = members.select(name, group, "mask", F.col(id_).alias("_a"))
+    other = members.select(name, F.col(group).alias("other_group"), F.col("mask").alias("other_mask"), F.col(id_).alias("_b"))
+    both = pairs.join(own, [name, group, "mask"]).join(other, [name, "other_group", "other_mask"])
+    return both.select(F.least("_a", "_b").alias(id_), F.greatest("_a", "_b").alias(f"other_{id_}"))
+
+
 # rows left over
 
 

@@ -58,13 +58,24 @@ def _months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.set_classes(rows.withColumn("name", F.col("id") % 50).withColumn("team", F.col("id") % 3), "id", "name", "team", "months")
 
 
+@query("""
+WITH s AS (
+  SELECT o_custkey AS id, o_custkey % 50 AS name, o_custkey % 3 AS team, list(DISTINCT month(o_orderdate)) AS months FROM orders GROUP BY o_custkey
+)
+SELECT a.id, b.id AS other_id FROM s AS a JOIN s AS b ON a.name = b.name AND a.id < b.id AND a.team <> b.team AND NOT list_has_any(a.months, b.months)
+""")
+def disjoint_sets_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of customers of one name and different teams without a common month."""
+    return L.disjoint_pairs(_months(spark, sf_dir), "id", "name", "team")
+
+
 @query(f"""
 WITH {_MONTHS}
 SELECT a.name, a.team, a.mask, count(DISTINCT a.id) AS n, b.team AS other_team, b.mask AS other_mask, count(DISTINCT b.id) AS other_n
 FROM m AS a JOIN m AS b ON a.name = b.name AND a.team < b.team AND NOT list_has_any(a.months, b.months) GROUP BY a.name, a.team, a.mask, b.team, b.mask
 """)
-def disjoint_sets_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers of one name and different teams without a common month, as pairs of classes; ``disjoint_set_members`` has who is in them."""
+def disjoint_set_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as pairs of classes with their numbers of customers; ``disjoint_set_members`` has who is in them."""
     found = L.disjoint_classes(_months(spark, sf_dir), "name", "team")
     return found.select("name", "team", "mask", "n", F.col("other_group").alias("other_team"), "other_mask", "other_n")
 

@@ -96,6 +96,34 @@ def test_a_very_long_conversation_is_a_stream_of_parts(spark):
     assert cut.column(2).to_pylist() == [row["turns_sha256"]]
 
 
+def test_every_assistant_turn_has_its_whole_prefix(spark, sf, monkeypatch):
+    """One row for each assistant turn, whose text is the prefix and the target; op2 reads these."""
+    rows = [(c, t, "assistant" if t % 2 else "user", f"say: {c} {t}" * (c + 1)) for c in range(5) for t in range(2 * c + 1)]
+    formatted = chat.format_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    want = {(r["conv_id"], r["example"]): (r["text"], r["loss_start"], r["loss_end"]) for r in chat.expand(chat.examples(formatted)).collect()}
+    whole = chat.expanded(formatted)
+    got = {(r["conv_id"], r["example"]): (r["text"], r["loss_start"], r["loss_end"]) for r in whole.where("example IS NOT NULL").collect()}
+    assert got == want and len(got) == sum(t % 2 for _, t, _, _ in rows)
+    digests = sorted(map(tuple, chat.read_back(whole).collect()))
+    for form in (chat.examples(formatted), chat.expanded(formatted, 150)):  # longer examples go on as parts
+        assert sorted(map(tuple, chat.read_back(form).collect())) == digests
+    cut = {r["start"] > 0 for r in chat.expanded(formatted, 150).where("example IS NOT NULL").collect()}
+    assert cut == {True, False}
+    seen = []
+    monkeypatch.setattr(chat, "read_back", lambda parts: seen.append(parts) or parts)
+    chat.op2_chat_format(spark, sf)
+    assert seen[0].where("example IS NOT NULL AND (start <> 0 OR char_length(text) <> loss_end)").count() == 0
+    assert seen[0].where("example IS NOT NULL").count() > 10
+
+
+def test_an_example_whose_prefix_differs_is_rejected(spark):
+    rows = [(1, 0, "user", "abc"), (1, 1, "assistant", "d"), (1, 2, "user", "e"), (1, 3, "assistant", "f")]
+    whole = chat.expanded(chat.format_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")))
+    assert [r["n_turns"] for r in chat.read_back(whole).collect()] == [4]
+    with pytest.raises(Exception, match="does not begin with"):
+        chat.read_back(whole.withColumn("text", F.when(F.col("example") == 3, F.replace("text", F.lit("abc"), F.lit("abx"))).otherwise(F.col("text")))).collect()
+
+
 # byte-level BPE
 
 

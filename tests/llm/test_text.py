@@ -571,6 +571,30 @@ def test_quality_on_held_out_rows(spark):
     assert area >= 0.85
 
 
+def test_a_model_is_learned_in_a_task_as_it_would_be_on_the_driver(spark, sf):
+    """The driver gets the model alone: its memory does not grow by the sample."""
+    import os
+
+    settings = Settings(buckets=1 << 10, steps=300, per_class=30)
+    docs = spark.read.parquet(f"{sf}/documents.parquet").selectExpr("doc_id", "text", "lang AS label")
+    known = docs.where("label IS NOT NULL")
+
+    def fit(labels, rows):
+        model = subword.train(rows, labels, settings)
+        model.where = os.getpid()
+        return model
+
+    here, there = fit(*sample_features(docs, known, settings)), subword.learned(docs, known, settings, fit)
+    assert there.labels == here.labels and np.array_equal(there.vectors, here.vectors) and np.array_equal(there.weights, here.weights)
+    assert here.where == os.getpid() != there.where
+    assert subword.learned(docs.limit(0), known.limit(0), settings, fit).labels == []
+    places = []
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(language, "calibrate", lambda model, rows: setattr(model, "where", os.getpid()) or model)
+        places.append(language.fit(docs.withColumnRenamed("label", "lang"), settings).where)
+    assert places[0] != os.getpid()
+
+
 def test_quality_edges(spark):
     docs = spark.createDataFrame([(1, None), (2, ""), (None, "a b")], "doc_id long, text string")
     labels = spark.createDataFrame([(1, 1), (None, 0), (2, None)], "doc_id long, quality int")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import table
-from tidemark.llm.subword import Model, Settings, calibrate, sample_features, score, train
+from tidemark.llm.subword import Model, Settings, calibrate, learned, score, train
 
 SETTINGS = Settings(per_class=800)
 UNKNOWN = "und"
@@ -22,10 +22,13 @@ def held_out(doc_id: Column) -> Column:
 def fit(docs: DataFrame, settings: Settings = SETTINGS) -> Model:
     """A model from the text and lang of documents that are not held out; rows without lang are not learned."""
     own = docs.select("doc_id", "text", F.col("lang").cast("string").alias("label"))
-    learned = own.where(~held_out(F.col("doc_id")) & F.col("label").isNotNull())
-    labels, rows = sample_features(own, learned, settings)
-    model = train([r for n, r in enumerate(rows) if n % CALIBRATE_EVERY], labels, settings)
-    return calibrate(model, rows[::CALIBRATE_EVERY])
+    known = own.where(~held_out(F.col("doc_id")) & F.col("label").isNotNull())
+
+    def trained(labels: list, rows: list) -> Model:
+        model = train([r for n, r in enumerate(rows) if n % CALIBRATE_EVERY], labels, settings)
+        return calibrate(model, rows[::CALIBRATE_EVERY])
+
+    return learned(own, known, settings, trained)
 
 
 def identify(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:

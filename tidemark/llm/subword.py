@@ -2,14 +2,15 @@
 
 A document is the mean of the vectors of its words and word pairs; the vector of a word is the mean
 of those of its hash and of its character n-grams. A linear softmax reads the mean. All vectors are
-learned by stochastic gradient descent in numpy on a bounded sample, and every document is scored by
+learned by stochastic gradient descent in numpy on a bounded sample, in one task, and every document is scored by
 Spark tasks that hold the model, whose size is fixed by its parameters.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,6 +27,8 @@ REMEMBERED = 1 << 16
 WORD_CHARS, TEXT_CHARS = 1 << 15, 1 << 18
 _PRIME = np.uint64(0x100000001B3)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Bytes of a saved model in a row.
+MODEL_BYTES = 1 << 20
 _SPACE = re.compile(r"\s").search
 
 
@@ -211,8 +214,8 @@ def calibrate(model: Model, rows: list[tuple[int, np.ndarray, np.ndarray]], lost
     return model
 
 
-def sample_features(docs: DataFrame, labelled: DataFrame, settings: Settings) -> tuple[list, list[tuple[int, np.ndarray, np.ndarray]]]:
-    """Labels in order and the features of at most ``per_class`` documents of each label.
+def _sample(docs: DataFrame, labelled: DataFrame, settings: Settings) -> DataFrame:
+    """(doc_id, label, ids, share): the features of at most ``per_class`` documents of each label.
 
     ``labelled`` has doc_id and label, without nulls. The sample takes the least hashes of doc_id. Only
     hashes below a threshold compete for it, set by the number of a class's ids so that about twice
@@ -240,14 +243,41 @@ def sample_features(docs: DataFrame, labelled: DataFrame, settings: Settings) ->
     # One text of an id and label, so repeated ids do not break the bound; a hot one is combined before the shuffle.
     texts = texts.groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text"))["text"].alias("text"))
     label = labelled.schema["label"].dataType.simpleString()
-    found = cut(texts.mapInArrow(run, f"doc_id long, label {label}, ids binary, share binary"), "features")
-    # Read a part at a time: the driver's JVM never holds the whole sample.
-    rows = [(r["doc_id"], r["label"], np.frombuffer(r["ids"], "<i4"), np.frombuffer(r["share"], "<f4")) for r in found.toLocalIterator()]
+    return cut(texts.mapInArrow(run, f"doc_id long, label {label}, ids binary, share binary"), "features")
+
+
+def _in_order(found: Iterable[tuple]) -> tuple[list, list[tuple[int, np.ndarray, np.ndarray]]]:
+    """Labels in order and rows (index of the label, feature ids, weights) in an order of their own."""
+    rows = [(doc_id, label, np.frombuffer(ids, "<i4"), np.frombuffer(share, "<f4")) for doc_id, label, ids, share in found]
     rows.sort(key=lambda r: (r[0], r[1], len(r[2]), float(r[3].sum())))
     labels = sorted({r[1] for r in rows})
     return labels, [(labels.index(r[1]), r[2], r[3]) for r in rows]
 
 
+def sample_features(docs: DataFrame, labelled: DataFrame, settings: Settings) -> tuple[list, list[tuple[int, np.ndarray, np.ndarray]]]:
+    """Labels in order and the features of at most ``per_class`` documents of each label, as ``_sample`` takes them."""
+    # Read a part at a time: the driver's JVM never holds the whole sample.
+    return _in_order(_sample(docs, labelled, settings).toLocalIterator())
+
+
+def learned(docs: DataFrame, labelled: DataFrame, settings: Settings, fit: Callable[[list, list], Model]) -> Model:
+    """``fit`` of what ``sample_features`` gives, run in a task: the driver gets the model and never the sample.
+
+    The sample is bounded by ``per_class``, and so is that task. No rows are fitted as no labels and no rows.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = fit(*_in_order(row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True)))
+        whole = pickle.dumps(model, pickle.HIGHEST_PROTOCOL)
+        for n, at in enumerate(range(0, len(whole), MODEL_BYTES)):
+            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int32()), pa.array([whole[at : at + MODEL_BYTES]], pa.binary())], ["n", "part"])
+
+    found = _sample(docs, labelled, settings)
+    parts = cut(found.coalesce(1).mapInArrow(run, "n int, part binary"), "model")
+    whole = b"".join(r["part"] for r in sorted(parts.toLocalIterator(), key=lambda r: r["n"]))
+    return pickle.loads(whole) if whole else fit([], [])
+
+
 class Scorer:
     """Means of whole documents for one task; remembers the vectors of words in a table of fixed size."""
 

@@ -28,6 +28,14 @@ def test_header_cells_cover_what_they_span(spark):
     assert grid(spark, "", "<th>a</th>") == ["a"]
 
 
+def test_header_rows_are_parsed_once_and_not_for_every_column(spark):
+    plan = spark.createDataFrame([(["<tr></tr>"],)], "h array<string>").select(H.header_grid(F.col("h")).alias("g"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("</t[dh]>") == 1 and plan.count("colspan") == 1 and plan.count("rowspan") == 1
+    page = "<table><tr>" + "".join(f"<th>h{i}</th>" for i in range(300)) + "</tr><tr>" + "".join(f"<td>{i}</td>" for i in range(300)) + "</tr></table>"
+    found = H.spanned_cells(spark.createDataFrame([(1, page)], "id int, html string"), "id", "html").collect()
+    assert [(r.name, r.value) for r in sorted(found, key=lambda r: r["at"])] == [(f"h{i}", str(i)) for i in range(300)]
+
+
 def test_spanned_cells_of_pages_without_tables_and_with_repeated_headers(spark):
     body = "<tr><th>Al</th><td>1</td></tr><tr><th>Name</th><th>Yds</th></tr><tr><td colspan=2>both</td></tr><tr><td>a</td><td>b</td><td>beyond</td></tr>"
     pages = [(1, None), (2, ""), (3, "<table></table>"), (4, f"<table id='t'><tr><th>Name</th><th>Yds</th></tr>{body}</table><table>{body}</table>")]

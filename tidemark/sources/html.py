@@ -30,13 +30,16 @@ def _text(cell: Column) -> Column:
 
 def _span(cell: Column, name: str) -> Column:
     n = F.regexp_extract(cell, rf"(?is)^<t[dh]\b[^>]*\b{name}\s*=\s*[\"']?(\d+)", 1).try_cast("int")
-    return F.when(n.between(1, MOST), n).otherwise(1)
+    return F.coalesce(F.get(F.filter(F.array(n), lambda v: v.between(1, MOST)), F.lit(0)), F.lit(1))  # read once, compared twice
+
+
+def _cells(row: Column) -> Column:
+    return F.regexp_extract_all(row, F.lit(r"(?is)<t[dh]\b[^>]*>.*?</t[dh]>"), F.lit(0))
 
 
 def cells(row: Column) -> Column:
     """Array of (text, cols, rows): the cells of a table row with their spans, 1 where none or no sensible one is stated."""
-    found = F.regexp_extract_all(row, F.lit(r"(?is)<t[dh]\b[^>]*>.*?</t[dh]>"), F.lit(0))
-    return F.transform(found, lambda c: F.struct(_text(c).alias("text"), _span(c, "colspan").alias("cols"), _span(c, "rowspan").alias("rows")))
+    return F.transform(_cells(row), lambda c: F.struct(_text(c).alias("text"), _span(c, "colspan").alias("cols"), _span(c, "rowspan").alias("rows")))
 
 
 def spread(row: Column) -> Column:
@@ -44,6 +47,11 @@ def spread(row: Column) -> Column:
     return F.flatten(F.transform(cells(row), lambda c: F.array_repeat(c, c["cols"])))
 
 
+def values(row: Column) -> Column:
+    """The texts of ``spread`` alone; spans over rows are not read."""
+    return F.flatten(F.transform(_cells(row), lambda c: F.array_repeat(_text(c), _span(c, "colspan"))))
+
+
 def header_grid(header: Column) -> Column:
     """Array with the header path of each column, from an array of header rows.
 
@@ -52,8 +60,7 @@ def header_grid(header: Column) -> Column:
     """
     held = lambda s: s["left"] > 0
 
-    def lay(state: Column, row: Column) -> Column:
-        new = spread(row)
+    def lay(state: Column, new: Column) -> Column:
         width = F.greatest(F.size(state), F.size(new) + F.size(F.filter(state, held)))
 
         def column(i: Column) -> Column:
@@ -67,7 +74,8 @@ def header_grid(header: Column) -> Column:
 
         return F.when(width > 0, F.transform(F.sequence(F.lit(0), width - 1), column)).otherwise(F.array().cast(_NONE))
 
-    grid = F.aggregate(header, F.array().cast(_NONE), lay)
+    # The rows are parsed before they are laid out: within it they would be parsed for every column.
+    grid = F.aggregate(F.transform(header, spread), F.array().cast(_NONE), lay)
     return F.transform(grid, lambda g: g["path"])
 
 
@@ -85,7 +93,7 @@ def spanned_cells(pages: DataFrame, key: str, html: str, attribute: str = "") ->
     first = F.array_position(body, True).cast("int")
     one = one.where(first > 0).select(key, "table", header_grid(F.slice("_rows", F.lit(1), first - 1)).alias("_grid"), F.filter("_rows", lambda r: r.rlike(r"(?is)<td\b")).alias("_body"))
     one = one.select(key, "table", "_grid", F.posexplode("_body").alias("row", "_tr"))
-    one = one.select(key, "table", "row", "_grid", F.posexplode(F.transform(spread(F.col("_tr")), lambda c: c["text"])).alias("at", "value"))
+    one = one.select(key, "table", "row", "_grid", F.posexplode(values(F.col("_tr"))).alias("at", "value"))
     path = F.get("_grid", F.col("at"))
     group = F.when(F.size(path) > 1, path[0])
     name = F.when(F.size(path) > 1, F.array_join(F.slice(path, F.lit(2), F.size(path) - 1), "_")).when(F.size(path) == 1, path[0])

@@ -85,6 +85,18 @@ def test_verdicts_on_declared_types(spark):
     assert got == {"a": "too narrow", "b": "too narrow", "c": "other kind", "d": "ok"}
 
 
+def test_a_call_takes_fingerprints_of_the_work_once(spark, tmp_path, monkeypatch):
+    """However many batches a call has, the work is not read again to see what is left."""
+    taken, own = [], G.fingerprint
+    monkeypatch.setattr(G, "fingerprint", lambda columns: taken.append(columns) or own(columns))
+
+    def always(rows):
+        raise ValueError("no")
+
+    _, failed = G.process(_work(spark, 3), ["k"], always, "k int", str(tmp_path))
+    assert {r.attempt for r in failed.collect()} == {3} and len(taken) == 1
+
+
 def _work(spark, n=6):
     return spark.createDataFrame([(k, None if k == 3 else k % 2, i) for k in range(n) for i in range(k + 1)], "k int, week int, v int")
 

@@ -7,6 +7,7 @@ and its results are used again by the next. Nothing is kept on the driver but th
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 from typing import TYPE_CHECKING
 
@@ -51,9 +52,22 @@ class Ledger:
         by = [*self.unit, "fingerprint"]
         return self.entries().groupBy(*by).agg(F.max_by(F.struct("outcome", "attempt", "batch", "error"), "batch").alias("_e")).select(*by, "_e.*")
 
+    def present(self, work: DataFrame) -> DataFrame:
+        """(unit, fingerprint) of the rows of ``work``."""
+        return work.groupBy(*self.unit).agg(fingerprint(work.columns).alias("fingerprint"))
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        """``df``, with a row for a unit, written to the ledger's folder and read again: the work is not read anew for it, and its size is known."""
+        path = f"{self.folder}/units/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     def todo(self, work: DataFrame, most: int) -> DataFrame:
         """(unit, fingerprint, attempt): what is new or changed, and what failed fewer than ``most`` times on this input."""
-        wanted = work.groupBy(*self.unit).agg(fingerprint(work.columns).alias("fingerprint"))
+        return self.left(self.present(work), most)
+
+    def left(self, wanted: DataFrame, most: int) -> DataFrame:
+        """``todo`` from what ``present`` gives."""
         known = self.latest().select(*self.unit, "fingerprint", "outcome", F.col("attempt").alias("_before"))
         on = [wanted[c].eqNullSafe(known[c]) for c in (*self.unit, "fingerprint")]
         left = wanted.join(known, on, "left").where((F.col("outcome").isNull()) | ((F.col("outcome") == "failed") & (F.col("_before") < most)))
@@ -74,7 +88,9 @@ def process(
     ``results`` has the function's columns, ``schema``, for every unit of ``work`` that succeeded on its
     present rows. ``failed`` has the units that raised, with the attempts made and the last error. A call
     does what is not done yet and retries failures, each unit at most ``most`` times on the same input;
-    ``rounds`` limits the batches of this call. Units are processed in parallel and each is held by one
+    ``rounds`` limits the batches of this call. The fingerprints are taken once a call, at its start; what is
+    to do is written for each batch, so that the rows of other units are left out before they are shuffled
+    where that is small enough to be sent to the tasks. Units are processed in parallel and each is held by one
     task: choose units that fit. A unit without rows does not exist; units with a null are units.
     """
     names = work.sparkSession.createDataFrame([], schema).columns
@@ -92,9 +108,9 @@ def process(
             return mark.assign(_error=f"{type(error).__name__}: {error}")
         return pd.concat([mark, found.assign(_error=None, **own)], ignore_index=True) if len(found) else mark
 
-    done = 0
+    done, present = 0, ledger.written(ledger.present(work), "present")
     while rounds is None or done < rounds:
-        todo = ledger.todo(work, most)
+        todo = ledger.written(ledger.left(present, most), "todo")
         if todo.isEmpty():
             break
         batch, done = ledger.next_batch(), done + 1
@@ -109,7 +125,6 @@ def process(
                 F.col("_attempt").alias("attempt"), F.lit(batch).alias("batch"), F.nullif("_error", F.lit("")).alias("error"),
             ),
         )
-    present = work.groupBy(*unit).agg(fingerprint(work.columns).alias("fingerprint"))
     latest = ledger.latest()
     now = latest.join(present, [latest[c].eqNullSafe(present[c]) for c in (*unit, "fingerprint")], "left_semi")
     spark, numbers = work.sparkSession, ledger._batches()
